@@ -196,14 +196,13 @@ class LengthProvider:
 
 
 @C.add(
-    f"""SELECT doc_id, CAST(pos AS INTEGER) AS pos,
-        round((length(text) + pos) / sqrt(list_sum(list_transform(range(4), lambda i: (length(text) + i) * (length(text) + i)))), 5) + 0.0 AS value
+    f"""SELECT doc_id, CAST(pos AS INTEGER) AS pos, round(CAST((length(text) + pos) / sqrt(list_sum(
+            list_transform(range(4), lambda i: (length(text) + i) * (length(text) + i)))) AS FLOAT)::DOUBLE, 6) + 0.0 AS value
         FROM documents, (SELECT unnest(range(4)) AS pos)"""
 )
 def client_embed(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    wide = exploded(embed(docs, LengthProvider, text_col="text", batch_size=16), "doc_id")
-    return wide.withColumn("value", F.round("value", 5))
+    return exploded(embed(docs, LengthProvider, text_col="text", batch_size=16), "doc_id")
 
 
 @C.add("SELECT vec_id, CAST(pos - 1 AS INTEGER) AS pos, round(embedding[pos]::DOUBLE, 6) + 0.0 AS value FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS pos FROM embeddings WHERE vec_id = 7)")

@@ -11,10 +11,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The whitespace set (body of a regex class), wider than Java's own \s.
-WHITESPACE = (
-    r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# Whitespace is the Unicode property and the four ASCII separators. As characters:
+WHITESPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
+# The same as the body of a regex class.
+WHITESPACE = r"\p{IsWhite_Space}\x1c-\x1f"
+
+# A whitespace run, unless it is a single plain space, which would only be replaced by itself.
+WHITESPACE_RUN = rf"(?! [^{WHITESPACE}])[{WHITESPACE}]+"
 
 # Control and format characters; the last four items are format characters that the
 # Unicode version of JDK 17 does not know yet.
@@ -44,10 +51,10 @@ DEFAULT_RULES: dict[str, Any] = {
 # patterns double every backslash, so that they only match texts holding a backslash.
 PATTERNS: dict[str, dict[str, str]] = {
     "intended": {
-        "remove_urls": rf"(?iu)(https?://[^{WHITESPACE}]+|www\.[^{WHITESPACE}]+)",
+        "remove_urls": rf"(?:[hH][tT][tT][pP][sS\x{{17F}}]?://|[wW]{{3}}\.)[^{WHITESPACE}]+",
         "remove_mentions": r"@[\p{L}\p{N}_]+",
         "remove_hashtags": r"#[\p{L}\p{N}_]+",
-        "collapse_whitespace": rf"[{WHITESPACE}]+",
+        "collapse_whitespace": WHITESPACE_RUN,
     },
     "literal": {
         "remove_urls": r"(?iu)(https?://\\S+|www\\.\\S+)",
@@ -65,6 +72,9 @@ NFKC_STABLE = (
     r"\x{3001}-\x{3002}\x{3041}-\x{3096}\x{30A1}-\x{30FA}\x{4E00}-\x{9FFF}\x{AC00}-\x{D7A3}"
 )
 
+# ASCII is settled by the first class, before the list of ranges is looked at.
+NFKC_UNSTABLE = rf"[[^\x00-\x7F]&&[^{NFKC_STABLE}]]"
+
 
 @F.pandas_udf(T.StringType())
 def _nfkc_batch(texts: pd.Series) -> pd.Series:
@@ -74,12 +84,12 @@ def _nfkc_batch(texts: pd.Series) -> pd.Series:
 def nfkc(text: Column) -> Column:
     """Unicode NFKC. Spark has no built-in, so Python sees a text only when it may change; a row
     that is stable by the character test crosses to Python as a null and comes back from the scan."""
-    return F.coalesce(_nfkc_batch(F.when(text.rlike(f"[^{NFKC_STABLE}]"), text)), text)
+    return F.coalesce(_nfkc_batch(F.when(text.rlike(NFKC_UNSTABLE), text)), text)
 
 
 def strip(text: Column) -> Column:
-    """Strip Unicode whitespace on both sides (``trim`` only knows the plain space)."""
-    return F.regexp_replace(text, rf"^[{WHITESPACE}]+|[{WHITESPACE}]+$", "")
+    """Strip Unicode whitespace on both sides."""
+    return F.btrim(text, F.lit(WHITESPACE_CHARS))
 
 
 def or_empty(text: Column) -> Column:
@@ -103,12 +113,12 @@ def clean_text(
     if wanted["normalize_unicode_nfkc"]:
         out = nfkc(out)
     if wanted["remove_control_chars"]:
-        out = F.regexp_replace(out, f"[{CONTROLS}]+", "")
+        out = F.regexp_replace(out, rf"[\p{{C}}&&[{CONTROLS}]]+", "")
     for rule in ("remove_urls", "remove_mentions", "remove_hashtags"):
         if wanted[rule]:
             out = F.regexp_replace(out, regex[rule], " ")
     if wanted["remove_emojis"]:
-        out = F.regexp_replace(out, f"[{EMOJI}]+", " ")
+        out = F.regexp_replace(out, rf"[[^\x00-\x{{25FF}}]&&[{EMOJI}]]+", " ")
     if wanted["lowercase_latin"]:
         out = F.lower(out)
     if wanted["collapse_whitespace"]:
@@ -123,7 +133,7 @@ def clean_text(
 
 def single_line(text: Column) -> Column:
     """Every whitespace run becomes one space, ends stripped: one text per output line."""
-    return strip(F.regexp_replace(text, rf"[{WHITESPACE}]+", " "))
+    return strip(F.regexp_replace(text, WHITESPACE_RUN, " "))
 
 
 def file_name(path: Column) -> Column:

@@ -38,17 +38,21 @@ def l2_norm(v: Column) -> Column:
 
 def l2_normalize(v: Column) -> Column:
     """Unit length in double precision; an all-zero vector stays zero."""
-    norm = l2_norm(v)
-    divisor = F.when(norm == 0.0, 1.0).otherwise(norm)
-    return F.transform(v, lambda x: x.cast("double") / divisor)
+    # The one-element array binds the norm to a name, so that it is computed once per vector.
+    scaled = F.transform(
+        F.array(l2_norm(v)),
+        lambda norm: F.transform(
+            v, lambda x: x.cast("double") / F.when(norm == 0.0, 1.0).otherwise(norm)
+        ),
+    )
+    return scaled[0]
 
 
 def score(a: Column, b: Column, metric: str) -> Column:
     """Larger is nearer: cosine similarity, minus the squared distance, or inner product minus one."""
     check_metric(metric)
     if metric == "cosine":
-        norms = l2_norm(a) * l2_norm(b)
-        return F.when(norms == 0.0, 0.0).otherwise(dot(a, b) / norms)
+        return F.coalesce(F.try_divide(dot(a, b), l2_norm(a) * l2_norm(b)), F.lit(0.0))
     if metric == "ip":
         return dot(a, b) - 1.0
     gap = F.zip_with(a, b, lambda x, y: x.cast("double") - y.cast("double"))

@@ -61,7 +61,8 @@ def _train(vectors: DataFrame, rows: int, nlist: int, metric: str, seed: int) ->
     if metric == "cosine":
         vector = l2_normalize(vector)
     points = vectors.select(array_to_vector(vector).alias("features"))
-    model = KMeans(k=nlist, seed=seed, maxIter=10).fit(points)
+    # Random seeding: the parallel k-means++ seeding ends in a driver-side step that grows with nlist.
+    model = KMeans(k=nlist, seed=seed, maxIter=10, initMode="random").fit(points)
     return np.array(model.clusterCenters())
 
 

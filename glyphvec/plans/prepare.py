@@ -10,7 +10,10 @@ from glyphvec.functions.text import file_stem, single_line
 from glyphvec.operators.categories import category_combos, category_stats
 from glyphvec.sinks.tables import write_combos, write_text_table
 from glyphvec.sources.categories import read_categories
-from glyphvec.sources.texts import ID, TEXT, file_text, text_file_names, text_files
+from glyphvec.sources.texts import ID, TEXT, file_text, text_files
+
+# Up to so many file names go into the plan as a list, so that only these files are read.
+LISTED_FILES = 10_000
 
 
 def merged_texts(spark: SparkSession, folder: str, *, limit: int = 0) -> DataFrame:
@@ -22,8 +25,11 @@ def merged_texts(spark: SparkSession, folder: str, *, limit: int = 0) -> DataFra
     order = [numeric_first_key(stem), stem]
     files = text_files(spark, folder)
     if limit > 0:
-        names = text_file_names(spark, folder).orderBy(*order).limit(limit)
-        files = files.join(names, "path", "left_semi")
+        names = files.select("file_uri", "path").orderBy(*order).limit(limit).select("file_uri")
+        if limit <= LISTED_FILES:
+            files = files.filter(F.col("file_uri").isin([r["file_uri"] for r in names.collect()]))
+        else:
+            files = files.join(names, "file_uri", "left_semi")
     return files.orderBy(*order).select(
         stem.alias(ID), single_line(file_text(F.col("content"))).alias(TEXT)
     )

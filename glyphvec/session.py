@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -80,10 +81,11 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath) and fs.getFileStatus(hpath).isDirectory()
 
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """Absolute URI of ``path`` as file scans report it."""
+def file_uri(spark: SparkSession, path: str) -> str:
+    """Absolute URI of ``path``; a local one begins with ``file:/``, one slash."""
     fs, hpath = _hadoop_path(spark, path)
-    return fs.makeQualified(hpath).toString()
+    uri = fs.makeQualified(hpath).toUri().toString().rstrip("/")
+    return re.sub("^file:/+", "file:/", uri)
 
 
 def spread_small(df: DataFrame, *keys: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from glyphvec.functions.order import natural_key
 from glyphvec.functions.text import file_name, file_stem, or_empty
 from glyphvec.operators.ordinals import assign_index_id, number_split_rows
-from glyphvec.session import is_directory, qualified
+from glyphvec.session import file_uri, is_directory
 
 ID = "video_id"
 TEXT = "video_title"
@@ -87,20 +87,42 @@ def read_tabular(
     return number_split_rows(scan, columns)
 
 
-def text_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per text file directly in the folder; sub-folders are not entered."""
-    folder = qualified(spark, path)
+def _scan_folder(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", TEXT_FILE_GLOB)
+        .option("recursiveFileLookup", True)
         .load(path)
-        .filter(F.regexp_extract("path", "^(.*)/[^/]*$", 1) == folder)
     )
 
 
-def text_file_names(spark: SparkSession, path: str) -> DataFrame:
-    """Only the paths: a scan without the content column opens no file."""
-    return text_files(spark, path).select("path")
+def _directly_in(spark: SparkSession, path: str, uri: Column) -> tuple[Column, Column]:
+    """The file's URI in one spelling, and whether the file stands in the folder itself."""
+    uri = F.regexp_replace(uri, "^file:/+", "file:/")
+    return uri, F.regexp_extract(uri, "^(.*)/[^/]*$", 1) == file_uri(spark, path)
+
+
+def text_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file_uri, path, content) of each text file directly in the folder; sub-folders are not entered.
+
+    A condition on ``file_uri`` selects files while the scan is planned, before any is opened, and
+    without ``content`` no file is opened at all.
+    """
+    scan = _scan_folder(spark, path)
+    uri, here = _directly_in(spark, path, F.col("_metadata.file_path"))
+    files = scan.filter(here).select(uri.alias("file_uri"), "path", "content")
+    # Spark scans leave out files without a byte. Where the listing has more files than the scan,
+    # they are taken from the listing, which the driver holds for the scan anyway.
+    if len(scan._jdf.inputFiles()) == scan.select("path").count():
+        return files
+    listed = spark.createDataFrame([(name,) for name in scan.inputFiles()], "value STRING")
+    uri, here = _directly_in(spark, path, F.col("value"))
+    names = listed.filter(here).select(
+        uri.alias("file_uri"),
+        F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))).alias("path"),
+        F.lit("").cast("binary").alias("content"),
+    )
+    return files.unionByName(names.join(files.select("file_uri"), "file_uri", "left_anti"))
 
 
 def file_text(content: Column) -> Column:
@@ -122,9 +144,11 @@ def read_text_folder(spark: SparkSession, path: str, *, ordered: bool = False) -
     if not ordered:
         return files.select(*record)
     name = file_name(F.col("path"))
-    names = files.select("path", natural_key(name).alias("_key"), name.alias("_name"))
-    ranks = assign_index_id(names, ["_key", "_name"]).select("path", "index_id")
-    return files.join(ranks, "path").select("index_id", *record)
+    names = files.select(
+        "file_uri", natural_key(name).alias("_key"), name.alias("_name")
+    )
+    ranks = assign_index_id(names, ["_key", "_name"]).select("file_uri", "index_id")
+    return files.join(ranks, "file_uri").select("index_id", *record)
 
 
 def read_texts(
@@ -147,6 +171,6 @@ def read_texts(
 def count_records(spark: SparkSession, path: str, **options) -> int:
     """Number of records; for a folder the file contents are not read."""
     if is_directory(spark, path):
-        return text_file_names(spark, path).count()
+        return text_files(spark, path).select("path").count()
     return read_tabular(spark, path, **options).count()
 
