@@ -14,6 +14,7 @@ def spark():
     session = local_session("8", shuffle_partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     ship_package(session, str(ROOT / "checks"))
+    session.sparkContext.addPyFile(str(ROOT / "tests" / "providers.py"))
     yield session
     session.stop()
 
