@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from checks import Catalogue, table
 from checks.texts import sql_clean, sql_line
 from glyphvec.functions.text import clean_text, single_line
-from glyphvec.functions.vectors import l2_normalize, score, zero_vector
+from glyphvec.functions.vectors import l2_normalize as unit_length
+from glyphvec.functions.vectors import score, zero_vector
 from glyphvec.operators.embed import HashingProvider, embed
 from glyphvec.operators.ivf import build_index, query_index
 from glyphvec.operators.knn import knn_join
@@ -116,10 +117,10 @@ SCALED = "list_transform(embedding::DOUBLE[], lambda x: x * (vec_id % 5))"
         FROM (SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS n, unnest(range(1, len(v) + 1)) AS pos
               FROM (SELECT vec_id, {SCALED} AS v FROM embeddings))"""
 )
-def l2_normalized(spark, sf_dir):
+def l2_normalize(spark, sf_dir):
     scale = F.col("vec_id") % 5
     scaled = F.transform("embedding", lambda x: x.cast("double") * scale)
-    df = table(spark, sf_dir, "embeddings").select("vec_id", l2_normalize(scaled).alias("embedding"))
+    df = table(spark, sf_dir, "embeddings").select("vec_id", unit_length(scaled).alias("embedding"))
     return exploded(df, "vec_id")
 
 

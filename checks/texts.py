@@ -355,7 +355,7 @@ def ordered_tsv(spark, sf_dir):
 
 def one_file_per_document(spark, sf_dir) -> str:
     path = work_path(spark, "text-files")
-    docs = table(spark, sf_dir, "documents").select("text")
+    docs = spread_small(table(spark, sf_dir, "documents").select("text"))
     docs.write.option("maxRecordsPerFile", 1).text(path)
     return path
 

@@ -197,13 +197,11 @@ def knn_join(
     asked = standard_queries(queries, query_id, embedding_col, self_col)
     rows = corpus.select("index_id", F.col(embedding_col).alias("embedding"))
     query_type = asked.schema["query_id"].dataType
-    first = asked.select(F.size("embedding").alias("dim")).head()
-    if first is None:
-        return best_per_query(
-            corpus.sparkSession.createDataFrame([], result_schema(query_type)), k
-        )
-    dim = first["dim"]
-    if asked.count() * query_bytes(dim, k) <= broadcast_bytes:
+    size = asked.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("embedding")).alias("dim")).head()
+    if not size["rows"]:
+        return best_per_query(corpus.sparkSession.createDataFrame([], result_schema(query_type)), k)
+    dim = size["dim"]
+    if size["rows"] * query_bytes(dim, k) <= broadcast_bytes:
         side = collect_queries(asked, dim, bool(self_col))
         found = scan_join(rows, side, query_type, k, metric)
     else:

@@ -94,8 +94,9 @@ class BestRows:
         if len(ids) > spare and np.isneginf(floor).any():
             at = len(ids) - spare
             floor = np.maximum(floor, np.partition(grid, at, axis=1)[:, at])
-        query, at = np.nonzero(grid >= (floor - slack)[:, None])
-        score = grid[query, at]
+        hit = np.flatnonzero(grid >= (floor - slack)[:, None])
+        query, at = np.divmod(hit, len(ids))
+        score = grid.ravel()[hit]
         row, found = rows[query], ids[at]
         if self.metric == "l2":
             # The expanded square loses digits on long vectors; the few survivors are rescored.
