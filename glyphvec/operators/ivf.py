@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -126,25 +126,17 @@ def build_index(
         .partitionBy("cluster_id")
         .parquet(f"{index_dir}/vectors")
     )
-    sizes = (
-        spark.read.parquet(f"{index_dir}/vectors")
-        .groupBy("cluster_id")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    )
+    # One row per centre, of which there are at most max_nlist(dim).
+    sizes = dict(spark.read.parquet(f"{index_dir}/vectors").groupBy("cluster_id").count().collect())
     centres = spark.createDataFrame(
-        [(i, c.tolist()) for i, c in enumerate(centroids)],
-        "cluster_id INT, centroid ARRAY<DOUBLE>",
-    )
-    (
-        centres.join(sizes, "cluster_id", "left")
-        .withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
-        .coalesce(1)
-        .write.mode(mode)
-        .parquet(f"{index_dir}/centroids")
+        [(i, c.tolist(), sizes.get(i, 0)) for i, c in enumerate(centroids)],
+        "cluster_id INT, centroid ARRAY<DOUBLE>, n_rows BIGINT",
     )
-    df.drop(embedding_col).write.mode(mode).parquet(f"{index_dir}/metadata")
-    written = spark.read.parquet(f"{index_dir}/metadata").count()
-    indexed = spark.read.parquet(f"{index_dir}/centroids").agg(F.sum("n_rows")).head()[0]
+    centres.coalesce(1).write.mode(mode).parquet(f"{index_dir}/centroids")
+    described = Observation()
+    metadata = df.drop(embedding_col).observe(described, F.count(F.lit(1)).alias("rows"))
+    metadata.write.mode(mode).parquet(f"{index_dir}/metadata")
+    indexed, written = sum(sizes.values()), described.get["rows"]
     if not rows == written == indexed:
         raise RuntimeError(f"row count mismatch: {rows} read, {indexed} indexed, {written} described")
     manifest = {
@@ -224,7 +216,10 @@ def query_index(
     probes = _probe(asked, centroids, sizes, metric, nprobe, k + bool(self_col))
     vectors = spark.read.parquet(f"{index_dir}/vectors")
 
-    if asked.count() * (query_bytes(dim, k) + nprobe * 8) > broadcast_bytes:
+    size = probes.agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("clusters")), F.lit(0)).alias("probes")
+    ).head()
+    if size["rows"] * query_bytes(dim, k) + size["probes"] * 8 > broadcast_bytes:
         pairs = materialise(probes.withColumn("cluster_id", F.explode("clusters")).drop("clusters"), "probes")
         found = block_join(vectors, pairs, dim, k, metric, bool(self_col))
         return best_per_query(found, k)

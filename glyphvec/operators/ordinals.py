@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from glyphvec.functions.order import natural_key
 from glyphvec.session import materialise
 
+BROADCAST_UNITS = 1_000_000
+
 
 def _running_offsets(counts: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     """Rows before each unit. One row per file, split or partition: the list that the driver of any
@@ -26,6 +28,13 @@ def _running_offsets(counts: DataFrame, order: Sequence[str | Column]) -> DataFr
     return counts.withColumn("_offset", offset)
 
 
+def _join_offsets(rows: DataFrame, offsets: DataFrame, keys: list[str]) -> DataFrame:
+    """Offsets are broadcast while there are no more than a million of them, a few hundred bytes each."""
+    if offsets.count() <= BROADCAST_UNITS:
+        offsets = F.broadcast(offsets)
+    return rows.join(offsets, keys, "left")
+
+
 def number_parquet_rows(spark: SparkSession, path: str) -> DataFrame:
     """``index_id`` in natural file order, then row order in the file; replaces one that is stored."""
     df = spark.read.parquet(path).drop("index_id")
@@ -38,11 +47,8 @@ def number_parquet_rows(spark: SparkSession, path: str) -> DataFrame:
         _running_offsets(counts, [natural_key(F.col("_file")), "_file"]).select("_file", "_offset"),
         "file-offsets",
     )
-    return (
-        df.select("*", *place)
-        .join(offsets, "_file")
-        .select((F.col("_offset") + F.col("_row")).alias("index_id"), *df.columns)
-    )
+    placed = _join_offsets(df.select("*", *place), offsets, ["_file"])
+    return placed.select((F.col("_offset") + F.col("_row")).alias("index_id"), *df.columns)
 
 
 def number_split_rows(scan: DataFrame, columns: Sequence[Column]) -> DataFrame:
@@ -69,7 +75,7 @@ def number_split_rows(scan: DataFrame, columns: Sequence[Column]) -> DataFrame:
         position.between(0, F.col("_rows") - 1), F.col("_offset") + position
     ).otherwise(moved.cast("long"))
     names = [c for c in placed.columns if c not in (*unit, "_row")]
-    return placed.join(offsets, unit, "left").select(index_id.alias("index_id"), *names)
+    return _join_offsets(placed, offsets, unit).select(index_id.alias("index_id"), *names)
 
 
 def assign_index_id(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
