@@ -29,7 +29,7 @@ from glyphvec.operators.knn import (
     scan_join,
     standard_queries,
 )
-from glyphvec.operators.topk import to_matrix, unit_rows
+from glyphvec.operators.topk import row_blocks, to_matrix, unit_rows
 from glyphvec.session import materialise
 from glyphvec.sinks.tables import write_manifest
 from glyphvec.sources.vectors import read_manifest, read_vectors, vector_dim
@@ -78,10 +78,14 @@ def assign_clusters(vectors: DataFrame, centroids: np.ndarray, metric: str) -> D
 
     def run(batches):
         for batch in batches:
-            near = _distances(to_matrix(batch.column("embedding"), dim), shared.value, metric)
-            cluster = pa.array(near.argmin(axis=1).astype(np.int32))
+            rows = to_matrix(batch.column("embedding"), dim)
+            cluster = np.empty(len(rows), np.int32)
+            starts = row_blocks(len(rows), len(shared.value))
+            for lo in starts:
+                block = slice(lo, lo + starts.step)
+                cluster[block] = _distances(rows[block], shared.value, metric).argmin(axis=1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("index_id"), batch.column("embedding"), cluster],
+                [batch.column("index_id"), batch.column("embedding"), pa.array(cluster)],
                 names=["index_id", "embedding", "cluster_id"],
             )
 
@@ -171,15 +175,18 @@ def _probe(
         centres, counts = shared.value
         for batch in batches:
             asked = to_matrix(batch.column("embedding"), dim)
-            near = -(asked @ centres.T) if metric == "ip" else _distances(asked, centres, metric)
-            order = near.argsort(axis=1, kind="stable")
-            held = counts[order].cumsum(axis=1)
-            enough = (held < want).sum(axis=1) + 1
-            take = np.clip(np.maximum(nprobe, enough), 1, len(centres))
-            picked = [pa.array(o[:t].astype(np.int32)) for o, t in zip(order, take)]
+            picked = [np.empty(0, np.int32)]
+            starts = row_blocks(len(asked), len(centres))
+            for lo in starts:
+                some = asked[lo : lo + starts.step]
+                near = -(some @ centres.T) if metric == "ip" else _distances(some, centres, metric)
+                order = near.argsort(axis=1, kind="stable").astype(np.int32)
+                enough = (counts[order].cumsum(axis=1) < want).sum(axis=1) + 1
+                take = np.clip(np.maximum(nprobe, enough), 1, len(centres))
+                picked += [o[:t] for o, t in zip(order, take)]
+            lengths = [len(p) for p in picked]
             clusters = pa.ListArray.from_arrays(
-                pa.array(np.r_[0, take.cumsum()].astype(np.int32)),
-                pa.concat_arrays(picked) if picked else pa.array([], pa.int32()),
+                pa.array(np.cumsum(lengths, dtype=np.int32)), pa.array(np.concatenate(picked))
             )
             names = ["query_id", "embedding"] + (["own_id"] if has_own else [])
             yield pa.RecordBatch.from_arrays(

@@ -8,6 +8,7 @@ import pyarrow as pa
 from glyphvec.functions.vectors import SCORE_DECIMALS
 
 BLOCK_CELLS = 4_000_000
+BLOCK_ROWS = 16_384
 TOLERANCE = 10.0**-SCORE_DECIMALS
 
 
@@ -52,8 +53,17 @@ def drop_far_copies(matrix: np.ndarray, ids: np.ndarray, keep: int) -> np.ndarra
     return np.sort(order[nth_copy < keep])
 
 
+def row_blocks(n_rows: int, width: int) -> range:
+    """Starts of row blocks that keep a block of ``width`` columns within ``BLOCK_CELLS``."""
+    return range(0, n_rows, max(1, BLOCK_CELLS // max(1, width)))
+
+
 class BestRows:
-    """Best k (score down, id up) per query, as flat arrays."""
+    """Best k (score down, id up) per query, as flat arrays.
+
+    Candidates gather in ``pending`` and are merged once they are as many as the rows held, so that
+    sorting stays proportional to the number of candidates for any number of queries.
+    """
 
     def __init__(self, queries: np.ndarray, own: np.ndarray | None, k: int, metric: str):
         self.metric, self.k, self.own = metric, k, own
@@ -64,6 +74,8 @@ class BestRows:
         self.row = np.empty(0, np.int64)
         self.score = np.empty(0)
         self.id = np.empty(0, np.int64)
+        self.pending: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.waiting = 0
 
     def add(self, vectors: np.ndarray, ids: np.ndarray, rows: np.ndarray | None = None) -> None:
         """Score ``vectors`` against the queries in ``rows`` (default: all)."""
@@ -73,11 +85,17 @@ class BestRows:
             return
         spare = self.k + (self.own is not None)
         chosen = drop_far_copies(vectors, ids, spare)
-        vectors, ids = vectors[chosen], ids[chosen]
-        wide = unit_rows(vectors) if self.metric == "cosine" else vectors.astype(np.float64)
-        step = max(1, BLOCK_CELLS // len(ids))
-        for lo in range(0, len(rows), step):
-            self._add_block(wide, ids, rows[lo : lo + step], spare)
+        for lo in range(0, len(chosen), BLOCK_ROWS):
+            part = chosen[lo : lo + BLOCK_ROWS]
+            some, some_ids = vectors[part], ids[part]
+            wide = unit_rows(some) if self.metric == "cosine" else some.astype(np.float64)
+            starts = row_blocks(len(rows), len(part))
+            for start in starts:
+                self._add_block(wide, some_ids, rows[start : start + starts.step], spare)
+                if self.waiting > max(len(self.row), BLOCK_CELLS):
+                    self._merge()
+            if self.waiting >= len(self.row):
+                self._merge()
 
     def _add_block(self, wide: np.ndarray, ids: np.ndarray, rows: np.ndarray, spare: int) -> None:
         grid = self.queries[rows] @ wide.T
@@ -102,21 +120,23 @@ class BestRows:
             # The expanded square loses digits on long vectors; the few survivors are rescored.
             gap = self.queries[row] - wide[at]
             score = -np.einsum("ij,ij->i", gap, gap)
-        if self.own is not None:
-            other = found != self.own[row]
-            row, score, found = row[other], score[other], found[other]
         score = np.round(score, SCORE_DECIMALS) + 0.0
         # Many rows may tie with the k-th best; only a smaller id still gets in.
         floor, floor_id = self.floor[row], self.floor_id[row]
         enters = (score > floor) | ((score == floor) & (found < floor_id))
-        self._merge(row[enters], score[enters], found[enters])
-
-    def _merge(self, row: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
+        if self.own is not None:
+            enters &= found != self.own[row]
+        self.pending.append((row[enters], score[enters], found[enters]))
+        self.waiting += int(enters.sum())
+
+    def _merge(self) -> None:
+        row, score, ids = (
+            np.concatenate(parts)
+            for parts in zip((self.row, self.score, self.id), *self.pending)
+        )
+        self.pending, self.waiting = [], 0
         if not len(row):
             return
-        row = np.concatenate([self.row, row])
-        score = np.concatenate([self.score, score])
-        ids = np.concatenate([self.id, ids])
         order = np.lexsort((ids, -score, row))
         row, score, ids = row[order], score[order], ids[order]
         starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
@@ -128,6 +148,7 @@ class BestRows:
         self.floor_id[self.row[last]] = self.id[last]
 
     def to_arrow(self, query_ids: pa.Array, schema: pa.Schema) -> pa.RecordBatch:
+        self._merge()
         columns = [query_ids.take(pa.array(self.row)), pa.array(self.id), pa.array(self.score)]
         return pa.RecordBatch.from_arrays(
             [c.cast(f.type) for c, f in zip(columns, schema)], schema=schema

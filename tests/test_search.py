@@ -271,3 +271,27 @@ def test_vector_functions(spark):
     assert row["unit"] == [0.6, 0.8] and row["zero"] == [0.0, 0.0]
     assert abs(row["cosine"] - 0.96) < 1e-12 and row["l2"] == -2.0 and row["ip"] == 23.0
     assert row["none"] == 0.0
+
+
+@pytest.mark.parametrize("cells", [40, 4_000_000])
+def test_streamed_best_rows_match_brute_force(monkeypatch, cells):
+    """Many small additions, blank queries, ties: the held rows are those of one big sort."""
+    import pyarrow as pa
+
+    import glyphvec.operators.topk as topk
+
+    monkeypatch.setattr(topk, "BLOCK_CELLS", cells)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 13)
+    rng = np.random.default_rng(5)
+    corpus = rng.integers(-1, 2, size=(400, 3)).astype(np.float32)
+    queries = np.vstack([corpus[:25], np.zeros((5, 3), np.float32)])
+    best = topk.BestRows(queries, None, 6, "cosine")
+    for lo in range(0, 400, 37):
+        ids = np.arange(lo, min(lo + 37, 400))[::-1].copy()
+        best.add(corpus[ids], ids)
+    schema = pa.schema([("query_id", pa.int64()), ("index_id", pa.int64()), ("score", pa.float64())])
+    out = best.to_arrow(pa.array(np.arange(30)), schema).to_pydict()
+    want = brute(queries, corpus, 6, "cosine")
+    assert sorted(zip(out["query_id"], out["index_id"], out["score"])) == sorted(
+        (q, i, s) for q, _, i, s in want
+    )
