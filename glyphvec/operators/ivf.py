@@ -31,7 +31,7 @@ from glyphvec.operators.knn import (
 )
 from glyphvec.operators.topk import row_blocks, to_matrix, unit_rows
 from glyphvec.session import materialise
-from glyphvec.sinks.tables import write_manifest
+from glyphvec.sinks.tables import OUTPUT_ROOT, index_path, write_manifest
 from glyphvec.sources.vectors import read_manifest, read_vectors, vector_dim
 
 MAX_CLUSTERS = 16_384
@@ -96,22 +96,31 @@ def assign_clusters(vectors: DataFrame, centroids: np.ndarray, metric: str) -> D
 def build_index(
     spark: SparkSession,
     source: str | DataFrame,
-    index_dir: str,
+    index_dir: str = "",
     *,
     embedding_col: str = "embedding",
     metric: str = "cosine",
     nlist: int | None = None,
     nprobe: int | None = None,
     seed: int = 0,
+    model: str = "",
+    output_root: str = OUTPUT_ROOT,
     mode: str = "errorifexists",
 ) -> dict:
     """Write the index of a vector table and return its manifest.
 
-    ``source`` is a Parquet path or a frame with ``index_id``. Vectors are grouped for the write by a
+    ``source`` is a Parquet path or a frame with ``index_id``. An empty ``index_dir`` stands for the
+    default path below ``output_root`` for that Parquet path. Vectors are grouped for the write by a
     rebalance on the cluster, which also splits a cluster that holds much of the data.
     """
     check_metric(metric)
-    df = read_vectors(spark, source, embedding_col=embedding_col) if isinstance(source, str) else source
+    if isinstance(source, str):
+        df = read_vectors(spark, source, embedding_col=embedding_col)
+        index_dir = index_dir or index_path(spark, output_root, source, model=model)
+    else:
+        df = source
+    if not index_dir:
+        raise ValueError("an index of a frame needs an index_dir")
     for column in ("index_id", embedding_col):
         if column not in df.columns:
             raise ValueError(f"missing column {column!r}")

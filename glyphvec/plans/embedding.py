@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from glyphvec.operators.embed import BATCH_SIZE, ProviderFactory, embed
-from glyphvec.sinks.tables import FORMATS, write_embeddings
+from glyphvec.sinks.tables import FORMATS, OUTPUT_ROOT, embeddings_path, write_embeddings
 from glyphvec.sources.texts import read_texts
 
 
@@ -24,17 +24,21 @@ def embed_texts(
     batch_size: int = BATCH_SIZE,
     normalize: bool = True,
     partitions: int | None = None,
+    model: str = "",
+    output_root: str = OUTPUT_ROOT,
     mode: str = "errorifexists",
     **options,
 ) -> dict:
-    """Embed all records of ``source`` and return the run's rows, dim and seconds.
+    """Embed all records of ``source`` and return the run's rows, dim, output and seconds.
 
+    An empty ``output`` stands for the default path of ``model`` and ``source`` below ``output_root``.
     ``partitions`` repartitions the texts before encoding, to widen a small input or to bound the
     number of concurrent calls to a remote provider.
     """
     if fmt not in FORMATS:
         raise ValueError(f"unsupported output format {fmt!r}, use one of {FORMATS}")
     started = time.monotonic()
+    output = output or embeddings_path(spark, output_root, model, source, suffix=fmt)
     dim = factory().dim
     texts = read_texts(spark, source, ordered=fmt == "vectors", **options)
     if partitions:

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from glyphvec.functions.slugs import dataset_slug, model_slug, slug
+from glyphvec.functions.slugs import dataset_slug, model_slug, model_slug_from_path, slug
 from glyphvec.functions.vectors import checked_vector
+from glyphvec.session import is_directory
 
 FORMATS = ("parquet", "vectors")
+OUTPUT_ROOT = "output/models"
 
 
 def embedding_columns(df: DataFrame, dim: int) -> DataFrame:
@@ -74,17 +76,28 @@ def write_partitioned(
     )
 
 
-def artifact_paths(
+def _evaluate(spark: SparkSession, **columns: Column):
+    return spark.range(1).select(*[c.alias(n) for n, c in columns.items()]).head()
+
+
+def embeddings_path(
     spark: SparkSession, root: str, model: str, source: str, *, dataset: str = "", suffix: str = "parquet"
-) -> tuple[str, str]:
-    """Default paths of the embeddings and of the index for one model and one input."""
-    name = slug(F.lit(dataset)) if dataset else dataset_slug(F.lit(source))
-    row = spark.range(1).select(model_slug(F.lit(model)).alias("model"), name.alias("name")).head()
-    base = f"{root.rstrip('/')}/{row['model']}"
-    return (
-        f"{base}/embeddings/{row['name']}.{suffix.lstrip('.')}",
-        f"{base}/ann_index/{row['name']}_index",
-    )
+) -> str:
+    """Default output of an embedding job: ``<root>/<model>/embeddings/<dataset>.<suffix>``."""
+    name = slug(F.lit(dataset)) if dataset else dataset_slug(F.lit(source), is_directory(spark, source))
+    row = _evaluate(spark, model=model_slug(F.lit(model)), name=name)
+    return f"{root.rstrip('/')}/{row['model']}/embeddings/{row['name']}.{suffix.lstrip('.')}"
+
+
+def index_path(
+    spark: SparkSession, root: str, embeddings: str, *, model: str = "", dataset: str = ""
+) -> str:
+    """Default folder of an index: ``<root>/<model>/ann_index/<dataset>_index``, both names taken from
+    the path of the embeddings unless given."""
+    known = model_slug(F.lit(model)) if model else model_slug_from_path(F.lit(embeddings))
+    name = slug(F.lit(dataset)) if dataset else dataset_slug(F.lit(embeddings))
+    row = _evaluate(spark, model=known, name=name)
+    return f"{root.rstrip('/')}/{row['model']}/ann_index/{row['name']}_index"
 
 
 def write_manifest(spark: SparkSession, manifest: dict, index_dir: str, *, mode: str) -> None:

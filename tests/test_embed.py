@@ -6,8 +6,9 @@ from providers import Busy, Failing, Lengths, Seeded
 from pyspark.errors import PySparkException
 
 from glyphvec.operators.embed import HashingProvider, RetryingProvider, embed, encode_texts
+from glyphvec.operators.ivf import build_index
 from glyphvec.plans.embedding import embed_texts, run_metrics
-from glyphvec.sinks.tables import artifact_paths, format_of, write_embeddings
+from glyphvec.sinks.tables import embeddings_path, format_of, index_path, write_embeddings
 from glyphvec.sources.vectors import read_vectors
 
 
@@ -131,13 +132,28 @@ def test_vectors_come_out_in_order(spark, tmp_path):
     assert all(r["embedding"] == [r["index_id"]] for r in rows)
 
 
-def test_artifact_paths(spark):
-    assert artifact_paths(spark, "output/models", "acme/model-x", "/tmp/title_en.tsv") == (
-        "output/models/model-x/embeddings/title_en.parquet",
-        "output/models/model-x/ann_index/title_en_index",
-    )
-    named = artifact_paths(spark, "out/", "", "x.csv", dataset="my set", suffix=".vectors")
-    assert named == ("out/unknown-model/embeddings/my-set.vectors", "out/unknown-model/ann_index/my-set_index")
+def test_default_paths(spark, tmp_path):
+    path = embeddings_path(spark, "output/models", "acme/model-x", "/tmp/title_en.tsv")
+    assert path == "output/models/model-x/embeddings/title_en.parquet"
+    assert index_path(spark, "output/models", path) == "output/models/model-x/ann_index/title_en_index"
+    named = embeddings_path(spark, "out/", "", "x.csv", dataset="my set", suffix=".vectors")
+    assert named == "out/unknown-model/embeddings/my-set.vectors"
+    folder = tmp_path / "texts.d"
+    folder.mkdir()
+    assert embeddings_path(spark, "o", "m", str(folder)) == "o/m/embeddings/texts.d.parquet"
+    assert index_path(spark, "o", "a/b.parquet", model="x/y", dataset="d 1") == "o/y/ann_index/d-1_index"
+    assert index_path(spark, "o", "a/b.parquet") == "o/unknown-model/ann_index/b_index"
+
+
+def test_jobs_on_default_paths(spark, tmp_path):
+    source, root = tmp_path / "title_en.tsv", str(tmp_path / "models")
+    source.write_text("1\tone\n2\ttwo words\n")
+    run = embed_texts(spark, str(source), "", Lengths, model="acme/model-x", output_root=root)
+    assert run["output"] == f"{root}/model-x/embeddings/title_en.parquet"
+    manifest = build_index(spark, run["output"], output_root=root)
+    assert manifest["output_dir"] == f"{root}/model-x/ann_index/title_en_index"
+    with pytest.raises(ValueError, match="index_dir"):
+        build_index(spark, spark.read.parquet(run["output"]))
 
 
 def test_stream(spark, tmp_path):
