@@ -13,7 +13,7 @@ from checks.texts import sql_clean, sql_line
 from glyphvec.functions.text import clean_text, single_line
 from glyphvec.functions.vectors import l2_normalize as unit_length
 from glyphvec.functions.vectors import score, zero_vector
-from glyphvec.operators.embed import HashingProvider, embed
+from glyphvec.operators.embed import HashingProvider, RetryingProvider, embed
 from glyphvec.operators.ivf import build_index, query_index
 from glyphvec.operators.knn import knn_join
 from glyphvec.operators.lookup import attach_metadata, checked_ids, vector_at, vectors_at
@@ -196,16 +196,40 @@ class LengthProvider:
         return lengths[:, None] + np.arange(self.dim)
 
 
-@C.add(
-    f"""SELECT doc_id, CAST(pos AS INTEGER) AS pos, round(CAST((length(text) + pos) / sqrt(list_sum(
-            list_transform(range(4), lambda i: (length(text) + i) * (length(text) + i)))) AS FLOAT)::DOUBLE, 6) + 0.0 AS value
-        FROM documents, (SELECT unnest(range(4)) AS pos)"""
-)
+CLIENT_SQL = """SELECT doc_id, CAST(pos AS INTEGER) AS pos, round(CAST((length(text) + pos) / sqrt(list_sum(
+        list_transform(range(4), lambda i: (length(text) + i) * (length(text) + i)))) AS FLOAT)::DOUBLE, 6) + 0.0 AS value
+    FROM documents, (SELECT unnest(range(4)) AS pos)"""
+
+
+@C.add(CLIENT_SQL)
 def client_embed(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return exploded(embed(docs, LengthProvider, text_col="text", batch_size=16), "doc_id")
 
 
+@dataclass
+class BusyProvider(LengthProvider):
+    """Turns away every second call, as a client does under a rate limit."""
+
+    calls: int = 0
+
+    def encode(self, texts: list[str]) -> np.ndarray:
+        self.calls += 1
+        if self.calls % 2:
+            raise ConnectionError("busy")
+        return super().encode(texts)
+
+
+def patient() -> RetryingProvider:
+    return RetryingProvider(BusyProvider(), (ConnectionError,), sleep=lambda seconds: None)
+
+
+@C.add(CLIENT_SQL)
+def client_embed_with_retries(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return exploded(embed(docs, patient, text_col="text", batch_size=16), "doc_id")
+
+
 @C.add("SELECT vec_id, CAST(pos - 1 AS INTEGER) AS pos, round(embedding[pos]::DOUBLE, 6) + 0.0 AS value FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS pos FROM embeddings WHERE vec_id = 7)")
 def point_lookup(spark, sf_dir):
     return exploded(vector_at(vectors(spark, sf_dir), 7).withColumnRenamed("index_id", "vec_id"), "vec_id")

@@ -15,9 +15,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from glyphvec.functions.order import natural_key
-from glyphvec.session import materialise
+from glyphvec.session import materialise, planned_bytes
 
 BROADCAST_UNITS = 1_000_000
+# Above it, splits have the full spark.sql.files.maxPartitionBytes for any likely number of cores.
+FIXED_SPLIT_BYTES_PER_CORE = 512 * 1024 * 1024
 
 
 def _running_offsets(counts: DataFrame, order: Sequence[str | Column]) -> DataFrame:
@@ -55,7 +57,9 @@ def number_split_rows(scan: DataFrame, columns: Sequence[Column]) -> DataFrame:
     """``index_id`` for a text scan: file order, then order in the file, then ``columns`` of the scan.
 
     A split is read in one go by one task, so the distance to the first row id of the split is the
-    position in it. The scan runs twice (once without its columns) and nothing is shuffled.
+    position in it. The scan runs twice (once without its columns) and nothing is shuffled. Only where
+    the input is so small that Spark sizes its splits by the number of cores, which may change between
+    the two passes, it is parsed once into a table.
     """
     unit = ["_file", "_block"]
     placed = scan.select(
@@ -64,6 +68,9 @@ def number_split_rows(scan: DataFrame, columns: Sequence[Column]) -> DataFrame:
         F.monotonically_increasing_id().alias("_row"),
         *columns,
     )
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if planned_bytes(scan) < cores * FIXED_SPLIT_BYTES_PER_CORE:
+        placed = materialise(placed, "records")
     counts = placed.groupBy(*unit).agg(
         F.count(F.lit(1)).alias("_rows"), F.min("_row").alias("_first")
     )

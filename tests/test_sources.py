@@ -82,7 +82,11 @@ def test_quoted_line_breaks(spark, tmp_path):
     assert records(read_tabular(spark, path, multi_line=True, ordered=True)) == [("1", "a\nb"), ("2", "c")]
 
 
-def test_order_over_many_files_and_splits(spark, tmp_path):
+@pytest.mark.parametrize("per_core", [0, 1 << 29])
+def test_order_over_many_files_and_splits(spark, tmp_path, monkeypatch, per_core):
+    import glyphvec.operators.ordinals as ordinals
+
+    monkeypatch.setattr(ordinals, "FIXED_SPLIT_BYTES_PER_CORE", per_core)
     for part in range(12):
         lines = "".join(f"{part * 500 + i}\ttext {i}\n" for i in range(500))
         put(tmp_path / f"part-{part}.tsv", lines)
