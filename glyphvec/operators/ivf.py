@@ -225,7 +225,7 @@ def query_index(
     asked = standard_queries(queries, query_id, embedding_col, self_col)
     query_type = asked.schema["query_id"].dataType
     # Bounded when the index is built: at most max_nlist(dim) rows.
-    table = spark.read.parquet(f"{index_dir}/centroids").orderBy("cluster_id").toArrow()
+    table = spark.read.parquet(f"{index_dir}/centroids").toArrow().sort_by("cluster_id")
     centroids = np.array(table["centroid"].to_pylist())
     sizes = table["n_rows"].to_numpy()
     nprobe = max(1, min(nprobe or int(manifest["nprobe"]), len(centroids)))

@@ -14,6 +14,10 @@ from glyphvec.functions.text import or_empty, strip
 from glyphvec.operators.lookup import vector_at
 from glyphvec.operators.ordinals import number_parquet_rows
 
+MANIFEST_SCHEMA = (
+    "input STRING, output_dir STRING, embedding_col STRING, space STRING, dimensions INT, count BIGINT, "
+    "nlist INT, nprobe INT, seed BIGINT, created_at STRING, index_file STRING, metadata_file STRING"
+)
 QUERY_SCHEMA = "query_id BIGINT, embedding ARRAY<FLOAT>"
 
 
@@ -87,7 +91,7 @@ def parse_vectors(df: DataFrame, json_col: str) -> DataFrame:
 
 def read_manifest(spark: SparkSession, index_dir: str) -> dict:
     """The one-row manifest beside an index."""
-    return spark.read.json(f"{index_dir}/manifest.json").head().asDict()
+    return spark.read.schema(MANIFEST_SCHEMA).json(f"{index_dir}/manifest.json").head().asDict()
 
 
 def read_index_metadata(spark: SparkSession, index_dir: str) -> DataFrame:
