@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from glyphvec.llm import langid, quality
+from glyphvec.llm import jaccard, langid, packing, quality
 
-_MODULES = (langid, quality)
+_MODULES = (quality, packing, jaccard, langid)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in _MODULES for name, sql in getattr(module, "SQL", {}).items()}
