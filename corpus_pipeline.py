@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from glyphvec.llm import langid, quality
+from glyphvec.llm import jaccard, langid, packing, pii, quality
 from glyphvec.session import materialise, ship_package
 
 
@@ -24,9 +25,35 @@ def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return quality.filter_quality(docs)
 
 
+def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of copies and near copies."""
+    ship_package(spark)
+    return jaccard.keep_one(docs)
+
+
+def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data in the texts; ``n_chars`` follows."""
+    ship_package(spark)
+    replaced = pii.pseudonymise(docs, pii.SAMPLE_KEY)
+    if "n_chars" in docs.columns:
+        replaced = replaced.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return replaced.select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokenises what is left and packs it; one row for each piece of a document."""
+    import public_tokenizers
+
+    ship_package(spark)
+    return packing.pack(packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
 STAGES = [
     ("language", identify_language),
     ("quality", filter_quality),
+    ("near_duplicates", join_near_duplicates),
+    ("private", replace_private),
+    ("packing", pack_sequences),
 ]
 
 #: Learned models and sketches decide here; the stages are tested against brute force instead.
