@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from glyphvec.llm import jaccard, langid, packing, pii, quality
+from glyphvec.llm import jaccard, langid, packing, pii, quality, secrets, topk
 
-_MODULES = (quality, pii, packing, jaccard, langid)
+_MODULES = (secrets, quality, pii, packing, jaccard, langid, topk)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in _MODULES for name, sql in getattr(module, "SQL", {}).items()}
