@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from glyphvec.llm import jaccard, langid, packing, pii, quality, secrets, sentencepieces, topk, urlfilter
+from glyphvec.llm import jaccard, langid, packing, pii, quality, secretscan, sentencepieces, topk, toxicity, urlfilter
 
-_MODULES = (urlfilter, secrets, sentencepieces, quality, pii, packing, jaccard, langid, topk)
+_MODULES = (toxicity, urlfilter, secretscan, sentencepieces, quality, pii, packing, jaccard, langid, topk)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in _MODULES for name, sql in getattr(module, "SQL", {}).items()}
