@@ -8,7 +8,6 @@ number of rules however large the corpus is.
 from __future__ import annotations
 
 import math
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -66,12 +65,12 @@ def _repeated(w: Column) -> Column:
     return bind(windows, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(covered(h)))
 
 
-def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with a column ``stats``: what the rules look at.
+def statistics(text: Column) -> Column:
+    """What the rules look at, as one struct; each part is computed once per row.
 
     Null texts count as empty; every statistic of an empty text is 0.
     """
-    body = F.coalesce(F.col(text), F.lit(""))
+    body = F.coalesce(text, F.lit(""))
 
     def of_words(w: Column) -> Column:
         common = F.filter(w, lambda x: F.lower(x).isin(FUNCTION_WORDS))
@@ -92,45 +91,58 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         )
 
     lines = F.filter(F.split(body, "\n"), lambda line: F.rlike(line, F.lit(NOT_SPACE)))
-    counted = docs.withColumns({"__words": bind(words(F.col(text)), of_words), "__lines": bind(lines, of_lines)})
-    stats = F.struct(
-        "__words.*",
-        "__lines.*",
+    parts = F.struct(
+        bind(words(text), of_words).alias("words"),
+        bind(lines, of_lines).alias("lines"),
         _chars(body, SYMBOLS).alias("n_symbols"),
         _chars(body, "!?").alias("n_shouts"),
         _chars(body, "A-Z").alias("n_capitals"),
     )
-    return counted.withColumn("stats", stats).drop("__words", "__lines")
+    names = {"words": WORD_STATISTICS, "lines": ("n_lines", "n_dup_lines")}
+    return bind(
+        parts,
+        lambda p: F.struct(
+            *(p[group][name].alias(name) for group, own in names.items() for name in own),
+            *(p[name].alias(name) for name in ("n_symbols", "n_shouts", "n_capitals")),
+        ),
+    )
+
 
+WORD_STATISTICS = ("n_words", "word_chars", "n_distinct", "n_repeat_words", "n_function_words", "n_bare")
 
-#: (name, bad if, good if) as SQL conditions over the statistics; neither: the rule abstains. Products
-#: of whole numbers, so that every engine agrees. Not to have one fault is no sign of quality, so most
-#: rules can only vote against a text.
+
+#: (name, bad if, good if) over the statistics; neither: the rule abstains. Not to have one fault is no
+#: sign of quality, so most rules can only vote against a text.
 RULES = (
-    ("symbols", "100 * n_symbols > 10 * n_words", "100 * n_symbols <= 1 * n_words"),
-    ("bare_tokens", "100 * n_bare > 10 * n_words", None),
-    ("repetition", "100 * n_repeat_words > 30 * n_words", None),
-    ("variety", "100 * n_distinct < 20 * n_words", None),
-    ("lines", "100 * n_dup_lines > 30 * n_lines", None),
-    ("shouting", "100 * n_shouts > 20 * n_words", None),
-    ("capitals", "100 * n_capitals > 30 * word_chars", None),
-    ("function_words", "100 * n_function_words < 2 * n_words", "100 * n_function_words > 8 * n_words"),
-    ("word_length", "word_chars < 2 * n_words OR word_chars > 15 * n_words", None),
+    ("symbols", lambda s: 100 * s["n_symbols"] > 10 * s["n_words"], lambda s: 100 * s["n_symbols"] <= s["n_words"]),
+    ("bare_tokens", lambda s: 100 * s["n_bare"] > 10 * s["n_words"], None),
+    ("repetition", lambda s: 100 * s["n_repeat_words"] > 30 * s["n_words"], None),
+    ("variety", lambda s: 100 * s["n_distinct"] < 20 * s["n_words"], None),
+    ("lines", lambda s: 100 * s["n_dup_lines"] > 30 * s["n_lines"], None),
+    ("shouting", lambda s: 100 * s["n_shouts"] > 20 * s["n_words"], None),
+    ("capitals", lambda s: 100 * s["n_capitals"] > 30 * s["word_chars"], None),
+    (
+        "function_words",
+        lambda s: 100 * s["n_function_words"] < 2 * s["n_words"],
+        lambda s: 100 * s["n_function_words"] > 8 * s["n_words"],
+    ),
+    ("word_length", lambda s: (s["word_chars"] < 2 * s["n_words"]) | (s["word_chars"] > 15 * s["n_words"]), None),
 )
-NAMES = tuple(name for name, _, _ in RULES)
 
 
-def vote_sql(rule: tuple[str, str, str | None]) -> str:
-    """-1 bad, 1 good, 0 abstains; texts without words get no vote."""
-    _, bad, good = rule
-    also = f"WHEN {good} THEN 1 " if good else ""
-    return f"CASE WHEN n_words = 0 THEN 0 WHEN {bad} THEN -1 {also}ELSE 0 END"
+def votes(stats: Column) -> Column:
+    """One vote per rule: -1 bad, 1 good, 0 abstains; texts without words get no vote."""
+
+    def vote(bad, good) -> Column:
+        cast = F.when(stats["n_words"] == 0, 0).when(bad(stats), -1)
+        return (cast.when(good(stats), 1) if good else cast).otherwise(0)
 
+    return F.array(*(vote(bad, good) for _, bad, good in RULES))
 
-def with_votes(docs: DataFrame) -> DataFrame:
-    """Adds ``votes``, an array of one vote per rule, from ``stats``."""
-    qualified = [re.sub(r"\b(n_\w+|word_chars)\b", r"stats.\1", vote_sql(rule)) for rule in RULES]
-    return docs.withColumn("votes", F.array(*map(F.expr, qualified)))
+
+def base_failed(stats: Column) -> Column:
+    """Too few words, or more than half of them in repeated windows."""
+    return (stats["n_words"] < MIN_WORDS) | (100 * stats["n_repeat_words"] > 50 * stats["n_words"])
 
 
 @dataclass(frozen=True)
@@ -140,43 +152,41 @@ class LabelModel:
     prior: float
     accuracy: tuple[float, ...]
 
-    def posterior(self, votes: str = "votes") -> Column:
-        """Probability that a text is good, given its votes.
+    def weights(self) -> list[float]:
+        """Log odds: of the prior, then what a vote of each rule adds."""
+        return [math.log(p / (1 - p)) for p in (self.prior, *self.accuracy)]
+
+    def probability(self, pattern: tuple[int, ...]) -> float:
+        return 1 / (1 + math.exp(-sum(v * w for v, w in zip((1, *pattern), self.weights()))))
 
-        The weights are one array, so that another round runs the code compiled for the one before.
-        """
-        weights = F.array(*(F.lit(math.log(p / (1 - p))) for p in (self.prior, *self.accuracy)))
-        cast = F.concat(F.array(F.lit(1)), F.col(votes))
+    def posterior(self, votes: Column) -> Column:
+        """Probability that a text is good, given its votes."""
+        weights = F.array(*map(F.lit, self.weights()))
+        cast = F.concat(F.array(F.lit(1)), votes)
         odds = F.aggregate(F.zip_with(cast, weights, lambda v, w: v * w), F.lit(0.0), lambda a, x: a + x)
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
 
 
 def fit(voted: DataFrame, rounds: int = ROUNDS) -> LabelModel:
-    """Expectation-maximisation over the vote patterns of ``voted``.
+    """Expectation-maximisation over the patterns in column ``votes`` of ``voted``.
 
-    The corpus is read once, for the pattern counts (at most 3 ** rules rows, written to the shared
-    folder); a round reads those and returns one row of sums. Without any vote the start values stay.
+    Spark counts the patterns of the whole corpus, of which there are at most 3 ** rules; the rounds are
+    sums over those counts. Without any vote the start values stay.
     """
     counts = voted.groupBy("votes").agg(F.count("*").alias("n"))
-    patterns = materialise(counts, "votes").coalesce(1)
+    patterns = sorted((tuple(r["votes"]), r["n"]) for r in counts.collect())
+    total = sum(n for _, n in patterns)
     model = LabelModel(START_PRIOR, (RIGHT / (RIGHT + WRONG),) * len(RULES))
-    for _ in range(rounds):
-        scored = patterns.withColumn("good", model.posterior())
-        sums = [F.sum("n").alias("n"), F.sum(F.col("n") * F.col("good")).alias("good")]
+    for _ in range(rounds if total else 0):
+        good = [model.probability(pattern) for pattern, _ in patterns]
+        accuracy = []
         for i in range(len(RULES)):
-            vote = F.col("votes")[i]
-            right = F.when(vote == 1, F.col("good")).when(vote == -1, 1 - F.col("good")).otherwise(0.0)
-            sums += [F.sum(F.col("n") * right).alias(f"right_{i}"), F.sum(F.col("n") * F.abs(vote)).alias(f"all_{i}")]
-        row = scored.agg(*sums).first()
-        if not row["n"]:
-            return model
-        model = LabelModel(
-            _within((row["good"] + RIGHT) / (row["n"] + RIGHT + WRONG), 0.05, START_PRIOR),
-            tuple(
-                _within((row[f"right_{i}"] + RIGHT) / (row[f"all_{i}"] + RIGHT + WRONG), 0.55, 0.99)
-                for i in range(len(RULES))
-            ),
-        )
+            cast = [(n, p if pattern[i] > 0 else 1 - p) for (pattern, n), p in zip(patterns, good) if pattern[i]]
+            right = sum(n * p for n, p in cast)
+            accuracy.append(_within((right + RIGHT) / (sum(n for n, _ in cast) + RIGHT + WRONG), 0.55, 0.99))
+        share = sum(n * p for (_, n), p in zip(patterns, good))
+        prior = _within((share + RIGHT) / (total + RIGHT + WRONG), 0.05, START_PRIOR)
+        model = LabelModel(prior, tuple(accuracy))
     return model
 
 
@@ -184,41 +194,36 @@ def _within(x: float, low: float, high: float) -> float:
     return min(high, max(low, round(x, DIGITS)))
 
 
-def judge(docs: DataFrame, model: LabelModel) -> DataFrame:
-    """``docs`` (with ``stats`` and ``votes``) with ``base_failed``, ``quality`` and ``kept``.
+def kept(stats: Column, model: LabelModel) -> Column:
+    """Not failed by the base rules, and good with a posterior of one half or more.
 
-    ``base_failed``: too few words, or more than half of them in repeated windows. ``kept``: otherwise
-    the posterior decides; one half or more keeps. Texts that are null, empty or blank fail.
+    Texts that are null, empty or blank fail.
     """
-    words_, repeated = F.col("stats.n_words"), F.col("stats.n_repeat_words")
-    failed = (words_ < MIN_WORDS) | (100 * repeated > 50 * words_)
-    return docs.withColumns({"base_failed": failed, "quality": model.posterior()}).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("quality") >= 0.5)
-    )
+    good = bind(votes(stats), lambda v: model.posterior(v) >= 0.5)
+    return ~base_failed(stats) & good
 
 
 def filter_quality(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, columns unchanged.
 
     Rows are judged one by one: repeated rows and rows with null ids stay or go like any other. The
-    texts are read twice, once to weigh the rules, and never shuffled.
+    texts are read twice, once to weigh the rules, and never shuffled. The verdict is one expression,
+    as a filter over several columns would compute the statistics for each time it names them.
     """
-    names = docs.columns
-    inner = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.col(f"`{text}`").alias("text"))
-    voted = with_votes(with_statistics(inner))
-    model = fit(voted)
-    return judge(voted, model).filter("kept").select("row.*")
+    stats = statistics(F.col(f"`{text}`"))
+    model = fit(docs.select(bind(stats, votes).alias("votes")))
+    return docs.filter(bind(stats, lambda s: kept(s, model)))
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every document."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    small = materialise(with_statistics(docs).drop("text"), "statistics")
-    voted = with_votes(small)
-    judged = judge(voted, fit(voted))
-    return judged.select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", statistics(F.col("text")).alias("stats"))
+    small = materialise(docs, "statistics")
+    model = fit(small.select(votes(F.col("stats")).alias("votes")))
+    return small.select(
         "doc_id", "stats.n_words", "stats.word_chars", "stats.n_symbols", "stats.n_dup_lines",
-        "stats.n_repeat_words", "base_failed", "kept",
+        "stats.n_repeat_words", base_failed(F.col("stats")).alias("base_failed"),
+        kept(F.col("stats"), model).alias("kept"),
     )
 
 
