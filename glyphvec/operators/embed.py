@@ -7,6 +7,7 @@ is called once per task, so that clients and models never travel inside a closur
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 import time
 from collections.abc import Callable, Sequence
@@ -48,19 +49,18 @@ class HashingProvider:
 
     def _place_of(self, word: str) -> int:
         head = hashlib.md5(word.encode("utf-8"), usedforsecurity=False).digest()[:4]
-        place = int.from_bytes(head, "big") % self.dim
-        if len(self._place) < self.max_words:
-            self._place[word] = place
-        return place
+        return int.from_bytes(head, "big") % self.dim
 
     def encode(self, texts: list[str]) -> np.ndarray:
-        out = np.empty((len(texts), self.dim), dtype=np.float32)
-        known = self._place
-        for i, text in enumerate(texts):
-            words = self._word.findall(text.lower())
-            places = [known[w] if w in known else self._place_of(w) for w in words]
-            out[i] = np.bincount(places, minlength=self.dim) if places else 0.0
-        return out
+        words = [self._word.findall(text.lower()) for text in texts]
+        flat = list(itertools.chain.from_iterable(words))
+        if len(self._place) > self.max_words:
+            self._place = {}
+        self._place |= {w: self._place_of(w) for w in set(flat).difference(self._place)}
+        places = np.fromiter(map(self._place.__getitem__, flat), np.int64, len(flat))
+        rows = np.repeat(np.arange(len(texts)), [len(w) for w in words])
+        counts = np.bincount(rows * self.dim + places, minlength=len(texts) * self.dim)
+        return counts.reshape(len(texts), self.dim).astype(np.float32)
 
 
 @dataclass
@@ -80,15 +80,18 @@ class RetryingProvider:
         return self.inner.dim
 
     def encode(self, texts: list[str]) -> np.ndarray:
-        failures = 0
-        while True:
+        for delay in (*self.delays(), None):
             try:
                 return self.inner.encode(texts)
             except self.retry_on:
-                failures += 1
-                if failures > self.max_retries:
+                if delay is None:
                     raise
-                self.sleep(min(2**failures, MAX_BACKOFF_SECONDS))
+            self.sleep(delay)
+        raise AssertionError("the last attempt returns or raises")
+
+    def delays(self) -> list[int]:
+        """Seconds to wait before each repetition."""
+        return [min(2**n, MAX_BACKOFF_SECONDS) for n in range(1, self.max_retries + 1)]
 
 
 def encode_texts(

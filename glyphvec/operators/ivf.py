@@ -7,8 +7,8 @@ reads only the clusters nearest to it; probing all clusters gives the exact answ
 
 from __future__ import annotations
 
-import datetime as dt
 import math
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,8 @@ from glyphvec.operators.knn import (
     BROADCAST_BYTES,
     QuerySet,
     best_per_query,
-    block_join,
+    in_query_blocks,
+    knn_join,
     query_bytes,
     result_schema,
     scan_join,
@@ -35,8 +36,9 @@ from glyphvec.sinks.tables import OUTPUT_ROOT, index_path, write_manifest
 from glyphvec.sources.vectors import read_manifest, read_vectors, vector_dim
 
 MAX_CLUSTERS = 16_384
-TRAIN_ROWS_PER_CLUSTER = 256
 CENTROID_BYTES = 64 * 1024 * 1024
+RECALL_TARGET = 0.95
+CALIBRATION_QUERIES, CALIBRATION_K = 200, 10
 
 
 def default_nlist(rows: int, dim: int) -> int:
@@ -48,12 +50,13 @@ def max_nlist(dim: int) -> int:
     return max(1, min(MAX_CLUSTERS, CENTROID_BYTES // (dim * 8)))
 
 
-def _train(vectors: DataFrame, rows: int, nlist: int, metric: str, seed: int) -> np.ndarray:
-    """Cluster centres. Above 256 rows per centre a hash sample places the centres (every row is
-    still assigned and indexed)."""
-    budget = nlist * TRAIN_ROWS_PER_CLUSTER
-    if rows > budget:
-        share = int(budget / rows * 2**32)
+def _train(
+    vectors: DataFrame, rows: int, nlist: int, metric: str, seed: int, train_rows: int | None
+) -> np.ndarray:
+    """Cluster centres of all rows, or of a hash sample of about ``train_rows`` (every row is still
+    assigned and indexed)."""
+    if train_rows and rows > train_rows:
+        share = int(train_rows / rows * 2**32)
         vectors = vectors.filter(F.expr(f"pmod(xxhash64(index_id, {seed}), {2**32})") < share)
     if nlist == 1:
         return np.zeros((1, vector_dim(vectors)))
@@ -102,6 +105,8 @@ def build_index(
     metric: str = "cosine",
     nlist: int | None = None,
     nprobe: int | None = None,
+    recall: float = RECALL_TARGET,
+    train_rows: int | None = None,
     seed: int = 0,
     model: str = "",
     output_root: str = OUTPUT_ROOT,
@@ -109,6 +114,10 @@ def build_index(
 ) -> dict:
     """Write the index of a vector table and return its manifest.
 
+    Unless given, ``nprobe`` is the smallest number of clusters that holds the share ``recall`` of the
+    true neighbours of a few hundred rows, themselves left out; the manifest tells target and measured
+    share. ``train_rows`` bounds the rows that place the centres; by default all do.
+
     ``source`` is a Parquet path or a frame with ``index_id``. An empty ``index_dir`` stands for the
     default path below ``output_root`` for that Parquet path. Vectors are grouped for the write by a
     rebalance on the cluster, which also splits a cluster that holds much of the data.
@@ -118,7 +127,8 @@ def build_index(
         df = read_vectors(spark, source, embedding_col=embedding_col)
         index_dir = index_dir or index_path(spark, output_root, source, model=model)
     else:
-        df = source
+        # Training, assigning and describing read the rows several times; an encoder runs once.
+        df = materialise(source, "vectors")
     if not index_dir:
         raise ValueError("an index of a frame needs an index_dir")
     for column in ("index_id", embedding_col):
@@ -130,7 +140,7 @@ def build_index(
     nlist = min(rows, nlist or default_nlist(rows, dim))
     if nlist > max_nlist(dim):
         raise ValueError(f"nlist must not exceed {max_nlist(dim)} for dimension {dim}")
-    centroids = _train(vectors, rows, nlist, metric, seed)
+    centroids = _train(vectors, rows, nlist, metric, seed, train_rows)
 
     assigned = assign_clusters(vectors, centroids, metric)
     (
@@ -146,6 +156,7 @@ def build_index(
         "cluster_id INT, centroid ARRAY<DOUBLE>, n_rows BIGINT",
     )
     centres.coalesce(1).write.mode(mode).parquet(f"{index_dir}/centroids")
+    enough, measured = _calibrate(spark, index_dir, vectors, centroids, metric, recall, nprobe, seed)
     described = Observation()
     metadata = df.drop(embedding_col).observe(described, F.count(F.lit(1)).alias("rows"))
     metadata.write.mode(mode).parquet(f"{index_dir}/metadata")
@@ -160,9 +171,11 @@ def build_index(
         "dimensions": dim,
         "count": rows,
         "nlist": len(centroids),
-        "nprobe": nprobe or max(1, round(math.sqrt(len(centroids)))),
+        "nprobe": enough,
+        "recall_target": recall,
+        "recall": measured,
         "seed": seed,
-        "created_at": dt.datetime.now(dt.UTC).isoformat().replace("+00:00", "Z"),
+        "created_at": time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime()),
         "index_file": "vectors",
         "metadata_file": "metadata",
     }
@@ -170,6 +183,47 @@ def build_index(
     return manifest
 
 
+def _calibrate(
+    spark: SparkSession,
+    index_dir: str,
+    vectors: DataFrame,
+    centroids: np.ndarray,
+    metric: str,
+    target: float,
+    nprobe: int | None,
+    seed: int,
+) -> tuple[int, float]:
+    """Clusters to probe, and the share of true neighbours that they hold.
+
+    A few hundred rows, chosen by hash, are searched exactly; how far down a query's list of clusters
+    each of their neighbours lies gives the share for any number of probes.
+    """
+    drawn = vectors.orderBy(F.xxhash64("index_id", F.lit(seed)), "index_id").limit(CALIBRATION_QUERIES)
+    asked = materialise(drawn.withColumnRenamed("index_id", "query_id"), "calibration")
+    exact = knn_join(
+        asked.withColumn("own", F.col("query_id")), vectors, CALIBRATION_K, metric, self_col="own"
+    ).select("query_id", "index_id")
+    stored = spark.read.parquet(f"{index_dir}/vectors").select("index_id", "cluster_id")
+    # Bounded: a few hundred queries with ten neighbours each.
+    homes = stored.join(F.broadcast(exact), "index_id").select("query_id", "cluster_id").toArrow()
+    rows = asked.toArrow()
+    if not homes.num_rows:
+        return min(nprobe or 1, len(centroids)), 1.0
+    near = _nearness(to_matrix(rows["embedding"], centroids.shape[1]), centroids, metric)
+    place = near.argsort(axis=1, kind="stable").argsort(axis=1, kind="stable")
+    at = {q: i for i, q in enumerate(rows["query_id"].to_pylist())}
+    owner = [at[q] for q in homes["query_id"].to_pylist()]
+    depth = np.sort(place[owner, homes["cluster_id"].to_numpy()])
+    needed = int(depth[math.ceil(target * len(depth)) - 1]) + 1
+    probes = min(nprobe or needed, len(centroids))
+    return probes, round(float((depth < probes).mean()), 4)
+
+
+def _nearness(rows: np.ndarray, centres: np.ndarray, metric: str) -> np.ndarray:
+    """Smaller is nearer, for each row and centre."""
+    return -(rows @ centres.T) if metric == "ip" else _distances(rows, centres, metric)
+
+
 def _probe(
     queries: DataFrame, centroids: np.ndarray, sizes: np.ndarray, metric: str, nprobe: int, want: int
 ) -> DataFrame:
@@ -188,7 +242,7 @@ def _probe(
             starts = row_blocks(len(asked), len(centres))
             for lo in starts:
                 some = asked[lo : lo + starts.step]
-                near = -(some @ centres.T) if metric == "ip" else _distances(some, centres, metric)
+                near = _nearness(some, centres, metric)
                 order = near.argsort(axis=1, kind="stable").astype(np.int32)
                 enough = (counts[order].cumsum(axis=1) < want).sum(axis=1) + 1
                 take = np.clip(np.maximum(nprobe, enough), 1, len(centres))
@@ -226,32 +280,37 @@ def query_index(
     query_type = asked.schema["query_id"].dataType
     # Bounded when the index is built: at most max_nlist(dim) rows.
     table = spark.read.parquet(f"{index_dir}/centroids").toArrow().sort_by("cluster_id")
-    centroids = np.array(table["centroid"].to_pylist())
+    centroids = table["centroid"].combine_chunks().flatten().to_numpy().reshape(-1, dim)
     sizes = table["n_rows"].to_numpy()
     nprobe = max(1, min(nprobe or int(manifest["nprobe"]), len(centroids)))
-    probes = _probe(asked, centroids, sizes, metric, nprobe, k + bool(self_col))
+    probes = materialise(_probe(asked, centroids, sizes, metric, nprobe, k + bool(self_col)), "probes")
     vectors = spark.read.parquet(f"{index_dir}/vectors")
 
     size = probes.agg(
         F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("clusters")), F.lit(0)).alias("probes")
     ).head()
-    if size["rows"] * query_bytes(dim, k) + size["probes"] * 8 > broadcast_bytes:
-        pairs = materialise(probes.withColumn("cluster_id", F.explode("clusters")).drop("clusters"), "probes")
-        found = block_join(vectors, pairs, dim, k, metric, bool(self_col))
-        return best_per_query(found, k)
-
-    rows = probes.toArrow()
-    if not rows.num_rows:
-        return best_per_query(spark.createDataFrame([], result_schema(query_type)), k)
-    clusters = rows["clusters"].combine_chunks()
-    owner = np.repeat(np.arange(rows.num_rows), np.diff(clusters.offsets.to_numpy()))
-    probed = clusters.flatten().to_numpy()
-    side = QuerySet(
-        ids=rows["query_id"].combine_chunks(),
-        vectors=to_matrix(rows["embedding"], dim),
-        own=rows["own_id"].to_numpy() if self_col else None,
-        clusters={int(c): owner[probed == c] for c in np.unique(probed)},
-    )
-    if len(side.clusters) < len(centroids):
-        vectors = vectors.filter(F.col("cluster_id").isin(sorted(side.clusters)))
-    return best_per_query(scan_join(vectors, side, query_type, k, metric), k)
+    if not size["rows"]:
+        return best_per_query(spark.createDataFrame([], result_schema(query_type)), k, metric)
+
+    def search(block: DataFrame) -> DataFrame:
+        rows = block.toArrow()
+        if not rows.num_rows:
+            return spark.createDataFrame([], result_schema(query_type))
+        clusters = rows["clusters"].combine_chunks()
+        owner = np.repeat(np.arange(rows.num_rows), np.diff(clusters.offsets.to_numpy()))
+        probed = clusters.flatten().to_numpy()
+        order = np.argsort(probed, kind="stable")
+        names, starts = np.unique(probed[order], return_index=True)
+        side = QuerySet(
+            ids=rows["query_id"].combine_chunks(),
+            vectors=to_matrix(rows["embedding"], dim),
+            own=rows["own_id"].to_numpy() if self_col else None,
+            clusters=dict(zip(names.tolist(), np.split(owner[order], starts[1:]))),
+        )
+        read = vectors
+        if len(side.clusters) < len(centroids):
+            read = vectors.filter(F.col("cluster_id").isin(sorted(side.clusters)))
+        return scan_join(read, side, query_type, k, metric)
+
+    needed = size["rows"] * query_bytes(dim, k) + size["probes"] * 8
+    return in_query_blocks(probes, needed, broadcast_bytes, k, metric, search)

@@ -1,15 +1,13 @@
 """Exact k-nearest-neighbour join.
 
-Few queries (the usual case; their size is measured): the query matrix is broadcast and the corpus
-streams past it in Arrow batches, without a shuffle. Each task keeps k rows per query, so that the one
-shuffle, by query, moves (tasks x queries x k) small rows however large the corpus is.
-
-Many queries: both sides are cut into hashed blocks of bounded size, and each pair of blocks is one
-co-grouped task (``block_join``). Nothing passes through the driver.
+The query matrix is broadcast and the corpus streams past it in Arrow batches, without a shuffle. Each
+task keeps k rows per query, so that the one shuffle, by query, moves (tasks x queries x k) small rows
+however large the corpus is. A query set beyond the measured bound goes in blocks, one after the other.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,10 +18,9 @@ from pyspark.sql import types as T
 
 from glyphvec.functions.vectors import check_metric
 from glyphvec.operators.topk import BestRows, to_matrix
+from glyphvec.session import materialise
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-BLOCK_BYTES = 64 * 1024 * 1024
-TASKS_PER_CORE = 4
 
 
 @dataclass
@@ -57,11 +54,15 @@ def arrow_result_schema(query_type: T.DataType) -> pa.Schema:
     return to_arrow_schema(result_schema(query_type))
 
 
-def best_per_query(candidates: DataFrame, k: int) -> DataFrame:
-    """Rank by score, ties by ordinal. Spark cuts each task's rows to k before the shuffle."""
+def best_per_query(candidates: DataFrame, k: int, metric: str) -> DataFrame:
+    """Rank by score, ties by ordinal. Spark cuts each task's rows to k before the shuffle.
+
+    Inner products are ranked as they are and shown minus one.
+    """
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("index_id"))
     ranked = candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "index_id", "score")
+    shown = F.col("score") - 1.0 if metric == "ip" else F.col("score")
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "index_id", shown.alias("score"))
 
 
 def scan_join(corpus: DataFrame, queries: QuerySet, query_type: T.DataType, k: int, metric: str):
@@ -88,70 +89,27 @@ def scan_join(corpus: DataFrame, queries: QuerySet, query_type: T.DataType, k: i
                     best.add(vectors[here], ids[here], rows)
         yield best.to_arrow(side.ids, schema)
 
-    # Fewer, longer tasks: every task emits up to k rows per query.
-    tasks = spark.sparkContext.defaultParallelism * TASKS_PER_CORE
-    return corpus.coalesce(tasks).mapInArrow(run, result_schema(query_type))
+    return corpus.mapInArrow(run, result_schema(query_type))
 
 
-def block_join(
-    corpus: DataFrame, queries: DataFrame, dim: int, k: int, metric: str, has_own: bool
+def in_query_blocks(
+    asked: DataFrame, size: int, block_bytes: int, k: int, metric: str, search: Callable[[DataFrame], DataFrame | None]
 ) -> DataFrame:
-    """Candidates of ``corpus(index_id, embedding[, cluster_id])`` against
-    ``queries(query_id, embedding[, cluster_id][, own_id])``, on equal ``cluster_id`` if there is one.
+    """Best rows for ``asked``, a written table of ``size`` bytes, in hashed blocks of the given size.
 
-    Both sides are cut into hashed blocks, as many as their size asks for; with clusters, as many as
-    the size of each cluster asks for, so that a cluster with a third of all rows becomes many block
-    pairs of the usual size.
+    One block passes through the driver and is broadcast at a time; the vectors are read again for each
+    block and never shuffled. All candidates of a query are in its block, so each block is ranked and
+    written by itself.
     """
-    cluster = ["cluster_id"] if "cluster_id" in corpus.columns else []
-    sides = {"_cuts": (corpus, BLOCK_BYTES // (dim * 8))}
-    sides["_qcuts"] = (queries, BLOCK_BYTES // query_bytes(dim, k))
-    if cluster:
-        needs = [
-            df.groupBy("cluster_id").agg(
-                F.ceil(F.count(F.lit(1)) / max(1, per_block)).cast("int").alias(name)
-            )
-            for name, (df, per_block) in sides.items()
-        ]
-        # One row per cluster; the number of clusters is bounded when an index is built.
-        plan = F.broadcast(needs[0].join(needs[1], "cluster_id"))
-        corpus, queries = corpus.join(plan, "cluster_id"), queries.join(plan, "cluster_id")
-    else:
-        cuts = {
-            name: F.lit(max(1, -(-df.count() // max(1, per_block))))
-            for name, (df, per_block) in sides.items()
-        }
-        corpus, queries = corpus.withColumns(cuts), queries.withColumns(cuts)
-    key = [*cluster, "_cut", "_qcut"]
-    left = corpus.select(
-        "index_id",
-        "embedding",
-        *cluster,
-        F.expr("cast(pmod(xxhash64(index_id), _cuts) as int)").alias("_cut"),
-        F.explode(F.sequence(F.lit(0), F.col("_qcuts") - 1)).alias("_qcut"),
-    )
-    right = queries.select(
-        "query_id",
-        "embedding",
-        *(["own_id"] if has_own else []),
-        *cluster,
-        F.expr("cast(pmod(xxhash64(query_id), _qcuts) as int)").alias("_qcut"),
-        F.explode(F.sequence(F.lit(0), F.col("_cuts") - 1)).alias("_cut"),
-    )
-    query_type = queries.schema["query_id"].dataType
-    schema = arrow_result_schema(query_type)
-
-    def run(rows: pa.Table, asked: pa.Table) -> pa.Table:
-        if not rows.num_rows or not asked.num_rows:
-            return pa.Table.from_batches([], schema)
-        mine = asked["own_id"].to_numpy() if has_own else None
-        best = BestRows(to_matrix(asked["embedding"], dim), mine, k, metric)
-        best.add(to_matrix(rows["embedding"], dim), rows["index_id"].to_numpy())
-        ids = asked["query_id"].combine_chunks()
-        return pa.Table.from_batches([best.to_arrow(ids, schema)])
-
-    cells = left.groupBy(*key).cogroup(right.groupBy(*key))
-    return cells.applyInArrow(run, result_schema(query_type))
+    blocks = max(1, -(-size // max(1, block_bytes)))
+    if blocks == 1:
+        return best_per_query(search(asked), k, metric)
+    done = None
+    for block in range(blocks):
+        found = search(asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block))
+        ranked = materialise(best_per_query(found, k, metric), "neighbours")
+        done = ranked if done is None else done.unionByName(ranked)
+    return done
 
 
 def standard_queries(
@@ -187,24 +145,27 @@ def knn_join(
     """The k nearest rows of ``corpus(index_id, embedding)`` for every query, as (query_id, rank,
     index_id, score).
 
-    Scores are rounded to six decimals before ranking and equal scores rank by ``index_id``, so the
-    result does not depend on partitioning. ``self_col`` names the query's own ordinal, which is then
+    Scores are doubles of each pair by itself and equal scores rank by ``index_id``, so the result does
+    not depend on partitioning. ``self_col`` names the query's own ordinal, which is then
     left out. k beyond the corpus returns the whole corpus.
     """
     check_metric(metric)
     if k < 1:
         raise ValueError("k must be at least 1")
-    asked = standard_queries(queries, query_id, embedding_col, self_col)
+    # Written first: queries that come from an encoder are encoded once.
+    asked = materialise(standard_queries(queries, query_id, embedding_col, self_col), "queries")
     rows = corpus.select("index_id", F.col(embedding_col).alias("embedding"))
     query_type = asked.schema["query_id"].dataType
     size = asked.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("embedding")).alias("dim")).head()
     if not size["rows"]:
-        return best_per_query(corpus.sparkSession.createDataFrame([], result_schema(query_type)), k)
+        return best_per_query(corpus.sparkSession.createDataFrame([], result_schema(query_type)), k, metric)
     dim = size["dim"]
-    if size["rows"] * query_bytes(dim, k) <= broadcast_bytes:
-        side = collect_queries(asked, dim, bool(self_col))
-        found = scan_join(rows, side, query_type, k, metric)
-    else:
-        found = block_join(rows, asked, dim, k, metric, bool(self_col))
-    return best_per_query(found, k)
+    needed = size["rows"] * query_bytes(dim, k)
+    if needed > broadcast_bytes:
+        # Several passes: vectors that come from an encoder are encoded once.
+        rows = materialise(rows, "vectors")
+
+    def search(block: DataFrame) -> DataFrame:
+        return scan_join(rows, collect_queries(block, dim, bool(self_col)), query_type, k, metric)
 
+    return in_query_blocks(asked, needed, broadcast_bytes, k, metric, search)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 
-from glyphvec.functions.vectors import SCORE_DECIMALS
-
 BLOCK_CELLS = 4_000_000
 BLOCK_ROWS = 16_384
-TOLERANCE = 10.0**-SCORE_DECIMALS
+# Relative error allowed to the matrix product that only preselects rows.
+TOLERANCE = 1e-12
 
 
 def to_matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -61,14 +62,19 @@ def row_blocks(n_rows: int, width: int) -> range:
 class BestRows:
     """Best k (score down, id up) per query, as flat arrays.
 
+    A matrix product preselects; what survives is scored pair by pair in double precision, so a score
+    depends on its two vectors only and ranking needs no rounding. For ``ip`` the score is the inner
+    product itself.
+
     Candidates gather in ``pending`` and are merged once they are as many as the rows held, so that
     sorting stays proportional to the number of candidates for any number of queries.
     """
 
     def __init__(self, queries: np.ndarray, own: np.ndarray | None, k: int, metric: str):
         self.metric, self.k, self.own = metric, k, own
-        self.queries = unit_rows(queries) if metric == "cosine" else queries.astype(np.float64)
-        self.squares = np.einsum("ij,ij->i", self.queries, self.queries)
+        self.raw = queries.astype(np.float64)
+        self.queries = unit_rows(queries) if metric == "cosine" else self.raw
+        self.squares = np.einsum("ij,ij->i", self.raw, self.raw)
         self.floor = np.full(len(queries), -np.inf)
         self.floor_id = np.full(len(queries), np.iinfo(np.int64).max)
         self.row = np.empty(0, np.int64)
@@ -88,7 +94,7 @@ class BestRows:
         for lo in range(0, len(chosen), BLOCK_ROWS):
             part = chosen[lo : lo + BLOCK_ROWS]
             some, some_ids = vectors[part], ids[part]
-            wide = unit_rows(some) if self.metric == "cosine" else some.astype(np.float64)
+            wide = some.astype(np.float64)
             starts = row_blocks(len(rows), len(part))
             for start in starts:
                 self._add_block(wide, some_ids, rows[start : start + starts.step], spare)
@@ -98,29 +104,32 @@ class BestRows:
                 self._merge()
 
     def _add_block(self, wide: np.ndarray, ids: np.ndarray, rows: np.ndarray, spare: int) -> None:
-        grid = self.queries[rows] @ wide.T
+        squares = np.einsum("ij,ij->i", wide, wide)
+        grid = self.queries[rows] @ (unit_rows(wide) if self.metric == "cosine" else wide).T
         slack = TOLERANCE
         if self.metric == "ip":
-            grid -= 1.0
+            slack *= math.sqrt(squares.max() * self.squares[rows].max())
         elif self.metric == "l2":
-            squares = np.einsum("ij,ij->i", wide, wide)
             grid *= 2.0
             grid -= squares
             grid -= self.squares[rows][:, None]
-            slack += 1e-12 * (squares.max() + self.squares[rows].max())
+            slack *= squares.max() + self.squares[rows].max()
         floor = self.floor[rows]
         if len(ids) > spare and np.isneginf(floor).any():
             at = len(ids) - spare
-            floor = np.maximum(floor, np.partition(grid, at, axis=1)[:, at])
+            floor = np.maximum(floor, np.partition(grid, at, axis=1)[:, at] - slack)
         hit = np.flatnonzero(grid >= (floor - slack)[:, None])
         query, at = np.divmod(hit, len(ids))
-        score = grid.ravel()[hit]
         row, found = rows[query], ids[at]
         if self.metric == "l2":
-            # The expanded square loses digits on long vectors; the few survivors are rescored.
-            gap = self.queries[row] - wide[at]
+            gap = self.raw[row] - wide[at]
             score = -np.einsum("ij,ij->i", gap, gap)
-        score = np.round(score, SCORE_DECIMALS) + 0.0
+        else:
+            score = np.einsum("ij,ij->i", self.raw[row], wide[at])
+            if self.metric == "cosine":
+                length = np.sqrt(self.squares[row]) * np.sqrt(squares[at])
+                score = np.divide(score, length, out=np.zeros_like(score), where=length != 0.0)
+        score = score + 0.0
         # Many rows may tie with the k-th best; only a smaller id still gets in.
         floor, floor_id = self.floor[row], self.floor_id[row]
         enters = (score > floor) | ((score == floor) & (found < floor_id))

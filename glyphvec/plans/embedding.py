@@ -8,7 +8,14 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from glyphvec.operators.embed import BATCH_SIZE, ProviderFactory, embed
-from glyphvec.sinks.tables import FORMATS, OUTPUT_ROOT, embeddings_path, write_embeddings
+from glyphvec.sinks.tables import (
+    FORMATS,
+    OUTPUT_ROOT,
+    embeddings_path,
+    in_order,
+    suffix_format,
+    write_embeddings,
+)
 from glyphvec.sources.texts import read_texts
 
 
@@ -18,7 +25,7 @@ def embed_texts(
     output: str,
     factory: ProviderFactory,
     *,
-    fmt: str = "parquet",
+    fmt: str | None = None,
     rules: dict | None = None,
     patterns: str = "intended",
     batch_size: int = BATCH_SIZE,
@@ -31,22 +38,28 @@ def embed_texts(
 ) -> dict:
     """Embed all records of ``source`` and return the run's rows, dim, output and seconds.
 
+    ``fmt`` defaults by the suffix of ``output``, ``.vectors`` or anything else. Ordered vectors are
+    ordered as texts, before they are encoded, so each text is encoded once.
+
     An empty ``output`` stands for the default path of ``model`` and ``source`` below ``output_root``.
     ``partitions`` repartitions the texts before encoding, to widen a small input or to bound the
     number of concurrent calls to a remote provider.
     """
+    fmt = fmt or suffix_format(output)
     if fmt not in FORMATS:
         raise ValueError(f"unsupported output format {fmt!r}, use one of {FORMATS}")
     started = time.monotonic()
     output = output or embeddings_path(spark, output_root, model, source, suffix=fmt)
     dim = factory().dim
     texts = read_texts(spark, source, ordered=fmt == "vectors", **options)
-    if partitions:
+    if fmt == "vectors":
+        texts = in_order(texts, partitions)
+    elif partitions:
         texts = texts.repartition(partitions)
     vectors = embed(
         texts, factory, rules=rules, patterns=patterns, batch_size=batch_size, normalize=normalize
     )
-    rows = write_embeddings(vectors, output, dim=dim, fmt=fmt, mode=mode)
+    rows = write_embeddings(vectors, output, dim=dim, fmt=fmt, ordered=fmt == "vectors", mode=mode)
     return {"rows": rows, "dim": dim, "output": output, "seconds": time.monotonic() - started}
 
 

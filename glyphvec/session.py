@@ -91,15 +91,3 @@ def file_uri(spark: SparkSession, path: str) -> str:
 def planned_bytes(df: DataFrame) -> int:
     """The planner's size estimate; for a plain file scan, the size of its files."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread an input too small to occupy the cores; a large input is returned as it is.
-
-    Below 16 MB per core, moving the rows costs less than leaving the cores idle behind CPU-heavy
-    work; above it the scan has splits enough.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if planned_bytes(df) > cores * 16 * 1024 * 1024:
-        return df
-    return df.repartition(cores, *keys)

@@ -23,10 +23,16 @@ def embedding_columns(df: DataFrame, dim: int) -> DataFrame:
     return df.select(*columns, checked_vector(F.col("embedding"), dim).alias("embedding"))
 
 
-def ordered_vectors(df: DataFrame, dim: int) -> DataFrame:
+def in_order(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Rows in ordinal order over the partitions and inside each."""
+    ranges = (partitions, "index_id") if partitions else ("index_id",)
+    return df.repartitionByRange(*ranges).sortWithinPartitions("index_id")
+
+
+def ordered_vectors(df: DataFrame, dim: int, ordered: bool = False) -> DataFrame:
     """Only ordinals and vectors, in ordinal order over the files and inside each file."""
     vectors = df.select("index_id", checked_vector(F.col("embedding"), dim).alias("embedding"))
-    return vectors.repartitionByRange("index_id").sortWithinPartitions("index_id")
+    return vectors if ordered else in_order(vectors)
 
 
 def write_embeddings(
@@ -35,17 +41,19 @@ def write_embeddings(
     *,
     dim: int,
     fmt: str = "parquet",
+    ordered: bool = False,
     total_rows: int | None = None,
     mode: str = "errorifexists",
 ) -> int:
     """Write embeddings and return the row count, which is measured in the write itself.
 
     ``parquet`` keeps id and text; ``vectors`` keeps only the ordered vectors of a frame with
-    ``index_id``. An empty frame still writes a typed table. ``total_rows`` is the count to expect.
+    ``index_id``; ``ordered`` says that the rows are in order already, otherwise they are sorted here,
+    which evaluates them twice. An empty frame still writes a typed table. ``total_rows`` is the count to expect.
     """
     if fmt not in FORMATS:
         raise ValueError(f"unsupported output format {fmt!r}, use one of {FORMATS}")
-    out = embedding_columns(df, dim) if fmt == "parquet" else ordered_vectors(df, dim)
+    out = embedding_columns(df, dim) if fmt == "parquet" else ordered_vectors(df, dim, ordered)
     written = Observation()
     out.observe(written, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
     rows = written.get["rows"]
@@ -63,14 +71,21 @@ def format_of(path: str) -> str:
     return suffix
 
 
-def write_partitioned(
-    df: DataFrame, root: str, part: str, model: str, dataset: str, *, mode: str = "append"
-) -> None:
-    """One table for all models and datasets below ``root``/``part``; reads prune on both columns."""
+def suffix_format(path: str) -> str:
+    """Output format by the suffix of the path; Parquet where it says nothing."""
+    return "vectors" if path.rstrip("/").lower().endswith(".vectors") else "parquet"
+
+
+def write_partitioned(df: DataFrame, root: str, part: str, model: str, dataset: str) -> None:
+    """One table for all models and datasets below ``root``/``part``; reads prune on both columns.
+
+    A rerun replaces the rows of its model and dataset and leaves all others.
+    """
     (
         df.withColumn("model", model_slug(F.lit(model)))
         .withColumn("dataset", slug(F.lit(dataset)))
-        .write.mode(mode)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("model", "dataset")
         .parquet(f"{root}/{part}")
     )

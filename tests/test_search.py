@@ -3,9 +3,8 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-import glyphvec.operators.knn as knn_module
 from glyphvec.operators.ivf import build_index, query_index
-from glyphvec.operators.knn import knn_join
+from glyphvec.operators.knn import knn_join, query_bytes
 from glyphvec.operators.lookup import attach_metadata, checked_ids, vectors_at
 from glyphvec.operators.topk import drop_far_copies
 from glyphvec.plans.search import sample_index, sample_neighbours, search_index
@@ -22,21 +21,21 @@ def frame(spark, matrix, ids=None):
 
 
 def brute(queries, corpus, k, metric, own=False):
-    """The answer by definition: every score, rounded, ties by ordinal."""
+    """The answer by definition: the score of every pair, ties by ordinal."""
     q, x = queries.astype(np.float32).astype(float), corpus.astype(np.float32).astype(float)
-    if metric == "cosine":
-        norms = np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(x, axis=1)
-        s = np.divide(q @ x.T, norms, out=np.zeros(norms.shape), where=norms > 0)
-    elif metric == "l2":
-        s = -((q[:, None, :] - x[None]) ** 2).sum(axis=2)
-    else:
-        s = q @ x.T - 1
-    s = np.round(s, 6) + 0.0
     out = []
     for i in range(len(q)):
+        same = np.repeat(q[i : i + 1], len(x), axis=0)
+        s = np.einsum("ij,ij->i", same, x)
+        if metric == "cosine":
+            norms = np.sqrt(np.einsum("ij,ij->i", same, same)) * np.sqrt(np.einsum("ij,ij->i", x, x))
+            s = np.divide(s, norms, out=np.zeros_like(s), where=norms > 0)
+        elif metric == "l2":
+            s = -np.einsum("ij,ij->i", same - x, same - x)
+        s = s + 0.0
         ids = [j for j in range(len(x)) if not (own and j == i)]
-        best = sorted(ids, key=lambda j: (-s[i, j], j))[:k]
-        out += [(i, r + 1, j, s[i, j]) for r, j in enumerate(best)]
+        best = sorted(ids, key=lambda j: (-s[j], j))[:k]
+        out += [(i, r + 1, j, s[j] - 1.0 if metric == "ip" else s[j]) for r, j in enumerate(best)]
     return out
 
 
@@ -58,9 +57,8 @@ def messy():
 
 @pytest.mark.parametrize("metric", ["cosine", "l2", "ip"])
 @pytest.mark.parametrize("own", [False, True])
-@pytest.mark.parametrize("broadcast_bytes", [1 << 26, 0])
-def test_exact_join(spark, messy, monkeypatch, metric, own, broadcast_bytes):
-    monkeypatch.setattr(knn_module, "BLOCK_BYTES", 6 * 8 * 70)
+@pytest.mark.parametrize("broadcast_bytes", [1 << 26, 90 * query_bytes(6, 7)])
+def test_exact_join(spark, messy, metric, own, broadcast_bytes):
     df = frame(spark, messy)
     found = knn_join(
         df,
@@ -88,6 +86,24 @@ def test_k_beyond_the_corpus(spark):
     assert got(knn_join(frame(spark, m), frame(spark, m), 99, query_id="index_id")) == brute(m, m, 99, "cosine")
 
 
+def test_small_distances_rank(spark):
+    corpus = frame(spark, np.array([[0, 1e-4], [1e-4, 0], [9e-5, 0]]))
+    query = spark.createDataFrame([(7, [1e-4, 0.0])], "query_id BIGINT, embedding ARRAY<FLOAT>")
+    for metric in ("l2", "ip"):
+        assert [r[2] for r in got(knn_join(query, corpus, 3, metric))] == [1, 2, 0]
+
+
+def test_default_probing_finds_the_neighbours(spark, tmp_path):
+    rng = np.random.default_rng(9)
+    m = rng.normal(size=(900, 16)).astype(np.float32)
+    index = str(tmp_path / "index")
+    manifest = build_index(spark, frame(spark, m), index, metric="ip")
+    assert manifest["recall"] >= manifest["recall_target"] == 0.95
+    found = got(query_index(spark, index, frame(spark, m[:200]), 10, query_id="index_id"))
+    exact = brute(m[:200], m, 10, "ip")
+    assert len({f[::2][:2] for f in found} & {e[::2][:2] for e in exact}) >= 0.9 * len(exact)
+
+
 def test_two_dimensions(spark):
     corpus = frame(spark, np.array([[1, 0], [0, 1], [0.8, 0.2]]))
     query = spark.createDataFrame([("q", [1.0, 0.0])], "query_id STRING, embedding ARRAY<FLOAT>")
@@ -149,8 +165,7 @@ def clustered():
 
 
 @pytest.mark.parametrize("metric", ["cosine", "l2", "ip"])
-def test_index(spark, clustered, tmp_path, monkeypatch, metric):
-    monkeypatch.setattr(knn_module, "BLOCK_BYTES", 8 * 8 * 50)
+def test_index(spark, clustered, tmp_path, metric):
     index = str(tmp_path / "index")
     df = frame(spark, clustered)
     manifest = build_index(spark, df, index, metric=metric, nlist=12)
@@ -162,7 +177,7 @@ def test_index(spark, clustered, tmp_path, monkeypatch, metric):
     for nprobe in (1, 3, 6, 12):
         options = {"nprobe": nprobe, "query_id": "index_id"}
         found = got(query_index(spark, index, queries, 5, **options))
-        assert found == got(query_index(spark, index, queries, 5, broadcast_bytes=0, **options))
+        assert found == got(query_index(spark, index, queries, 5, broadcast_bytes=30 * query_bytes(8, 5), **options))
         assert len(found) == 300
         recall.append(len({(f[0], f[2]) for f in found} & {(e[0], e[2]) for e in exact}) / 300)
     assert recall == sorted(recall) and recall[-1] == 1.0 and found == exact
