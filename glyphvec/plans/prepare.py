@@ -12,25 +12,23 @@ from glyphvec.sinks.tables import write_combos, write_text_table
 from glyphvec.sources.categories import read_categories
 from glyphvec.sources.texts import ID, TEXT, file_text, text_files
 
-# Up to so many file names go into the plan as a list, so that only these files are read.
-LISTED_FILES = 10_000
-
 
 def merged_texts(spark: SparkSession, folder: str, *, limit: int = 0) -> DataFrame:
     """One single-line record per text file, numeric names first by value, then the others.
 
     A ``limit`` picks its files by name alone, before any content is read.
     """
-    stem = file_stem(F.col("path"))
-    order = [numeric_first_key(stem), stem]
+    # From the URI, which the scan knows before it opens a file.
+    stem = file_stem(F.url_decode(F.replace(F.col("file_uri"), F.lit("+"), F.lit("%2B"))))
+    place = F.struct(numeric_first_key(stem).alias("key"), stem.alias("stem"), F.col("file_uri").alias("uri"))
     files = text_files(spark, folder)
     if limit > 0:
-        names = files.select("file_uri", "path").orderBy(*order).limit(limit).select("file_uri")
-        if limit <= LISTED_FILES:
-            files = files.filter(F.col("file_uri").isin([r["file_uri"] for r in names.collect()]))
-        else:
-            files = files.join(names, "file_uri", "left_semi")
-    return files.orderBy(*order).select(
+        last = files.select(place.alias("place")).orderBy("place").offset(limit - 1).head(1)
+        if last:
+            key, name, uri = last[0]["place"]
+            literal = F.struct(*(F.lit(key[c]).alias(c) for c in ("is_text", "size", "text")))
+            files = files.filter(place <= F.struct(literal.alias("key"), F.lit(name).alias("stem"), F.lit(uri).alias("uri")))
+    return files.orderBy(place).select(
         stem.alias(ID), single_line(file_text(F.col("content"))).alias(TEXT)
     )
 

@@ -88,6 +88,29 @@ def file_uri(spark: SparkSession, path: str) -> str:
     return re.sub("^file:/+", "file:/", uri)
 
 
+def copy_hidden(spark: SparkSession, folder: str, suffix: str) -> tuple[str, list[tuple[str, str, str]]] | None:
+    """Copies of the files in ``folder`` that Spark's readers pass over because of their first letter.
+
+    Returns the folder of the copies and (name of the copy, file URI, path) of each; None if there are
+    none. The bytes go from file to file; such files are few.
+    """
+    fs, hpath = _hadoop_path(spark, folder)
+    found = [s.getPath() for s in fs.listStatus(hpath) if s.isFile() and s.getPath().getName()[:1] in "._"]
+    found = [p for p in found if p.getName().lower().endswith(suffix)]
+    if not found:
+        return None
+    target = work_path(spark, "hidden")
+    copy = spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    names = []
+    for i, path in enumerate(found):
+        to_fs, to = _hadoop_path(spark, f"{target}/{i}{suffix}")
+        copy(fs, path, to_fs, to, False, conf)
+        uri = re.sub("^file:/+", "file:/", path.toUri().toString())
+        names.append((f"{i}{suffix}", uri, path.toString()))
+    return target, names
+
+
 def planned_bytes(df: DataFrame) -> int:
     """The planner's size estimate; for a plain file scan, the size of its files."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from glyphvec.functions.order import natural_key
 from glyphvec.functions.text import or_empty, strip
-from glyphvec.sources.texts import first_fields
+from glyphvec.sources.texts import breaks_in_quotes, first_fields
 
 KEY_COLUMNS = ("category_level", "category_id", "parent_id", "root_id")
 
@@ -16,7 +17,8 @@ def read_categories(
 ) -> DataFrame:
     """Valid rows as (level, category_id, parent_id, root_id, name, row_ord).
 
-    ``row_ord`` orders rows as they stand in the input: file, split, position in the split.
+    ``row_ord`` orders rows as they stand in the input: file in natural order, split, position in it.
+    Names may hold line breaks inside quotes.
     """
     fields = first_fields(spark, path, ",", '"')
     missing = sorted({*KEY_COLUMNS, name_col} - set(fields))
@@ -28,10 +30,12 @@ def read_categories(
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
+        .option("multiLine", breaks_in_quotes(spark, path, '"'))
         .csv(path)
     )
     columns = [F.col(labels[c]).alias(c) for c in KEY_COLUMNS]
     position = F.struct(
+        natural_key(F.col("_metadata.file_path")).alias("place"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),

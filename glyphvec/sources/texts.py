@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from glyphvec.functions.order import natural_key
 from glyphvec.functions.text import file_name, file_stem, or_empty
 from glyphvec.operators.ordinals import assign_index_id, number_split_rows
-from glyphvec.session import file_uri, is_directory
+from glyphvec.session import copy_hidden, file_uri, is_directory
 
 ID = "video_id"
 TEXT = "video_title"
@@ -32,6 +32,16 @@ def first_fields(spark: SparkSession, path: str, sep: str, quote: str) -> list[s
     return next(csv.reader([line[0]["value"].removeprefix("\ufeff")], delimiter=sep, **quoting))
 
 
+def breaks_in_quotes(spark: SparkSession, path: str, quote: str) -> bool:
+    """Whether some line has an odd number of quotes: a quoted field goes on in the next line, or a
+    quote stands by itself, which parsing across lines reads alike."""
+    if not quote:
+        return False
+    line = F.col("value")
+    quotes = F.length(line) - F.length(F.replace(line, F.lit(quote), F.lit("")))
+    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+
+
 def read_tabular(
     spark: SparkSession,
     path: str,
@@ -39,7 +49,7 @@ def read_tabular(
     sep: str | None = None,
     header: bool | None = None,
     quote: str = '"',
-    multi_line: bool = False,
+    multi_line: bool | None = None,
     ordered: bool = False,
 ) -> DataFrame:
     """Records of a delimited file, or of a folder of delimited part files.
@@ -47,7 +57,8 @@ def read_tabular(
     ``sep`` and ``header`` default by suffix: ``.tsv``/``.txt`` is tab-separated and has a header if
     a field of its first line is named ``video_title``; anything else is comma-separated with header.
     All fields are read as text. ``quote=""`` reads files that were written without quoting.
-    ``multi_line`` accepts line breaks inside quotes, at the price of unsplittable files.
+    ``multi_line`` accepts line breaks inside quotes, at the price of unsplittable files; by default a
+    scan for lines with an open quote decides.
     ``ordered`` adds ``index_id``, the position in the input.
     """
     tsv = _is_tsv(path) if sep is None else sep == "\t"
@@ -72,7 +83,7 @@ def read_tabular(
         .option("header", header)
         .option("quote", quote)
         .option("escape", quote or "\\")
-        .option("multiLine", multi_line)
+        .option("multiLine", breaks_in_quotes(spark, path, quote) if multi_line is None else multi_line)
         .csv(path)
     )
     text = or_empty(F.col(labels[names.index(TEXT)]))
@@ -111,9 +122,17 @@ def text_files(spark: SparkSession, path: str) -> DataFrame:
     scan = _scan_folder(spark, path)
     uri, here = _directly_in(spark, path, F.col("_metadata.file_path"))
     files = scan.filter(here).select(uri.alias("file_uri"), "path", "content")
+    hidden = copy_hidden(spark, path, ".txt")
+    if hidden:
+        copies, names = hidden
+        known = spark.createDataFrame(names, "copy STRING, file_uri STRING, path STRING")
+        found = spark.read.format("binaryFile").load(copies).withColumn("copy", file_name(F.col("path")))
+        content = F.coalesce("content", F.lit("").cast("binary")).alias("content")
+        kept = known.join(found.select("copy", "content"), "copy", "left")
+        files = files.unionByName(kept.select("file_uri", "path", content))
     # Spark scans leave out files without a byte. Where the listing has more files than the scan,
     # they are taken from the listing, which the driver holds for the scan anyway.
-    if len(scan._jdf.inputFiles()) == scan.select("path").count():
+    if len(scan.inputFiles()) == scan.select("path").count():
         return files
     listed = spark.createDataFrame([(name,) for name in scan.inputFiles()], "value STRING")
     uri, here = _directly_in(spark, path, F.col("value"))

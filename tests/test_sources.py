@@ -169,3 +169,26 @@ def test_vector_table(spark, vector_table):
         read_vectors(spark, vector_table, embedding_col="other")
     with pytest.raises(ValueError, match="empty"):
         vector_dim(df.filter("index_id < 0"))
+
+
+def test_quoted_line_breaks_by_default(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('video_id,video_title\n1,"a\nb"\n2,c\n')
+    got = [(r["video_id"], r["video_title"]) for r in read_tabular(spark, str(tmp_path / "a.csv")).collect()]
+    assert sorted(got) == [("1", "a\nb"), ("2", "c")]
+    (tmp_path / "b.csv").write_text('video_id,video_title\n1,"say ""hi"", now"\n2,c\n')
+    got = [(r["video_id"], r["video_title"]) for r in read_tabular(spark, str(tmp_path / "b.csv")).collect()]
+    assert sorted(got) == [("1", 'say "hi", now'), ("2", "c")]
+
+
+def test_names_that_begin_with_a_dot_or_underscore(spark, tmp_path):
+    for name in ("1.txt", "_2.txt", ".3.txt", "10.txt"):
+        (tmp_path / name).write_text(f"text of {name}")
+    (tmp_path / "_4.txt").write_text("")
+    folder = str(tmp_path)
+    assert count_records(spark, folder) == 5
+    rows = read_text_folder(spark, folder, ordered=True).orderBy("index_id").collect()
+    assert {r["video_id"]: r["video_title"] for r in rows} == {
+        "1": "text of 1.txt", "_2": "text of _2.txt", ".3": "text of .3.txt", "10": "text of 10.txt", "_4": "",
+    }
+    merged = [r["video_id"] for r in merged_texts(spark, folder, limit=3).collect()]
+    assert merged == ["1", "10", ".3"]
