@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphvec.llm.common import bind, slices, table, words
+from glyphvec.llm.common import NOT_SPACE, bind, slices, table, words
 from glyphvec.llm.components import components
 from glyphvec.session import materialise
 
@@ -266,4 +266,30 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "copy_id", "n_links")
 
 
+#: Every pair that shares an n-gram, compared; no sketches.
+OP8_SQL = f"""
+WITH RECURSIVE b AS (
+  SELECT doc_id, ws, array_to_string(ws, ' ') AS body
+  FROM (SELECT doc_id, regexp_extract_all(lower(text), '{NOT_SPACE}+') AS ws FROM documents WHERE doc_id IS NOT NULL)
+  WHERE len(ws) > 0
+),
+k AS (SELECT body, min(doc_id) AS rep, any_value(ws) AS ws FROM b GROUP BY body),
+g AS MATERIALIZED (
+  SELECT DISTINCT rep, array_to_string(ws[i:i + {WIDTH - 1}], ' ') AS gram
+  FROM (SELECT rep, ws, unnest(range(1, greatest(len(ws) - {WIDTH - 1}, 1) + 1)) AS i FROM k)
+),
+z AS MATERIALIZED (SELECT rep, count(*) AS n FROM g GROUP BY rep),
+c AS (SELECT x.rep AS a, y.rep AS b, count(*) AS m FROM g x JOIN g y USING (gram) WHERE x.rep <> y.rep GROUP BY ALL),
+e AS MATERIALIZED (
+  SELECT a, c.b FROM c JOIN z p ON p.rep = a JOIN z q ON q.rep = c.b WHERE {LOWER} * m >= {UPPER} * (p.n + q.n - m)
+),
+r AS (SELECT rep, rep AS root FROM z UNION SELECT r.rep, e.b FROM r JOIN e ON e.a = r.root),
+u AS (SELECT rep, min(root) AS class_id FROM r GROUP BY rep),
+n AS (SELECT a AS rep, count(*) AS n_links FROM e GROUP BY a)
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(rep, doc_id) AS copy_id, coalesce(n_links, 0) AS n_links
+FROM documents LEFT JOIN (SELECT DISTINCT doc_id, body FROM b) USING (doc_id) LEFT JOIN k USING (body)
+LEFT JOIN u USING (rep) LEFT JOIN n USING (rep)
+"""
+
 QUERIES = {"op8_ngram_jaccard": op8_ngram_jaccard}
+SQL = {"op8_ngram_jaccard": OP8_SQL}

@@ -227,4 +227,94 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The rules again, for DuckDB.
+_RULES_SQL = (
+    ("100 * n_symbols > 10 * n_words", "100 * n_symbols <= n_words"),
+    ("100 * n_bare > 10 * n_words", None),
+    ("100 * n_repeat_words > 30 * n_words", None),
+    ("100 * n_distinct < 20 * n_words", None),
+    ("100 * n_dup_lines > 30 * n_lines", None),
+    ("100 * n_shouts > 20 * n_words", None),
+    ("100 * n_capitals > 30 * word_chars", None),
+    ("100 * n_function_words < 2 * n_words", "100 * n_function_words > 8 * n_words"),
+    ("word_chars < 2 * n_words OR word_chars > 15 * n_words", None),
+)
+
+
+def _sql() -> str:
+    """The same in DuckDB: a round of expectation-maximisation is one link in a chain of CTEs."""
+    numbers = range(len(_RULES_SQL))
+
+    def vote(bad: str, good: str | None) -> str:
+        also = f"WHEN {good} THEN 1 " if good else ""
+        return f"CASE WHEN n_words = 0 THEN 0 WHEN {bad} THEN -1 {also}ELSE 0 END"
+
+    def chars(pattern: str) -> str:
+        return f"length(regexp_replace(body, '[^{pattern}]+', '', 'g'))"
+
+    def within(x: str, low: float, high: float) -> str:
+        return f"least({high}, greatest({low}, round(({x}), {DIGITS})))"
+
+    listed = ", ".join(f"'{w}'" for w in sorted(set(FUNCTION_WORDS)))
+    odds = "ln(prior / (1 - prior))" + "".join(f" + v{i} * ln(a{i} / (1 - a{i}))" for i in numbers)
+    right = RIGHT / (RIGHT + WRONG)
+    start = ", ".join(f"CAST({right} AS DOUBLE) AS a{i}" for i in numbers)
+    chain = [f"t0 AS (SELECT CAST({START_PRIOR} AS DOUBLE) AS prior, {start})"]
+    for k in range(ROUNDS):
+        share = within(f"(sum(n * good) + {RIGHT}) / (sum(n) + {RIGHT + WRONG})", 0.05, START_PRIOR)
+        accuracy = ", ".join(
+            within(
+                f"(sum(CASE v{i} WHEN 1 THEN n * good WHEN -1 THEN n * (1 - good) ELSE 0 END) + {RIGHT})"
+                f" / (sum(n * abs(v{i})) + {RIGHT + WRONG})",
+                0.55,
+                0.99,
+            )
+            + f" AS a{i}"
+            for i in numbers
+        )
+        chain.append(f"g{k} AS (SELECT p.*, 1 / (1 + exp(-({odds}))) AS good FROM p, t{k})")
+        chain.append(f"t{k + 1} AS (SELECT {share} AS prior, {accuracy} FROM g{k})")
+    cast = ", ".join(f"{vote(bad, good)} AS v{i}" for i, (bad, good) in enumerate(_RULES_SQL))
+    names = ", ".join(f"v{i}" for i in numbers)
+    return f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS body FROM documents),
+w AS MATERIALIZED (
+  SELECT r, i, ws[i] AS w FROM (
+    SELECT r, ws, unnest(range(1, len(ws) + 1)) AS i FROM (
+      SELECT r, regexp_extract_all(body, '{NOT_SPACE}+') AS ws FROM d))
+),
+t AS (
+  SELECT r, i, w, lead(w, 1) OVER x AS w2, lead(w, 2) OVER x AS w3 FROM w WINDOW x AS (PARTITION BY r ORDER BY i)
+),
+c AS (SELECT r, i, count(*) OVER (PARTITION BY r, w, w2, w3) AS n FROM t WHERE w3 IS NOT NULL),
+q AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM c, range(3) AS x(k) WHERE n > 1 GROUP BY r),
+a AS (
+  SELECT r, count(*) AS n_words, sum(length(w)) AS word_chars, count(DISTINCT w) AS n_distinct,
+         count(*) FILTER (lower(w) IN ({listed})) AS n_function_words,
+         count(*) FILTER (NOT regexp_matches(w, '[\\p{{L}}\\p{{N}}]')) AS n_bare
+  FROM w GROUP BY r
+),
+l AS (
+  SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT r, unnest(string_split(body, chr(10))) AS line FROM d) WHERE regexp_matches(line, '{NOT_SPACE}') GROUP BY r
+),
+s AS (
+  SELECT doc_id, coalesce(n_words, 0) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars,
+         coalesce(n_distinct, 0) AS n_distinct, coalesce(n_function_words, 0) AS n_function_words,
+         coalesce(n_bare, 0) AS n_bare, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines,
+         {chars(SYMBOLS)} AS n_symbols, {chars("!?")} AS n_shouts, {chars("A-Z")} AS n_capitals
+  FROM d LEFT JOIN a USING (r) LEFT JOIN q USING (r) LEFT JOIN l USING (r)
+),
+v AS MATERIALIZED (SELECT *, {cast} FROM s),
+p AS MATERIALIZED (SELECT {names}, count(*) AS n FROM v GROUP BY ALL),
+{", ".join(chain)},
+f AS (SELECT v.*, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed, {odds} AS odds FROM v, t{ROUNDS})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 1 / (1 + exp(-odds)) >= 0.5 AS kept
+FROM f
+"""
+
+
 QUERIES = {"op5_quality_rules": op5_quality_rules}
+SQL = {"op5_quality_rules": _sql()}

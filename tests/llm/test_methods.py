@@ -214,6 +214,8 @@ def test_secret_spans(spark):
         (secretscan.op3_secret_scan, secretscan.SQL["op3_secret_scan"]),
         (urlfilter.op2_url_filters, urlfilter.SQL["op2_url_filters"]),
         (topk.op10_exact_top_k, topk.SQL["op10_exact_top_k"]),
+        (quality.op5_quality_rules, quality.SQL["op5_quality_rules"]),
+        (jaccard.op8_ngram_jaccard, jaccard.SQL["op8_ngram_jaccard"]),
     ],
 )
 def test_against_sql(spark, query, sql):
