@@ -49,6 +49,12 @@ def exploded(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def spread(vector):
+    """One number to which every value adds with a weight of its own."""
+    weighted = F.transform(vector, lambda x, i: x.cast("double") * (i + 1))
+    return F.round(F.aggregate(weighted, F.lit(0.0), lambda a, x: a + x), 3) + 0.0
+
+
 E = "(SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)"
 SCORES = {
     "cosine": "list_dot_product(q.v, e.v) / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(e.v, e.v)))",
@@ -360,11 +366,17 @@ def index_metadata(spark, sf_dir):
     return read_index_metadata(spark, indexed(spark, sf_dir, "cosine"))
 
 
-@C.add("SELECT 'ip' AS space, 64 AS dimensions, count(*) AS n_rows FROM embeddings")
+@C.add(
+    """SELECT 'ip' AS space, 64 AS dimensions, count(*) AS n_rows, CAST(round(sqrt(count(*))) AS INTEGER) AS nlist,
+       0 AS seed, 'embedding' AS embedding_col, TRUE AS accurate, 'vectors' AS index_file FROM embeddings"""
+)
 def index_manifest(spark, sf_dir):
     manifest = read_manifest(spark, indexed(spark, sf_dir, "ip"))
-    row = (manifest["space"], int(manifest["dimensions"]), int(manifest["count"]))
-    return spark.createDataFrame([row], "space STRING, dimensions INT, n_rows BIGINT")
+    numbers = [int(manifest[key]) for key in ("dimensions", "count", "nlist", "seed")]
+    accurate = float(manifest["recall"]) >= float(manifest["recall_target"])
+    row = (manifest["space"], *numbers, manifest["embedding_col"], accurate, manifest["index_file"])
+    schema = "space STRING, dimensions INT, n_rows BIGINT, nlist INT, seed INT, embedding_col STRING, accurate BOOLEAN"
+    return spark.createDataFrame([row], f"{schema}, index_file STRING")
 
 
 @C.add("SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS index_id FROM embeddings")
@@ -404,7 +416,9 @@ def json_results(spark, sf_dir):
 
 @C.add(
     f"""SELECT CAST(doc_id AS VARCHAR) AS video_id, {sql_clean(sql_line('text'))} AS video_title,
-        64 AS dim, CAST(length({sql_clean('text')}) > 0 AS INTEGER) AS norm FROM documents"""
+        64 AS dim, CAST(length({sql_clean('text')}) > 0 AS INTEGER) AS norm, spread FROM documents
+        JOIN (SELECT doc_id, round(sum(CAST(value AS FLOAT)::DOUBLE * (pos + 1)), 3) + 0.0 AS spread
+              FROM {sql_hash_embed('documents', 'doc_id', sql_clean(sql_line('text')))} GROUP BY doc_id) USING (doc_id)"""
 )
 def embedded_table(spark, sf_dir):
     """Texts from a TSV through cleaning and embedding into Parquet, and back."""
@@ -421,6 +435,7 @@ def embedded_table(spark, sf_dir):
         "video_title",
         F.size("embedding").alias("dim"),
         F.round(length, 3).cast("int").alias("norm"),
+        spread(F.col("embedding")).alias("spread"),
     )
 
 

@@ -355,7 +355,8 @@ def ordered_tsv(spark, sf_dir):
 
 def one_file_per_document(spark, sf_dir) -> str:
     path = work_path(spark, "text-files")
-    docs = table(spark, sf_dir, "documents").select("text")
+    # In one partition, so that the order of the names is the order of the ids.
+    docs = table(spark, sf_dir, "documents").orderBy("doc_id").select("text").coalesce(1)
     docs.write.option("maxRecordsPerFile", 1).text(path)
     return path
 
@@ -372,15 +373,15 @@ def text_folder(spark, sf_dir):
     )
 
 
-@C.add("SELECT count(*) AS n_files, count(*) AS n_ids, 0 AS first_id, count(*) - 1 AS last_id FROM documents")
+@C.add(
+    r"""SELECT row_number() OVER (ORDER BY doc_id) - 1 AS index_id, count(*) OVER () AS n_files,
+        md5(regexp_replace(regexp_replace(text, '\r\n?', chr(10), 'g'), '[\r\n]+$', '')) AS digest FROM documents"""
+)
 def text_folder_ordered(spark, sf_dir):
     path = one_file_per_document(spark, sf_dir)
     records = read_text_folder(spark, path, ordered=True)
-    return records.agg(
-        F.lit(count_records(spark, path)).alias("n_files"),
-        F.count_distinct("index_id").alias("n_ids"),
-        F.min("index_id").alias("first_id"),
-        F.max("index_id").alias("last_id"),
+    return records.select(
+        "index_id", F.lit(count_records(spark, path)).alias("n_files"), F.md5("video_title").alias("digest")
     )
 
 

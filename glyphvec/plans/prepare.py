@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from glyphvec.functions.order import numeric_first_key
 from glyphvec.functions.text import file_stem, single_line
-from glyphvec.operators.categories import category_combos, category_stats
+from glyphvec.operators.categories import distinct_combos, named_paths, path_stats, with_combo
+from glyphvec.session import materialise
 from glyphvec.sinks.tables import write_combos, write_text_table
 from glyphvec.sources.categories import read_categories
 from glyphvec.sources.texts import ID, TEXT, file_text, text_files
@@ -49,6 +50,8 @@ def write_category_paths(
     mode: str = "errorifexists",
 ) -> dict[str, int]:
     """Write the path table and return its counts: rows, written, skipped, missing_names."""
-    categories = read_categories(spark, source, name_col=name_col)
-    write_combos(category_combos(categories), output, mode=mode)
-    return category_stats(categories).head().asDict()
+    # The input is parsed once and joined once; table and counts come from what that wrote.
+    categories = materialise(read_categories(spark, source, name_col=name_col), "categories")
+    paths = materialise(with_combo(named_paths(categories)), "paths")
+    write_combos(distinct_combos(paths), output, mode=mode)
+    return path_stats(categories, paths).head().asDict()

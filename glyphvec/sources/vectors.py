@@ -16,7 +16,8 @@ from glyphvec.operators.ordinals import number_parquet_rows
 
 MANIFEST_SCHEMA = (
     "input STRING, output_dir STRING, embedding_col STRING, space STRING, dimensions INT, count BIGINT, "
-    "nlist INT, nprobe INT, seed BIGINT, created_at STRING, index_file STRING, metadata_file STRING"
+    "nlist INT, nprobe INT, recall_target DOUBLE, recall DOUBLE, seed BIGINT, created_at STRING, "
+    "index_file STRING, metadata_file STRING"
 )
 QUERY_SCHEMA = "query_id BIGINT, embedding ARRAY<FLOAT>"
 
