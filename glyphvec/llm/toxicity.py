@@ -35,7 +35,7 @@ STANDS_OUT, SUPPORT, VOTERS = 4.0, 5, 256
 #: What the classifier looks at may stand out less.
 FEATURES, FEATURE_STANDS_OUT = 768, 3.0
 ROUNDS, STEPS = 20, 12
-PENALTY = 0.1
+PENALTY = 0.05
 #: How often a human label says toxic, on clean and on toxic texts; a voter whose rates are fixed.
 LABEL = (0.01, 0.97)
 THRESHOLD = 0.7

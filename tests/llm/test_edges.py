@@ -51,7 +51,7 @@ def test_language(docs, empty):
 
 
 def test_quality(docs, empty):
-    found = quality.with_statistics(docs.select("doc_id", "text"))
+    found = docs.select("doc_id", quality.statistics(F.col("text")).alias("stats"))
     rows = _by_id(found)
     assert rows[3]["stats"] == rows[4]["stats"] and set(rows[4]["stats"]) == {0}
     kept = quality.filter_quality(docs)
