@@ -33,6 +33,11 @@ def id_remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(doc_id.cast("string")) % modulus
 
 
+def portions(rows, most: int = 1024) -> Iterator:
+    """Consecutive parts of an Arrow array or batch, so that few rows are Python objects at a time."""
+    return (rows.slice(start, most) for start in range(0, len(rows), most))
+
+
 def slices(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
     """Consecutive ranges of items whose sizes add up to ``most`` at most; a larger item stands alone."""
     start = total = end = 0

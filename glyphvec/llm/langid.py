@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphvec.llm.common import id_remainder, slices, table
+from glyphvec.llm.common import id_remainder, portions, slices, table
 
 UNKNOWN = "und"
 SIZES = (1, 2, 3)
@@ -132,7 +132,7 @@ def count_ngrams(docs: DataFrame, text: str = "text", lang: str = "lang", bits:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in (part for whole in batches for part in portions(whole)):
             texts, names = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             by_name: dict[str, list[str]] = {}
             for t, name in zip(texts, names):
@@ -193,10 +193,10 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     @F.arrow_udf("struct<lang_pred: string, score: double>")
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            names, scores = shared.value.predict(texts.to_pylist())
-            yield pa.StructArray.from_arrays(
-                [pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"]
-            )
+            found = [shared.value.predict(part.to_pylist()) for part in portions(texts)]
+            names = pa.array([name for own, _ in found for name in own], pa.string())
+            scores = pa.array(np.concatenate([np.zeros(0), *(own for _, own in found)]), pa.float64())
+            yield pa.StructArray.from_arrays([names, scores], names=["lang_pred", "score"])
 
     found = docs.withColumn("__found", predict(F.col(text)))
     return found.withColumns({"lang_pred": F.col("__found.lang_pred"), "score": F.col("__found.score")}).drop("__found")
