@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphvec.llm.common import id_remainder, table
+from glyphvec.llm.common import id_remainder, portions, table
 from glyphvec.session import materialise
 
 #: Most labelled rows that the model is fitted on, chosen by a hash of their id; at most half are toxic.
@@ -234,7 +234,7 @@ def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = Scorer(shared.value)
         for texts in batches:
-            yield pa.array([own.score(t) for t in texts.to_pylist()], pa.float64())
+            yield pa.array([own.score(t) for part in portions(texts) for t in part.to_pylist()], pa.float64())
 
     found = docs.withColumn("score", scored(F.col(f"`{text}`")))
     return found.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
