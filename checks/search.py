@@ -21,7 +21,7 @@ from glyphvec.operators.ordinals import number_parquet_rows
 from glyphvec.operators.sampling import report_lines
 from glyphvec.plans.embedding import embed_texts, run_metrics
 from glyphvec.plans.search import sample_index, sample_neighbours, search_index
-from glyphvec.session import work_path
+from glyphvec.session import widen, work_path
 from glyphvec.sinks.tables import write_embeddings, write_partitioned, write_results, write_text_table
 from glyphvec.sources.vectors import parse_vectors, read_index_metadata, read_manifest
 
@@ -191,7 +191,7 @@ def sql_hash_embed(source: str, key: str, text: str, dim: int = DIM) -> str:
         FROM {sql_hash_embed('documents', 'doc_id', sql_clean('text'))}"""
 )
 def hash_embed(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = widen(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return exploded(embed(docs, HashingProvider, text_col="text", rules={}), "doc_id")
 
 
@@ -213,7 +213,7 @@ def sql_word_counts(source: str, key: str) -> str:
 def search_documents(spark, sf_dir):
     """The five documents nearest to each benchmark passage."""
     # Unnormalised counts are exact in single precision; the cosine score normalises in double.
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("index_id"), "text")
+    docs = widen(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("index_id"), "text"))
     asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     corpus = embed(docs, HashingProvider, text_col="text", normalize=False)
     queries = embed(asked, HashingProvider, text_col="text", normalize=False)
@@ -423,7 +423,7 @@ def json_results(spark, sf_dir):
 def embedded_table(spark, sf_dir):
     """Texts from a TSV through cleaning and embedding into Parquet, and back."""
     source, output = work_path(spark, "texts"), work_path(spark, "embeddings")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = widen(table(spark, sf_dir, "documents").select("doc_id", "text"))
     lines = docs.select("doc_id", single_line(F.col("text")).alias("text"))
     write_text_table(lines.toDF("video_id", "video_title"), source)
     embed_texts(

@@ -21,7 +21,7 @@ from glyphvec.functions.text import (
 from glyphvec.operators.embed import HashingProvider
 from glyphvec.operators.ordinals import assign_index_id
 from glyphvec.plans.prepare import merged_texts
-from glyphvec.session import work_path
+from glyphvec.session import widen, work_path
 from glyphvec.sinks.tables import text_lines, write_text_table
 from glyphvec.sources.texts import count_records, read_tabular, read_text_folder, read_texts
 from glyphvec.streaming.embedding import embed_stream
@@ -71,7 +71,7 @@ def sql_clean(text: str) -> str:
 
 
 def cleaned(spark: SparkSession, sf_dir: str, text, rules, patterns="intended") -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = widen(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     return docs.select("doc_id", clean_text(text, rules, patterns).alias("cleaned"))
 
 
@@ -201,7 +201,7 @@ def non_empty_mask(spark, sf_dir):
 
 @C.add(f"SELECT doc_id || chr(9) || {sql_line('text')} AS value FROM documents")
 def merge_lines(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = widen(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return text_lines(docs.select("doc_id", single_line(F.col("text")).alias("text")), "doc_id", "text")
 
 
@@ -302,7 +302,7 @@ DOC_LINES = f"SELECT CAST(doc_id AS VARCHAR) AS video_id, {sql_line('text')} AS
 
 
 def documents_as_records(spark, sf_dir) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = widen(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select(
         F.col("doc_id").cast("string").alias("video_id"),
         single_line(F.col("text")).alias("video_title"),

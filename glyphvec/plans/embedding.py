@@ -16,6 +16,7 @@ from glyphvec.sinks.tables import (
     suffix_format,
     write_embeddings,
 )
+from glyphvec.session import widen
 from glyphvec.sources.texts import read_texts
 
 
@@ -42,8 +43,8 @@ def embed_texts(
     ordered as texts, before they are encoded, so each text is encoded once.
 
     An empty ``output`` stands for the default path of ``model`` and ``source`` below ``output_root``.
-    ``partitions`` repartitions the texts before encoding, to widen a small input or to bound the
-    number of concurrent calls to a remote provider.
+    ``partitions`` repartitions the texts before encoding, to bound the number of concurrent calls to a
+    remote provider; by default only an input of fewer splits than cores is dealt out.
     """
     fmt = fmt or suffix_format(output)
     if fmt not in FORMATS:
@@ -54,8 +55,8 @@ def embed_texts(
     texts = read_texts(spark, source, ordered=fmt == "vectors", **options)
     if fmt == "vectors":
         texts = in_order(texts, partitions)
-    elif partitions:
-        texts = texts.repartition(partitions)
+    else:
+        texts = texts.repartition(partitions) if partitions else widen(texts)
     vectors = embed(
         texts, factory, rules=rules, patterns=patterns, batch_size=batch_size, normalize=normalize
     )

@@ -114,3 +114,12 @@ def copy_hidden(spark: SparkSession, folder: str, suffix: str) -> tuple[str, lis
 def planned_bytes(df: DataFrame) -> int:
     """The planner's size estimate; for a plain file scan, the size of its files."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def widen(df: DataFrame) -> DataFrame:
+    """``df`` with a partition per core, if its scan has fewer; for CPU-heavy work on few input splits.
+
+    A large input has splits enough and is never shuffled by this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
