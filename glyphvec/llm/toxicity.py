@@ -35,7 +35,7 @@ STANDS_OUT, SUPPORT, VOTERS = 4.0, 5, 256
 #: What the classifier looks at may stand out less.
 FEATURES, FEATURE_STANDS_OUT = 768, 3.0
 ROUNDS, STEPS = 20, 12
-PENALTY = 0.05
+PENALTY = 0.02
 #: How often a human label says toxic, on clean and on toxic texts; a voter whose rates are fixed.
 LABEL = (0.01, 0.97)
 THRESHOLD = 0.7
@@ -163,6 +163,7 @@ def fit_texts(texts: list[str | None], labels: list[int], share: float | None =
     votes = _matrix(sets, voters)
     posterior = fit_label_model(votes, marks).posterior(votes, marks)
     looked_at = sorted({*voters, *[f for z, f in ranked if z >= FEATURE_STANDS_OUT][:FEATURES]})
+    looked_at = _most_general(sets, looked_at)
     weights, bias = fit_linear(_matrix(sets, looked_at), posterior)
     if share:
         own = float(marks.mean())
@@ -171,6 +172,15 @@ def fit_texts(texts: list[str | None], labels: list[int], share: float | None =
     return {"weights": {**dict.fromkeys(SEEDS, 4.0), **found}, "bias": round(bias, 9)}
 
 
+def _most_general(sets: list[set[str]], names: list[str]) -> list[str]:
+    """One of the features that are in the same texts throughout: the shortest beginning, if any."""
+    seen: dict[bytes, str] = {}
+    columns = _matrix(sets, names).astype(bool)
+    for i in sorted(range(len(names)), key=lambda i: (not names[i].endswith("*"), len(names[i]), names[i])):
+        seen.setdefault(np.packbits(columns[:, i]).tobytes(), names[i])
+    return sorted(seen.values())
+
+
 def _matrix(sets: list[set[str]], names: list[str]) -> np.ndarray:
     out = np.zeros((len(sets), len(names)), np.float32)
     place = {f: i for i, f in enumerate(names)}
