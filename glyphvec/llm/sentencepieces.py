@@ -117,6 +117,7 @@ class Codec:
         self.cache: dict[str, bytes] = {}
         self.differing: set[str] = set()
         self.control = {i for i, k in enumerate(self.file.kinds) if k == CONTROL}
+        self.bytes = [self._bytes(p, k) for p, k in zip(self.file.pieces, self.file.kinds)]
         self.reference = None
         if verify:
             import sentencepiece
@@ -124,6 +125,12 @@ class Codec:
             self.reference = sentencepiece.SentencePieceProcessor(model_file=path)
             self.threads = threads
 
+    @staticmethod
+    def _bytes(piece: str, kind: int) -> bytes:
+        if kind == CONTROL:
+            return b""
+        return bytes([int(piece[3:5], 16)]) if kind == BYTE else piece.replace(MARK, " ").encode()
+
     def _model(self):
         from tokenizers import models
 
@@ -180,12 +187,22 @@ class Codec:
         return {p: struct.pack(f"<{len(i)}i", *i) for p, i in zip(parts, ids)}
 
     def decode(self, ids: list[list[int]]) -> list[str]:
-        """Texts of lists of ids; control pieces are left out, ids outside the vocabulary are refused."""
+        """Texts of lists of ids; control pieces are left out, ids outside the vocabulary are refused.
+
+        The bytes of the pieces, put together, are the text. Where they are no UTF-8, the decoder of
+        ``tokenizers`` says what stands for the bytes that are left over.
+        """
+        texts = []
         for own in ids:
-            if own and (min(own) < 0 or max(own) >= len(self.file.pieces)):
+            if own and (min(own) < 0 or max(own) >= len(self.bytes)):
                 raise ValueError("an id is not in the vocabulary")
-        kept = [[i for i in own if i not in self.control] for own in ids]
-        return self.tokenizer.decode_batch(kept, skip_special_tokens=False)
+            try:
+                text = b"".join([self.bytes[i] for i in own]).decode()
+                texts.append(text[1:] if self.file.dummy_prefix and text[:1] == " " else text)
+            except UnicodeDecodeError:
+                kept = [i for i in own if i not in self.control]
+                texts.append(self.tokenizer.decode(kept, skip_special_tokens=False))
+        return texts
 
 
 def codec(path: str) -> Codec:
