@@ -144,9 +144,11 @@ class Codec:
         merges = [
             (p[:i], p[i:]) for p in ranked for i in range(1, len(p)) if p[:i] in usable and p[i:] in usable
         ]
+        # Without a cache of its own: it sees each part once.
         return models.BPE(
-            vocabulary, merges, unk_token=file.pieces[unknown], fuse_unk=True, byte_fallback=file.byte_fallback
-        )
+            vocabulary, merges, cache_capacity=0, unk_token=file.pieces[unknown], fuse_unk=True,
+            byte_fallback=file.byte_fallback,
+        )
 
     def _marked(self, text: str) -> str:
         """The normalised text with its spaces as word markers."""
