@@ -1,7 +1,8 @@
 """Personal data replaced by keyed surrogates of the same kind.
 
-1. Patterns find entities; a name is a title with the words after it, each word an entity of its own, so
-   that "Mrs Ada Lang" and "Ms Lang" keep the surname in common.
+1. Patterns find entities; a name is the words behind one or more titles, each word an entity of its own, so
+   that "Mrs Ada Lang" and "Ms Lang" keep the surname in common. A second pass over the text finds where it
+   repeats such a name without a title. Small words ("von") stay.
 2. The distinct entities of the corpus get surrogates from a keyed hash: same entity, same surrogate
    everywhere. Rounds of joins check them: a surrogate that another entity has, or that is itself an
    entity of the corpus, is drawn again. So distinct entities stay distinct.
@@ -14,6 +15,8 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -42,20 +45,58 @@ SURNAMES = {
     "greek": "Αλεξίου Βλάχος Γεωργίου Δήμου Ζαφείρης Ιωάννου Κανάκης Λάμπρου Μανώλης Νικολάου Παππάς Ρούσσος".split(),
 }
 
-_WORD = r"[A-ZÀ-ÖØ-ÞΑ-ΩΆ-ΏА-ЯЁ][a-zß-öø-ÿα-ωά-ώа-яё'’-]{1,40}"
+_CATEGORIES = [unicodedata.category(chr(c)) for c in range(sys.maxunicode + 1)]
+
+
+def _class(*categories: str) -> str:
+    """The characters of some Unicode categories, as ranges for a pattern's brackets."""
+    found = [c for c, category in enumerate(_CATEGORIES) if category in categories and chr(c) not in "ªº"]
+    starts = [c for c, before in zip(found, [-2, *found]) if c != before + 1]
+    ends = [c for c, after in zip(found, [*found[1:], -2]) if c != after - 1]
+    return "".join(f"{chr(a)}-{chr(b)}" if a < b else chr(a) for a, b in zip(starts, ends))
+
+
+#: Letters that may begin a name: capitals, and letters of scripts without them.
+_FIRST = f"[{_class('Lu', 'Lt', 'Lo')}]"
+_MARK = f"[{_class('Mn', 'Mc')}]"
+_LETTER = rf"(?:[^\W\d_]{_MARK}*)"
+_GAP = r"[ \t\xa0\u202f]"
+_QUOTE, _HYPHEN = "['’ʼ]", "[-‐‑]"
+#: One word of a name, without the 's of a genitive: Lang, McDonald, O'Brien, Anne-Marie, d'Arc, al-Amin.
+_WORD = (
+    rf"(?:(?:d|l|t|dell|dall|nell){_QUOTE}|(?:al|el|ul|an|ar|as|at|ad|az){_HYPHEN})?"
+    rf"{_FIRST}{_MARK}*{_LETTER}*(?:(?!{_QUOTE}s(?![^\W_]))(?:{_QUOTE}|{_HYPHEN}){_LETTER}+)*(?![^\W_])"
+)
+#: Small words within a name.
+_SMALL = (
+    r"(?:von und zu|vom und zum|van der|van den|van de|von der|von dem|von den|de los|de las|de la|de le|de|del|della|"
+    r"dei|degli|di|da|das|do|dos|du|des|den|der|ter|ten|von|vom|van|af|av|bin|ibn|bint|ben|abu|y|e|i)"
+)
+_LEADING = rf"(?:{_SMALL}|zu|zum|zur|la|le|el|al|te)"
+_INITIALS = rf"{_FIRST}{_MARK}*\.(?:{_HYPHEN}?{_FIRST}{_MARK}*\.)*"
+_PART = rf"(?:{_INITIALS}(?={_GAP}*(?:{_LEADING}{_GAP}+)?{_FIRST})|{_WORD})"
+_NAMES = (
+    rf"(?:{_LEADING}{_GAP}+)?(?:{_PART}(?:{_GAP}+(?:{_SMALL}{_GAP}+)?{_PART}|(?<=\.){_GAP}*{_PART})*|{_INITIALS})"
+)
+#: What may follow a name and is none.
+_SUFFIXES = ("Jr", "Sr", "II", "III", "IV")
+#: Degrees that stand behind a title.
+_DEGREE = r"(?:(?:med|dent|vet|phil|jur|iur|rer|nat|ing|h|c|hc|habil|oec|pol|theol|mult|Ing)\.[ \t -]*)"
 _TITLES = "|".join(sorted((*MALE, *FEMALE, *OTHER), key=len, reverse=True))
+#: What the part of an address before the @ is made of.
+_LOCAL = r"[\w.!#$%&'*+/=?^`{|}~-]"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 ENTITY = re.compile(
-    r"(?P<email>(?<![\w.%+\-])[A-Za-z0-9._%+\-]{1,64}@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63}){1,8})"
+    rf"(?P<email>(?:\"(?:[^\"\\\n]|\\.)+\"|(?<!{_LOCAL}){_LOCAL}+)@(?:[\w-]+(?:\.[\w-]+)+|\[[0-9A-Fa-fIPv.:]+\]))"
     rf"|(?P<ip>(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d))"
     r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<phone>(?<![\w+.])(?:\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,6}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w))"
     r"|(?P<number>(?<![\w.])\d(?:[ -]?\d){12,18}(?!\w))"
-    rf"|(?P<person>(?<!\w)(?P<title>{_TITLES})\.?[ ](?P<names>{_WORD}(?:[ ]{_WORD})?))"
+    rf"|(?P<person>(?<!\w)(?P<titles>(?:(?:{_TITLES})(?:\.?{_GAP}+|\.{_GAP}*|\.-){_DEGREE}*)+)(?P<names>{_NAMES}))"
 )
 #: Texts without this hold no entity.
-MAYBE = rf"@|[0-9][0-9 .()-]{{5,}}[0-9]|[A-Z]{{2}}[0-9]{{2}}|(?:{_TITLES})\.? "
+MAYBE = rf"@|[0-9][0-9 .()-]{{5,}}[0-9]|[A-Z]{{2}}[0-9]{{2}}|(?:{_TITLES})(?:\.|[ \t\u00a0\u202f])"
 
 SPAN = "struct<start: int, end: int, kind: string, canon: string>"
 
@@ -71,33 +112,96 @@ def _luhn(digits: str) -> int:
     return (sum(map(int, digits[::-2])) + sum(doubled)) % 10
 
 
+def _folded(name: str) -> str:
+    return unicodedata.normalize("NFC", name).replace("’", "'").replace("ʼ", "'").lower()
+
+
+_TITLE = re.compile(rf"(?<!\w)(?:{_TITLES})(?!\w)")
+_PIECE = re.compile(rf"(?P<initials>{_INITIALS}(?={_GAP}*(?:{_LEADING}{_GAP}+)?{_FIRST}|$))|(?P<word>{_WORD})|(?P<small>{_LETTER}+)")
+_MENTION = re.compile(rf"(?<!\w){_WORD}")
+_SUBWORD = re.compile(rf"{_LETTER}+")
+
+
+def _named(m: re.Match) -> list[tuple[int, int, str, str]]:
+    """The words of a name behind titles. The last word, and words behind a small one, are surnames."""
+    told = {"male" if t in MALE else "female" for t in _TITLE.findall(m.group("titles")) if t not in OTHER}
+    gender = told.pop() if len(told) == 1 else "any"
+    pieces = list(_PIECE.finditer(m.group("names")))
+    pieces = [p for k, p in enumerate(pieces) if k == 0 or p.group() not in _SUFFIXES]
+    last = max(k for k, p in enumerate(pieces) if not p["small"])
+    spans, family = [], False
+    for k, p in enumerate(pieces):
+        if p["small"]:
+            family = True
+            continue
+        script = _script(p.group())
+        joint = k + 1 < len(pieces) and pieces[k + 1].group() in ("y", "e", "i")
+        role = f"surname-{script}" if family or joint or k == last else f"given-{script}-{gender}"
+        canon = _folded(p.group())
+        spans.append((m.start("names") + p.start(), m.start("names") + p.end(), role, canon.rstrip(".")))
+    return spans
+
+
+def _mentions(text: str, spans: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
+    """Words of ``text`` outside ``spans`` that are names behind a title elsewhere in it.
+
+    A name found in several roles stands for the first of them. Parts of words with hyphens count, and the
+    German genitive; initials do not, nor words in small letters.
+    """
+    known: dict[str, str] = {}
+    for _, _, kind, canon in spans:
+        if kind.startswith(("given-", "surname-")) and (len(canon) > 1 or unicodedata.category(canon) == "Lo"):
+            known.setdefault(canon, kind)
+    if not known:
+        return []
+    found, at = [], 0
+
+    def note(start: int, end: int) -> bool:
+        canon = _folded(text[start:end])
+        if canon not in known and len(canon) > 3 and canon.endswith("s"):
+            canon, end = canon[:-1], end - 1
+        if canon in known:
+            found.append((start, end, known[canon], canon))
+        return canon in known
+
+    for m in _MENTION.finditer(text):
+        while at < len(spans) and spans[at][1] <= m.start():
+            at += 1
+        if at < len(spans) and spans[at][0] < m.end():
+            continue
+        if not note(m.start(), m.end()):
+            for part in _SUBWORD.finditer(text, m.start(), m.end()):
+                if part.end() - part.start() < m.end() - m.start() and part.group()[0] == part.group()[0].upper():
+                    note(part.start(), part.end())
+    return found
+
+
 def find(text: str | None) -> list[tuple[int, int, str, str]]:
-    """(start, end, kind, canonical form) of the entities of ``text``, in order; end exclusive."""
+    """(start, end, kind, canonical form) of the entities of ``text``, in order; end exclusive.
+
+    A second pass over the text adds the mentions without a title of the names that the first one found.
+    """
     spans = []
     for m in ENTITY.finditer(text or ""):
-        shown = m.group()
+        shown, start = m.group(), m.start()
         if m.group("person"):
-            title = m.group("title")
-            gender = "male" if title in MALE else "female" if title in FEMALE else "any"
-            names = list(re.finditer(r"\S+", m.group("names")))
-            for k, word in enumerate(names):
-                given = k == 0 and len(names) == 2
-                where = m.start("names")
-                script = _script(word.group())
-                role = f"given-{script}-{gender}" if given else f"surname-{script}"
-                spans.append((where + word.start(), where + word.end(), role, word.group().lower()))
+            spans += _named(m)
             continue
         kind = next(k for k in ("email", "ip", "iban", "ssn", "phone", "number") if m.group(k))
         if kind == "email":
-            canon = shown.lower()
+            if shown[0] != '"':
+                start += len(shown) - len(shown.lstrip(".!#$%&'*/=?^`{|}~-"))
+            if text[start] == "@":
+                continue
+            canon = text[start : m.end()].lower()
         elif kind == "ip":
             canon = shown
         elif kind == "phone":
             canon = re.sub(r"[^\d+]", "", shown)
         else:
             canon = re.sub(r"[^0-9A-Z]", "", shown)
-        spans.append((m.start(), m.end(), kind, canon))
-    return spans
+        spans.append((start, m.end(), kind, canon))
+    return sorted(spans + _mentions(text or "", spans))
 
 
 def _stream(key: bytes, *what: object) -> Iterator[int]:
@@ -128,7 +232,7 @@ def surrogate(key: bytes, kind: str, canon: str, attempt: int = 0) -> str:
     stream = _stream(key, kind, canon, attempt)
     extra = max(0, attempt - 3)
     if kind == "email":
-        local, _, domain = canon.partition("@")
+        local, _, domain = canon.rpartition("@")
         labels, _, top = domain.rpartition(".")
         return f"{_mapped(local + 'x' * extra, stream)}@{_mapped(labels, _stream(key, 'domain', domain))}.{top}"
     if kind == "ip":
@@ -166,7 +270,7 @@ def dressed(shown: str, kind: str, canon: str) -> str:
         return canon.upper() if shown.isupper() else canon
     if kind == "ip":
         return canon
-    return canon.upper() if shown.isupper() and len(shown) > 1 else "-".join(p.capitalize() for p in canon.split("-"))
+    return canon.upper() if shown.isupper() and len(shown.rstrip(".")) > 1 else "-".join(p.capitalize() for p in canon.split("-"))
 
 
 def detect(docs: DataFrame, text: str = "text") -> DataFrame:

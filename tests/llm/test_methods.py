@@ -143,6 +143,34 @@ def test_surrogates(spark):
     assert pii.pseudonymise(df, b"other").filter("doc_id = 1").first().text != out[1].text
 
 
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("Mrs Ada Mary Lang sings.", ["Ada", "Mary", "Lang"]), ("Frau Anne-Marie Koch ruht", ["Anne-Marie", "Koch"]),
+        ("Mr O'Brien's hat", ["O'Brien"]), ("Mr McDonald", ["McDonald"]), ("Herr Dvořák", ["Dvořák"]),
+        ("Herr Dvor\u030ca\u0301k", ["Dvor\u030ca\u0301k"]), ("Herr Dr. Anton Meyer", ["Anton", "Meyer"]),
+        ("Herr Šimek", ["Šimek"]), ("Herr von Braun", ["Braun"]), ("Mr J. Smith", ["J.", "Smith"]),
+        ("Mr. SMITH", ["SMITH"]), ("Señora María de la Cruz", ["María", "Cruz"]), ("Dr. med. Eva Stein", ["Eva", "Stein"]),
+        ("Mr Lang met Ada Lang. Lang left. The Lang-case", ["Lang", "Lang", "Lang", "Lang"]),
+        ("Mr Lang wrote to lang@x.example, language", ["Lang", "lang@x.example"]),
+        ("jürgen.o'neil@bücher.example 'a@b.org'", ["jürgen.o'neil@bücher.example", "a@b.org"]),
+        (f"{'x' * 80}@a.b.c.d.e.f.g.h.i.j.k.example", [f"{'x' * 80}@a.b.c.d.e.f.g.h.i.j.k.example"]),
+    ],
+)
+def test_whole_names(text, expected):
+    assert [text[a:b] for a, b, _, _ in pii.find(text)] == expected
+
+
+def test_bare_mentions(spark):
+    text = "Herr Dr. Anton Meyer-Šimek met Ada Lang and Mr\tLang. Lang left; MEYER-ŠIMEK and Lang's dog stayed."
+    out = pii.pseudonymise(spark.createDataFrame([(text,)], "text STRING"), b"key").first()
+    found = re.fullmatch(
+        r"Herr Dr\. (\w+) ([\w-]+) met Ada ([\w-]+) and Mr\t([\w-]+)\. ([\w-]+) left; ([\w-]+) and ([\w-]+)'s dog stayed\.", out.text
+    )
+    assert out.n_entities == 7 and found[3] == found[4] == found[5] == found[7] != "Lang"
+    assert found[6] == found[2].upper() and found[1] in pii.GIVEN["latin", "male"]
+
+
 def test_packing_search():
     rng = random.Random(3)
     for low, high in ((1, 2048), (500, 1100), (1, 60), (2048, 2048)):
