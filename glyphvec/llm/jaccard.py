@@ -158,8 +158,12 @@ def _verify(rows: pa.Table) -> pa.Table:
     )
 
 
-def _tasks(reps: DataFrame) -> tuple[DataFrame, int]:
-    """(rep, task, side, bin): which classes are compared with which, and the number of bins."""
+def _tasks(reps: DataFrame) -> DataFrame:
+    """(rep, task, side, bin): which classes are compared with which.
+
+    A class is in as many tasks as its buckets name pairs of blocks, so bins are sized by all rows of the
+    tasks: a large task is a bin of its own, small ones share bins.
+    """
     bands = reps.select("rep", F.explode("bands").alias("bucket"))
     leads = bands.groupBy("bucket").agg(F.min("rep").alias("lead"), F.count("*").alias("n"))
     members = materialise(bands.join(leads.filter("n > 1").drop("n"), "bucket"), "members")
@@ -171,10 +175,9 @@ def _tasks(reps: DataFrame) -> tuple[DataFrame, int]:
     )
     block = F.xxhash64("home", F.pmod(F.xxhash64("rep"), F.col("parts")))
     placed = materialise(homes.join(parts, "home").select("rep", "n_ngrams", block.alias("block")), "blocks")
-    bins = 1 + (placed.agg(F.sum("n_ngrams")).first()[0] or 0) // (2 * BLOCK_NGRAMS)
 
-    within = placed.select("rep", F.col("block").alias("task"), F.lit(0).alias("side"))
-    at = members.select("bucket", "rep").join(placed.select("rep", "block"), "rep")
+    within = placed.select("rep", F.col("block").alias("task"), F.lit(0).alias("side"), "n_ngrams")
+    at = members.select("bucket", "rep").join(placed, "rep")
     named = at.select("bucket", "block").distinct()
     several = named.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
     named = named.join(several, "bucket").withColumnRenamed("block", "other")
@@ -185,11 +188,17 @@ def _tasks(reps: DataFrame) -> tuple[DataFrame, int]:
             "rep",
             F.xxhash64(F.least("block", "other"), F.greatest("block", "other")).alias("task"),
             F.when(F.col("block") < F.col("other"), 1).otherwise(2).alias("side"),
+            "n_ngrams",
         )
-        .distinct()
+        .groupBy("rep", "task", "side")
+        .agg(F.max("n_ngrams").alias("n_ngrams"))
     )
-    tasks = within.unionByName(across)
-    return tasks.withColumn("bin", F.pmod(F.xxhash64("task"), F.lit(bins))), bins
+    tasks = materialise(within.unionByName(across), "tasks")
+    sizes = tasks.groupBy("task").agg(F.sum("n_ngrams").alias("size"))
+    small = F.col("size") < BLOCK_NGRAMS // 4
+    bins = 1 + (sizes.filter(small).agg(F.sum("size")).first()[0] or 0) // BLOCK_NGRAMS
+    shared = F.when(small, F.pmod(F.xxhash64("task"), F.lit(bins))).otherwise(F.col("task"))
+    return tasks.join(sizes.select("task", shared.alias("bin")), "task").select("rep", "task", "side", "bin")
 
 
 def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -226,7 +235,7 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     )
     reps = materialise(reps.dropDuplicates(["rep", "bands"]), "representatives")
 
-    tasks, bins = _tasks(reps)
+    tasks = _tasks(reps)
     texts = base.filter(F.col("text").isNotNull()).withColumnRenamed("doc_id", "rep")
     full = texts.join(tasks, "rep").withColumn("ngrams", bind(normalised(F.col("text")), lambda w: ngrams(w)))
     found = (

@@ -115,6 +115,20 @@ def test_jaccard_join(spark, monkeypatch):
                 assert set(r.links) == links[copy[r.doc_id]], r.doc_id
 
 
+def test_bins_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_DOCS", 4)
+    monkeypatch.setattr(jaccard, "BLOCK_NGRAMS", 40)
+    reps = spark.createDataFrame([(i, 10, [7]) for i in range(96)], "rep BIGINT, n_ngrams INT, bands ARRAY<BIGINT>")
+    rows = jaccard._tasks(reps).collect()
+    largest = max(Counter(r["task"] for r in rows).values())
+    # A bin holds no more than the largest task, the rows of two blocks.
+    assert max(Counter(r["bin"] for r in rows).values()) == largest < len(rows) / 10
+    met = defaultdict(set)
+    for r in rows:
+        met[r["task"]].add(r["rep"])
+    assert {p for reps in met.values() for p in itertools.combinations(sorted(reps), 2)} == set(itertools.combinations(range(96), 2))
+
+
 def test_common_counts():
     rng = np.random.default_rng(0)
     lists = [np.unique(rng.integers(0, 60, 25)) for _ in range(30)] + [np.zeros(0, np.int64)]
