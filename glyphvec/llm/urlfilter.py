@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from glyphvec.llm.common import table
 
 ADD, REMOVE = "add", "remove"
-#: Host labels and path segments from which keys are made, at most.
+#: Host labels and path segments up to which the SQL makes keys; the tables' URLs have fewer.
 LABELS, SEGMENTS = 8, 4
 #: Hot keys of captures are dealt over so many parts; their intervals are repeated as often.
 PARTS = 16
@@ -33,21 +33,18 @@ def path_of(url: Column) -> Column:
 
 
 def keys_of(url: Column) -> Column:
-    """What an entry may name to concern ``url``: its host and parent domains, and the host with the
-    first segments of its path. No keys for null and malformed urls."""
-    labels = F.split(host_of(url), r"\.")
-    counts = F.filter(F.sequence(F.lit(2), F.lit(LABELS)), lambda n: n <= F.size(labels))
+    """What an entry may name to concern ``url``: its host and all parent domains of two labels or more, and
+    the host with the first segments of its path, down to the last. No keys for null and malformed urls."""
+    host = host_of(url)
+    labels = F.split(host, r"\.")
+    counts = F.filter(F.sequence(F.lit(1), F.size(labels)), lambda n: (n >= 2) | (F.size(labels) == 1))
     domains = F.transform(counts, lambda n: F.array_join(F.slice(labels, -n, n), "."))
-    one = F.when(F.size(labels) == 1, F.array(host_of(url)))
     segments = F.filter(F.split(path_of(url), "/"), lambda s: s != "")
-    depths = F.filter(F.sequence(F.lit(1), F.lit(SEGMENTS)), lambda n: n <= F.size(segments))
-    prefixes = F.transform(
-        depths, lambda n: F.concat(host_of(url), F.lit("/"), F.array_join(F.slice(segments, F.lit(1), n), "/"))
-    )
-    full_host = F.when(F.size(labels) > LABELS, F.array(host_of(url)))
+    depths = F.sequence(F.lit(1), F.greatest(F.size(segments), F.lit(1)))
+    depths = F.filter(depths, lambda n: n <= F.size(segments))
+    prefixes = F.transform(depths, lambda n: F.concat(host, F.lit("/"), F.array_join(F.slice(segments, F.lit(1), n), "/")))
     none = F.array().cast("array<string>")
-    whole = F.concat(domains, F.coalesce(one, full_host, none), prefixes)
-    return F.when(host_of(url).isNull(), none).otherwise(F.array_distinct(whole))
+    return F.when(host.isNull(), none).otherwise(F.array_distinct(F.concat(domains, prefixes)))
 
 
 def intervals(entries: DataFrame) -> DataFrame:

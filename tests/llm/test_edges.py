@@ -146,6 +146,19 @@ def test_urls(spark):
     assert urlfilter.judge(captures.limit(0), entries).count() == 0
 
 
+def test_deep_urls(spark):
+    url = "http://a.b.c.d.e.f.g.h.i.j.example/1/2/3/4/5/6//7?q=/8"
+    captures = spark.createDataFrame([(1, url, 10), (2, "http://x.example/1/2", 10)], "page_id INT, url STRING, fetched_at INT")
+    for key in ("a.b.c.d.e.f.g.h.i.j.example/1/2/3/4/5", "a.b.c.d.e.f.g.h.i.j.example/1/2/3/4/5/6/7", "b.c.d.e.f.g.h.i.j.example"):
+        entries = spark.createDataFrame([("l", key, "add", 5)], "list STRING, key STRING, action STRING, at INT")
+        found = _by_page(urlfilter.judge(captures, entries))
+        assert found[1]["blocked"] and found[1]["n_active"] == 1 and not found[2]["blocked"], key
+
+
+def _by_page(df):
+    return {r["page_id"]: r for r in df.collect()}
+
+
 def test_stages_keep_columns(spark, docs, empty):
     for source in (docs, empty):
         left = source
