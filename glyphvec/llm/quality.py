@@ -32,6 +32,8 @@ FUNCTION_WORDS = (
     "au aux avec ce dans de des du elle en est et il la le les ne par pas pour que qui sur un une "
     "al como con del el es la las lo los más no para pero por que se su un una y"
 ).split()
+#: The letters of those languages.
+LETTERS = "A-Za-zÀÂÄÆÇÈÉÊËÎÏÔÖÙÛÜŸŒÁÍÓÚÑàâäæçèéêëîïôöùûüÿœáíóúñßẞ"
 
 
 def _chars(text: Column, pattern: str) -> Column:
@@ -68,7 +70,8 @@ def _repeated(w: Column) -> Column:
 def statistics(text: Column) -> Column:
     """What the rules look at, as one struct; each part is computed once per row.
 
-    Null texts count as empty; every statistic of an empty text is 0.
+    Null texts count as empty; every statistic of an empty text is 0. ``n_known`` (function words, bare of
+    what is no letter) and ``n_foreign`` (letters of other languages) are counted if function words are few.
     """
     body = F.coalesce(text, F.lit(""))
 
@@ -99,11 +102,22 @@ def statistics(text: Column) -> Column:
         _chars(body, "A-Z").alias("n_capitals"),
     )
     names = {"words": WORD_STATISTICS, "lines": ("n_lines", "n_dup_lines")}
+
+    def known(w: Column) -> Column:
+        return F.size(F.filter(w, lambda x: F.lower(F.regexp_replace(x, r"[^\p{L}]+", "")).isin(FUNCTION_WORDS)))
+
+    def of_few(p: Column, count: Column) -> Column:
+        few = 100 * p["words"]["n_function_words"] < 2 * p["words"]["n_words"]
+        return F.when(few, count.cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+
+    foreign = F.length(F.regexp_replace(body, rf"[^\p{{L}}]+|[{LETTERS}]+", ""))
     return bind(
         parts,
         lambda p: F.struct(
             *(p[group][name].alias(name) for group, own in names.items() for name in own),
             *(p[name].alias(name) for name in ("n_symbols", "n_shouts", "n_capitals")),
+            of_few(p, known(words(text))).alias("n_known"),
+            of_few(p, foreign).alias("n_foreign"),
         ),
     )
 
@@ -111,6 +125,15 @@ def statistics(text: Column) -> Column:
 WORD_STATISTICS = ("n_words", "word_chars", "n_distinct", "n_repeat_words", "n_function_words", "n_bare")
 
 
+def _listed(s: Column) -> Column:
+    """Whether a text is in one of the languages of FUNCTION_WORDS: by its letters, and by some of the words.
+
+    Texts that fail for their length anyway need not show such words.
+    """
+    shown = (100 * s["n_known"] >= s["n_words"]) | (s["n_words"] < MIN_WORDS)
+    return (100 * s["n_foreign"] <= s["word_chars"]) & shown
+
+
 #: (name, bad if, good if) over the statistics; neither: the rule abstains. Not to have one fault is no
 #: sign of quality, so most rules can only vote against a text.
 RULES = (
@@ -123,7 +146,7 @@ RULES = (
     ("capitals", lambda s: 100 * s["n_capitals"] > 30 * s["word_chars"], None),
     (
         "function_words",
-        lambda s: 100 * s["n_function_words"] < 2 * s["n_words"],
+        lambda s: (100 * s["n_function_words"] < 2 * s["n_words"]) & _listed(s),
         lambda s: 100 * s["n_function_words"] > 8 * s["n_words"],
     ),
     ("word_length", lambda s: (s["word_chars"] < 2 * s["n_words"]) | (s["word_chars"] > 15 * s["n_words"]), None),
@@ -227,7 +250,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: The rules again, for DuckDB.
+#: The rules again, for DuckDB; without what lets texts in other languages alone, of which the tables have none.
 _RULES_SQL = (
     ("100 * n_symbols > 10 * n_words", "100 * n_symbols <= n_words"),
     ("100 * n_bare > 10 * n_words", None),

@@ -61,6 +61,28 @@ def test_quality_statistics(spark):
     assert sum(r.kept for r in bad) <= 0.2 * len(bad)
 
 
+@needs_data
+def test_other_languages_stay(spark):
+    from pyspark.sql import functions as F
+
+    clean = {
+        "ru": "утро старик вышел дом пошёл река дочь ждала хлеб молоко соль", "el": "πρωί γέρος βγήκε σπίτι πήγε ποτάμι κόρη ψωμί γάλα αλάτι",
+        "pl": "rano wyszedł domów poszedł rzekę córkę czekał chlebą mleko śólą", "id": "pagi kakek keluar rumah pergi sungai putri tunggu roti susu",
+    }
+    texts = [(k, " ".join(a + b for a, b in itertools.permutations(v.split(), 2))) for k, v in clean.items()]
+    stats = spark.createDataFrame(texts, "lang STRING, text STRING").select("lang", quality.statistics(F.col("text")).alias("s")).cache()
+    corpus = spark.read.parquet(f"{SF}/documents.parquet").select(quality.votes(quality.statistics(F.col("text"))).alias("votes"))
+    counts = corpus.groupBy("votes").count().cache()
+    size = counts.agg(F.sum("count")).first()[0]
+    for share in (0.01, 0.001):
+        large = counts.select("votes", F.explode(F.sequence(F.lit(1), F.col("count") * 500)).alias("i")).select("votes")
+        copies = max(1, round(size * 500 * share / len(texts)))
+        added = stats.select(quality.votes(F.col("s")).alias("votes"), F.explode(F.sequence(F.lit(1), F.lit(copies))))
+        model = quality.fit(large.unionByName(added.select("votes")))
+        found = {r["lang"]: r["kept"] for r in stats.select("lang", quality.kept(F.col("s"), model).alias("kept")).collect()}
+        assert found == dict.fromkeys(clean, True), share
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 140)]
