@@ -49,3 +49,11 @@ def slices(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
         end += 1
     if end > start:
         yield start, end
+
+
+def free_name(df: DataFrame, wish: str) -> str:
+    """``wish``, with underscores behind it until no column of ``df`` has the name."""
+    taken = {c.lower() for c in df.columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
