@@ -3,7 +3,10 @@
 The model file is parsed here and rebuilt: normaliser, word marker, pieces with their scores, byte
 fallback. No piece of such a vocabulary holds a marker behind another character, so a text falls apart
 before its markers; tasks encode each distinct part once per cache, all new parts of a batch together on
-several threads. Each new part is also encoded by ``sentencepiece``, to verify parity.
+several threads. To verify parity ``sentencepiece`` encodes whole raw texts, its own normaliser included.
+
+Unigram and BPE models are rebuilt. Models with what the rebuild lacks are refused: user-defined pieces,
+markers as suffixes, spaces left as they are.
 """
 
 from __future__ import annotations
@@ -19,19 +22,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from glyphvec.llm.common import table
+from glyphvec.llm.common import free_name, portions, table
 
 MARK = "▁"
 THREADS = 2
-#: Distinct parts that a worker remembers, and the longest part worth it.
-REMEMBERED, LONGEST = 600_000, 64
+#: Texts encoded at a time.
+PORTION = 256
+#: Bytes of parts that a worker remembers, what an entry takes besides its part, and the longest part worth it.
+REMEMBERED_BYTES, ENTRY_BYTES, LONGEST = 40 << 20, 240, 64
 
 #: Kinds of pieces and of models in the file format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
+#: Fixed value: what stands for an unknown piece in a decoded text, unless the model says otherwise.
+UNKNOWN_TEXT = " \u2047 "
 
-_loaded: dict[str, Codec] = {}
+_loaded: dict[tuple[str, bool], Codec] = {}
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -72,6 +80,7 @@ class ModelFile:
     charsmap: bytes
     dummy_prefix: bool
     squeeze: bool
+    unknown_text: str
 
     @classmethod
     def parse(cls, data: bytes) -> ModelFile:
@@ -88,11 +97,18 @@ class ModelFile:
                 trainer = dict(_fields(value))
             elif number == 3:
                 normaliser = dict(_fields(value))
-        if trainer.get(3, UNIGRAM) not in (UNIGRAM, BPE):
-            raise ValueError("only unigram and BPE models can be rebuilt")
+        lacking = {
+            "a model that is neither unigram nor BPE": trainer.get(3, UNIGRAM) not in (UNIGRAM, BPE),
+            "word markers as suffixes": trainer.get(24, 0),
+            "spaces that are left as they are": not normaliser.get(5, 1),
+            "user-defined pieces": USER in kinds,
+        }
+        if any(lacking.values()):
+            raise ValueError(f"cannot be rebuilt: {', '.join(k for k, v in lacking.items() if v)}")
         return cls(
             pieces, scores, kinds, trainer.get(3, UNIGRAM), bool(trainer.get(35, 0)),
             normaliser.get(2, b""), bool(normaliser.get(3, 1)), bool(normaliser.get(4, 1)),
+            trainer.get(44, UNKNOWN_TEXT.encode()).decode(),
         )
 
 
@@ -112,10 +128,10 @@ class Codec:
         self.tokenizer.decoder = decoders.Sequence(
             [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(), *strip]
         )
-        inner = any(MARK in p.lstrip(MARK) for p, k in zip(self.file.pieces, self.file.kinds) if k in (NORMAL, USER))
+        inner = any(MARK in p.lstrip(MARK) for p, k in zip(self.file.pieces, self.file.kinds) if k == NORMAL)
         self.parts = None if inner else re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
         self.cache: dict[str, bytes] = {}
-        self.differing: set[str] = set()
+        self.cached = 0
         self.control = {i for i, k in enumerate(self.file.kinds) if k == CONTROL}
         self.bytes = [self._bytes(p, k) for p, k in zip(self.file.pieces, self.file.kinds)]
         self.reference = None
@@ -125,10 +141,11 @@ class Codec:
             self.reference = sentencepiece.SentencePieceProcessor(model_file=path)
             self.threads = threads
 
-    @staticmethod
-    def _bytes(piece: str, kind: int) -> bytes:
+    def _bytes(self, piece: str, kind: int) -> bytes:
         if kind == CONTROL:
             return b""
+        if kind == UNKNOWN:
+            return self.file.unknown_text.encode()
         return bytes([int(piece[3:5], 16)]) if kind == BYTE else piece.replace(MARK, " ").encode()
 
     def _model(self):
@@ -137,9 +154,16 @@ class Codec:
         file = self.file
         unknown = file.kinds.index(UNKNOWN)
         if file.model == UNIGRAM:
-            return models.Unigram(list(zip(file.pieces, file.scores)), unknown, file.byte_fallback)
+            # Control pieces match no text: a noncharacter keeps them out. Byte pieces must keep their
+            # names, and their score must not make a text of that name cheap.
+            least = min((x for x, k in zip(file.scores, file.kinds) if k == NORMAL), default=0.0)
+            rows = [
+                (p, x) if k == NORMAL else (p, least) if k == BYTE else (f"\uffff{p}", least)
+                for p, x, k in zip(file.pieces, file.scores, file.kinds)
+            ]
+            return models.Unigram(rows, unknown, file.byte_fallback)
         vocabulary = {p: i for i, p in enumerate(file.pieces)}
-        usable = {p for p, k in zip(file.pieces, file.kinds) if k in (NORMAL, USER)}
+        usable = {p for p, k in zip(file.pieces, file.kinds) if k == NORMAL}
         ranked = sorted(usable, key=lambda p: (-file.scores[vocabulary[p]], vocabulary[p]))
         merges = [
             (p[:i], p[i:]) for p in ranked for i in range(1, len(p)) if p[:i] in usable and p[i:] in usable
@@ -161,33 +185,30 @@ class Codec:
         return (MARK if self.file.dummy_prefix else "") + text.replace(" ", MARK)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bool]]:
-        """Ids of all texts in a row, how many each text has, and whether its parts all have parity."""
+        """Ids of all texts in a row, how many each text has, and whether ``sentencepiece`` gives the same."""
         split = [self.parts.findall(m) if self.parts else [m] * bool(m) for m in map(self._marked, texts)]
-        new = list({p for parts in split for p in parts if p not in self.cache})
-        if len(self.cache) + len(new) > REMEMBERED:
-            self.cache, self.differing = {}, set()
+        known = self.cache
+        new = list({p for parts in split for p in parts if p not in known})
+        if self.cached > REMEMBERED_BYTES:
+            self.cache = known = {}
+            self.cached = 0
             new = list({p for parts in split for p in parts})
-        self.cache |= self._encoded(new)
-        joined = [b"".join([self.cache[p] for p in parts]) for parts in split]
-        agree = [not self.differing or self.differing.isdisjoint(parts) for parts in split]
+        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        known.update({p: struct.pack(f"<{len(e)}i", *e.ids) for p, e in zip(new, encoded)})
+        del encoded
+        joined = [b"".join([known[p] for p in parts]) for parts in split]
         for p in new:
             if len(p) > LONGEST:
-                del self.cache[p]
-                self.differing.discard(p)
+                del known[p]
+            else:
+                self.cached += ENTRY_BYTES + 4 * len(p)
         counts = np.array([len(j) // 4 for j in joined], np.int64)
+        agree = [True] * len(texts)
+        if self.reference is not None:
+            expected = self.reference.encode(texts, num_threads=self.threads)
+            agree = [j == np.array(e, "<i4").tobytes() for j, e in zip(joined, expected)]
         return np.frombuffer(b"".join(joined), "<i4"), counts, agree
 
-    def _encoded(self, parts: list[str]) -> dict[str, bytes]:
-        """The ids of each part, packed; notes the parts that ``sentencepiece`` encodes otherwise."""
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-        if self.reference is not None and parts:
-            prefix = bool(self.file.dummy_prefix)
-            plain = [p[1:] if prefix and p[0] == MARK else p for p in parts]
-            expected = self.reference.encode([p.replace(MARK, " ") for p in plain], num_threads=self.threads)
-            alone = [self.reference.piece_to_id(MARK)]  # an empty text has no marker to compare with
-            self.differing |= {p for p, i, e in zip(parts, ids, expected) if i != (alone if p == MARK else e)}
-        return {p: struct.pack(f"<{len(i)}i", *i) for p, i in zip(parts, ids)}
-
     def decode(self, ids: list[list[int]]) -> list[str]:
         """Texts of lists of ids; control pieces are left out, ids outside the vocabulary are refused.
 
@@ -207,37 +228,43 @@ class Codec:
         return texts
 
 
-def codec(path: str) -> Codec:
-    if path not in _loaded:
-        _loaded[path] = Codec(path)
-    return _loaded[path]
+def codec(path: str, verify: bool = True) -> Codec:
+    """One codec for each model file in a worker; a verifier only where one is asked for."""
+    key = (path, verify)
+    if key not in _loaded:
+        _loaded[key] = Codec(path, verify=verify)
+    return _loaded[key]
+
+
+def _lists(flat: np.ndarray, counts: np.ndarray, mask: pa.Array | None = None) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()), mask=mask)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``docs`` with ``ids`` (array<int>) and ``parity``; old columns of these names are replaced.
 
-    Null texts have null ids and parity true; empty texts have no ids. Rows are encoded one by one, so
-    repeated rows and null keys do not matter. ``path`` is read on the executors.
+    ``parity`` says whether ``sentencepiece`` gives the same ids for the whole raw text. Null texts have
+    null ids and parity true; empty texts have no ids. Rows are encoded one by one, so repeated rows and
+    null keys do not matter. ``path`` is read on the executors.
     """
 
     @F.arrow_udf("struct<ids: array<int>, parity: boolean>")
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(path)
         for batch in batches:
-            values, counts, parity = [], [np.zeros(0, np.int64)], []
-            for start in range(0, len(batch), 512):
-                texts = batch[start : start + 512].to_pylist()
-                flat, n, same = own.encode([t or "" for t in texts])
+            values, counts, parity = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], []
+            for some in portions(batch, PORTION):
+                flat, n, same = own.encode([t or "" for t in some.to_pylist()])
                 values.append(flat)
                 counts.append(n)
                 parity += same
-            offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int32)
-            flat = np.concatenate(values) if values else np.zeros(0, np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()), mask=batch.is_null())
+            ids = _lists(np.concatenate(values), np.concatenate(counts), batch.is_null())
             yield pa.StructArray.from_arrays([ids, pa.array(parity, pa.bool_())], names=["ids", "parity"])
 
-    found = docs.withColumn("__encoded", encoded(F.col(f"`{text}`")))
-    return found.withColumns({"ids": F.col("__encoded.ids"), "parity": F.col("__encoded.parity")}).drop("__encoded")
+    name = free_name(docs, "encoded")
+    found = docs.withColumn(name, encoded(F.col(f"`{text}`")))
+    return found.withColumns({"ids": F.col(name)["ids"], "parity": F.col(name)["parity"]}).drop(name)
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -245,45 +272,53 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", into: str = "decoded")
 
     @F.arrow_udf("string")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = codec(path)
+        own = codec(path, verify=False)
         for batch in batches:
             texts = []
-            for start in range(0, len(batch), 512):
-                lists = batch[start : start + 512].to_pylist()
-                some = own.decode([i or [] for i in lists])
-                texts += [None if i is None else t for i, t in zip(lists, some)]
+            for some in portions(batch, PORTION):
+                lists = some.to_pylist()
+                found = own.decode([i or [] for i in lists])
+                texts += [None if i is None else t for i, t in zip(lists, found)]
             yield pa.array(texts, pa.string())
 
     return docs.withColumn(into, decoded(F.col(f"`{ids}`")))
 
 
+def verified(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, n_tokens, ids_crc32, parity, round_trip): what encoding and decoding each text comes to.
+
+    ``ids_crc32`` is over the ids as little-endian 32-bit numbers; ``round_trip`` says whether decoding
+    gives the text back. Null texts have no tokens, a null checksum and keep both promises. One Python
+    worker does it all, so a task holds one codec; ids and decoded texts never leave it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(path)
+        for batch in batches:
+            for some in portions(batch, PORTION):
+                texts = some.column("text").to_pylist()
+                flat, counts, parity = own.encode([t or "" for t in texts])
+                ends = np.cumsum(counts)
+                lists = [flat[b - n : b] for b, n in zip(ends, counts)]
+                sums = [None if t is None else zlib.crc32(i.tobytes()) for t, i in zip(texts, lists)]
+                back = own.decode([i.tolist() for i in lists])
+                columns = [
+                    some.column("doc_id"), pa.array(counts), pa.array(sums, pa.int64()), pa.array(parity, pa.bool_()),
+                    pa.array([t is None or t == b for t, b in zip(texts, back)], pa.bool_()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    given = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    names = ["doc_id", "n_tokens", "ids_crc32", "parity", "round_trip"]
+    kinds = [given.schema["doc_id"].dataType, T.LongType(), T.LongType(), T.BooleanType(), T.BooleanType()]
+    return given.mapInArrow(run, T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)]))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, their checksum, parity and whether decoding gives the text back."""
     import public_tokenizers
 
-    path = public_tokenizers.path("piece_bpe_32k.model")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = decode(encode(docs, path), path)
-    return both.select(
-        "doc_id",
-        F.coalesce(F.size("ids"), F.lit(0)).cast("bigint").alias("n_tokens"),
-        checksum("ids").alias("ids_crc32"),
-        "parity",
-        F.coalesce(F.col("decoded") == F.col("text"), F.col("text").isNull()).alias("round_trip"),
-    )
-
-
-def checksum(ids: str):
-    """crc32 of the ids as little-endian 32-bit numbers; null for null."""
-
-    @F.arrow_udf("bigint")
-    def sums(lists: pa.Array) -> pa.Array:
-        offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False).astype("<u4")
-        empty = lists.is_null().to_numpy(zero_copy_only=False)
-        found = [zlib.crc32(values[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:])]
-        return pa.array(np.array(found, np.int64), mask=empty)
-
-    return sums(F.col(ids))
+    return verified(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 QUERIES = {"op4_sentencepiece": op4_sentencepiece}
