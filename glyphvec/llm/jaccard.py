@@ -30,6 +30,8 @@ UPPER, LOWER = 4, 5
 RECALL = 0.9998
 ROWS = 8
 BLOCK_DOCS, BLOCK_NGRAMS = 512, 1_000_000
+#: Ids of 8 bytes that are broadcast to pick out texts.
+BROADCAST_IDS = 2_000_000
 #: Values hashed at a time; they fit a core's cache.
 SLICE = 1 << 17
 #: Columns with more owners than this are multiplied as a dense matrix.
@@ -235,8 +237,12 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     )
     reps = materialise(reps.dropDuplicates(["rep", "bands"]), "representatives")
 
-    tasks = _tasks(reps)
+    tasks = materialise(_tasks(reps), "tasks-in-bins")
     texts = base.filter(F.col("text").isNotNull()).withColumnRenamed("doc_id", "rep")
+    wanted = tasks.select("rep").distinct()
+    if wanted.count() <= BROADCAST_IDS:
+        # Texts of classes without a candidate stay where they are; beyond the bound the join moves them.
+        texts = texts.join(F.broadcast(wanted), "rep", "left_semi")
     full = texts.join(tasks, "rep").withColumn("ngrams", bind(normalised(F.col("text")), lambda w: ngrams(w)))
     found = (
         full.select("bin", "task", "side", "rep", "ngrams")
