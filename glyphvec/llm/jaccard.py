@@ -172,6 +172,9 @@ def _tasks(reps: DataFrame) -> DataFrame:
 
     homes = members.groupBy("rep").agg(F.min("lead").alias("home")).join(reps.select("rep", "n_ngrams"), "rep")
     homes = materialise(homes, "homes")
+    # The home of the home: one family has few homes, so few pairs of blocks.
+    further = homes.select(F.col("rep").alias("home"), F.col("home").alias("further"))
+    homes = materialise(homes.join(further, "home").select("rep", "n_ngrams", F.col("further").alias("home")), "merged-homes")
     parts = homes.groupBy("home").agg(
         F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n_ngrams") / BLOCK_NGRAMS)).alias("parts")
     )
