@@ -3,13 +3,15 @@
 The index is a set of Parquet tables below one folder: ``vectors`` partitioned by ``cluster_id``,
 ``centroids`` with the size of each cluster, ``metadata`` by ordinal, and a one-row manifest. A query
 reads only the clusters nearest to it; probing all clusters gives the exact answer.
+
+Up to the bound of a broadcast the centres are one table. More clusters stand in two levels (``centres``),
+and ``vectors`` is then partitioned by the upper centre and sorted by cluster within its files.
 """
 
 from __future__ import annotations
 
 import math
 import time
-
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
@@ -19,18 +21,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glyphvec.functions.vectors import check_metric, l2_normalize
+from glyphvec.operators.centres import grow_leaves, nearest, nearness, probe_leaves, to_leaves, to_wide
 from glyphvec.operators.knn import (
     BROADCAST_BYTES,
     QuerySet,
     best_per_query,
-    in_query_blocks,
     knn_join,
     query_bytes,
     result_schema,
     scan_join,
     standard_queries,
 )
-from glyphvec.operators.topk import row_blocks, to_matrix, unit_rows
+from glyphvec.operators.tiles import meet_in_tiles
+from glyphvec.operators.topk import row_blocks, to_matrix
 from glyphvec.session import materialise
 from glyphvec.sinks.tables import OUTPUT_ROOT, index_path, write_manifest
 from glyphvec.sources.vectors import read_manifest, read_vectors, vector_dim
@@ -69,31 +72,64 @@ def _train(
     return np.array(model.clusterCenters())
 
 
-def _distances(vectors: np.ndarray, centroids: np.ndarray, metric: str) -> np.ndarray:
-    wide = unit_rows(vectors) if metric == "cosine" else vectors.astype(np.float64)
-    return (centroids**2).sum(axis=1) - 2.0 * (wide @ centroids.T)
-
-
-def assign_clusters(vectors: DataFrame, centroids: np.ndarray, metric: str) -> DataFrame:
-    """``cluster_id`` of the nearest centre for each (index_id, embedding); no shuffle."""
+def assign_clusters(vectors: DataFrame, centroids: np.ndarray, metric: str, name: str = "cluster_id") -> DataFrame:
+    """The nearest centre for each (index_id, embedding), in column ``name``; no shuffle."""
     dim = centroids.shape[1]
     shared = vectors.sparkSession.sparkContext.broadcast(centroids)
 
     def run(batches):
         for batch in batches:
-            rows = to_matrix(batch.column("embedding"), dim)
-            cluster = np.empty(len(rows), np.int32)
-            starts = row_blocks(len(rows), len(shared.value))
-            for lo in starts:
-                block = slice(lo, lo + starts.step)
-                cluster[block] = _distances(rows[block], shared.value, metric).argmin(axis=1)
+            cluster = nearest(to_matrix(batch.column("embedding"), dim), shared.value, metric)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("index_id"), batch.column("embedding"), pa.array(cluster)],
-                names=["index_id", "embedding", "cluster_id"],
+                names=["index_id", "embedding", name],
             )
 
-    schema = "index_id BIGINT, embedding ARRAY<FLOAT>, cluster_id INT"
-    return vectors.mapInArrow(run, schema)
+    return vectors.mapInArrow(run, f"index_id BIGINT, embedding ARRAY<FLOAT>, {name} INT")
+
+
+def _write_flat(vectors: DataFrame, centroids: np.ndarray, metric: str, index_dir: str, mode: str) -> None:
+    """One level: vectors by cluster, and the centre table with the size of each cluster."""
+    spark = vectors.sparkSession
+    assigned = assign_clusters(vectors, centroids, metric)
+    (
+        assigned.hint("rebalance", "cluster_id")
+        .write.mode(mode)
+        .partitionBy("cluster_id")
+        .parquet(f"{index_dir}/vectors")
+    )
+    # One row per centre, of which there are at most max_nlist(dim).
+    sizes = dict(spark.read.parquet(f"{index_dir}/vectors").groupBy("cluster_id").count().collect())
+    centres = spark.createDataFrame(
+        [(i, c.tolist(), sizes.get(i, 0)) for i, c in enumerate(centroids)],
+        "cluster_id INT, centroid ARRAY<DOUBLE>, n_rows BIGINT",
+    )
+    centres.coalesce(1).write.mode(mode).parquet(f"{index_dir}/centroids")
+
+
+def _write_tree(
+    vectors: DataFrame, upper: np.ndarray, nlist: int, metric: str, seed: int, index_dir: str, mode: str
+) -> None:
+    """Two levels: vectors by upper centre, sorted by leaf, and a table for each level."""
+    spark, dim = vectors.sparkSession, upper.shape[1]
+    placed = materialise(assign_clusters(vectors, upper, metric, "top"), "placed")
+    # One row per upper centre.
+    sizes = dict(placed.groupBy("top").count().collect())
+    leaves = materialise(grow_leaves(placed, upper, sizes, nlist, metric, seed), "leaves")
+    (
+        to_leaves(placed, leaves, dim, metric)
+        .hint("rebalance", "top")
+        .sortWithinPartitions("top", "cluster_id")
+        .write.mode(mode)
+        .partitionBy("top")
+        .parquet(f"{index_dir}/vectors")
+    )
+    held = spark.read.parquet(f"{index_dir}/vectors").groupBy("cluster_id").agg(F.count("*").alias("n_rows"))
+    counted = leaves.join(held, "cluster_id", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
+    counted.select("top", "cluster_id", "centroid", "n_rows").write.mode(mode).parquet(f"{index_dir}/centroids")
+    tops = [(i, c.tolist(), sizes.get(i, 0)) for i, c in enumerate(upper)]
+    tops = spark.createDataFrame(tops, "top INT, centroid ARRAY<DOUBLE>, n_rows BIGINT")
+    tops.coalesce(1).write.mode(mode).parquet(f"{index_dir}/upper")
 
 
 def build_index(
@@ -107,6 +143,7 @@ def build_index(
     nprobe: int | None = None,
     recall: float = RECALL_TARGET,
     train_rows: int | None = None,
+    max_centres: int | None = None,
     seed: int = 0,
     model: str = "",
     output_root: str = OUTPUT_ROOT,
@@ -114,9 +151,11 @@ def build_index(
 ) -> dict:
     """Write the index of a vector table and return its manifest.
 
-    Unless given, ``nprobe`` is the smallest number of clusters that holds the share ``recall`` of the
-    true neighbours of a few hundred rows, themselves left out; the manifest tells target and measured
-    share. ``train_rows`` bounds the rows that place the centres; by default all do.
+    Unless given, ``nprobe`` is the smallest number of clusters (in two levels: the smallest power of two)
+    that finds the share ``recall`` of the true neighbours of some two hundred rows, themselves left out;
+    the manifest's ``recall`` is measured on as many other rows. ``train_rows`` bounds the rows that place
+    the centres; by default all do. An ``nlist`` beyond ``max_centres`` (by default what a broadcast
+    holds) makes a tree of centres in two levels, with about that many clusters.
 
     ``source`` is a Parquet path or a frame with ``index_id``. An empty ``index_dir`` stands for the
     default path below ``output_root`` for that Parquet path. Vectors are grouped for the write by a
@@ -138,29 +177,23 @@ def build_index(
     vectors = df.select("index_id", F.col(embedding_col).alias("embedding"))
     rows = vectors.count()
     nlist = min(rows, nlist or default_nlist(rows, dim))
-    if nlist > max_nlist(dim):
-        raise ValueError(f"nlist must not exceed {max_nlist(dim)} for dimension {dim}")
-    centroids = _train(vectors, rows, nlist, metric, seed, train_rows)
+    most = max_centres or max_nlist(dim)
+    if nlist > most**2:
+        raise ValueError(f"nlist must not exceed {most**2} for dimension {dim}")
+    tree = nlist > most
+    centroids = _train(vectors, rows, math.ceil(math.sqrt(nlist)) if tree else nlist, metric, seed, train_rows)
+    if tree:
+        _write_tree(vectors, centroids, nlist, metric, seed, index_dir, mode)
+    else:
+        _write_flat(vectors, centroids, metric, index_dir, mode)
+    # The number of rows in the centre table: clusters, and the rows they hold.
+    held = spark.read.parquet(f"{index_dir}/centroids").agg(F.count("*").alias("n"), F.sum("n_rows").alias("rows")).head()
 
-    assigned = assign_clusters(vectors, centroids, metric)
-    (
-        assigned.hint("rebalance", "cluster_id")
-        .write.mode(mode)
-        .partitionBy("cluster_id")
-        .parquet(f"{index_dir}/vectors")
-    )
-    # One row per centre, of which there are at most max_nlist(dim).
-    sizes = dict(spark.read.parquet(f"{index_dir}/vectors").groupBy("cluster_id").count().collect())
-    centres = spark.createDataFrame(
-        [(i, c.tolist(), sizes.get(i, 0)) for i, c in enumerate(centroids)],
-        "cluster_id INT, centroid ARRAY<DOUBLE>, n_rows BIGINT",
-    )
-    centres.coalesce(1).write.mode(mode).parquet(f"{index_dir}/centroids")
-    enough, measured = _calibrate(spark, index_dir, vectors, centroids, metric, recall, nprobe, seed)
+    enough, measured = _calibrate(spark, index_dir, vectors, None if tree else centroids, metric, recall, nprobe, held["n"], seed)
     described = Observation()
     metadata = df.drop(embedding_col).observe(described, F.count(F.lit(1)).alias("rows"))
     metadata.write.mode(mode).parquet(f"{index_dir}/metadata")
-    indexed, written = sum(sizes.values()), described.get["rows"]
+    indexed, written = held["rows"], described.get["rows"]
     if not rows == written == indexed:
         raise RuntimeError(f"row count mismatch: {rows} read, {indexed} indexed, {written} described")
     manifest = {
@@ -170,7 +203,7 @@ def build_index(
         "space": metric,
         "dimensions": dim,
         "count": rows,
-        "nlist": len(centroids),
+        "nlist": held["n"],
         "nprobe": enough,
         "recall_target": recall,
         "recall": measured,
@@ -187,41 +220,70 @@ def _calibrate(
     spark: SparkSession,
     index_dir: str,
     vectors: DataFrame,
-    centroids: np.ndarray,
+    centroids: np.ndarray | None,
     metric: str,
     target: float,
     nprobe: int | None,
+    nlist: int,
     seed: int,
 ) -> tuple[int, float]:
-    """Clusters to probe, and the share of true neighbours that they hold.
+    """Clusters to probe, and the share of true neighbours found with them by rows that had no say in it.
 
-    A few hundred rows, chosen by hash, are searched exactly; how far down a query's list of clusters
-    each of their neighbours lies gives the share for any number of probes.
+    Rows chosen by hash are searched exactly; every other one of them helps to choose the number of
+    clusters, the rest measure what it finds. In one level, how far down a row's list of clusters its
+    neighbours lie tells the share for any number; a tree is searched with ever more probes.
     """
-    drawn = vectors.orderBy(F.xxhash64("index_id", F.lit(seed)), "index_id").limit(CALIBRATION_QUERIES)
-    asked = materialise(drawn.withColumnRenamed("index_id", "query_id"), "calibration")
-    exact = knn_join(
-        asked.withColumn("own", F.col("query_id")), vectors, CALIBRATION_K, metric, self_col="own"
-    ).select("query_id", "index_id")
+    drawn = vectors.orderBy(F.xxhash64("index_id", F.lit(seed)), "index_id").limit(2 * CALIBRATION_QUERIES)
+    measures = F.pmod(F.xxhash64("index_id", F.lit(seed + 1)), F.lit(2)) == 0
+    columns = [F.col("index_id").alias("query_id"), "embedding", F.col("index_id").alias("own"), measures.alias("measures")]
+    asked = materialise(drawn.select(*columns), "calibration")
+    exact = knn_join(asked, vectors, CALIBRATION_K, metric, self_col="own").select("query_id", "index_id")
+    if centroids is None:
+        return _calibrate_tree(spark, index_dir, asked, materialise(exact, "exact"), metric, target, nprobe, nlist)
     stored = spark.read.parquet(f"{index_dir}/vectors").select("index_id", "cluster_id")
     # Bounded: a few hundred queries with ten neighbours each.
     homes = stored.join(F.broadcast(exact), "index_id").select("query_id", "cluster_id").toArrow()
     rows = asked.toArrow()
     if not homes.num_rows:
-        return min(nprobe or 1, len(centroids)), 1.0
-    near = _nearness(to_matrix(rows["embedding"], centroids.shape[1]), centroids, metric)
+        return min(nprobe or 1, nlist), 1.0
+    near = nearness(to_matrix(rows["embedding"], centroids.shape[1]), centroids, metric)
     place = near.argsort(axis=1, kind="stable").argsort(axis=1, kind="stable")
     at = {q: i for i, q in enumerate(rows["query_id"].to_pylist())}
-    owner = [at[q] for q in homes["query_id"].to_pylist()]
-    depth = np.sort(place[owner, homes["cluster_id"].to_numpy()])
-    needed = int(depth[math.ceil(target * len(depth)) - 1]) + 1
-    probes = min(nprobe or needed, len(centroids))
-    return probes, round(float((depth < probes).mean()), 4)
+    owner = np.array([at[q] for q in homes["query_id"].to_pylist()])
+    depth = place[owner, homes["cluster_id"].to_numpy()]
+    measuring = rows["measures"].to_numpy()[owner]
+    choosing = np.sort(depth[~measuring] if not measuring.all() else depth)
+    needed = int(choosing[math.ceil(target * len(choosing)) - 1]) + 1
+    probes = min(nprobe or needed, nlist)
+    measured = depth[measuring] if measuring.any() else depth
+    return probes, round(float((measured < probes).mean()), 4)
+
+
+def _calibrate_tree(
+    spark: SparkSession,
+    index_dir: str,
+    asked: DataFrame,
+    exact: DataFrame,
+    metric: str,
+    target: float,
+    nprobe: int | None,
+    nlist: int,
+) -> tuple[int, float]:
+    true = exact.join(F.broadcast(asked.select("query_id", "measures")), "query_id")
+    dim = vector_dim(asked)
 
+    def share(probes: int, measures: bool) -> float:
+        some = asked.filter(F.col("measures") == measures)
+        found = _query(spark, index_dir, some, CALIBRATION_K, metric, dim, probes, "own", BROADCAST_BYTES)
+        found = found.select("query_id", "index_id", F.lit(1).alias("hit"))
+        wanted = true.filter(F.col("measures") == measures).join(found, ["query_id", "index_id"], "left")
+        hits = wanted.agg(F.avg(F.coalesce("hit", F.lit(0)))).first()[0]
+        return 1.0 if hits is None else hits
 
-def _nearness(rows: np.ndarray, centres: np.ndarray, metric: str) -> np.ndarray:
-    """Smaller is nearer, for each row and centre."""
-    return -(rows @ centres.T) if metric == "ip" else _distances(rows, centres, metric)
+    probes = min(nprobe or 1, nlist)
+    while not nprobe and probes < nlist and share(probes, False) < target:
+        probes = min(2 * probes, nlist)
+    return probes, round(share(probes, True), 4)
 
 
 def _probe(
@@ -230,9 +292,7 @@ def _probe(
     """``clusters`` to read for each query: the ``nprobe`` nearest, and further ones while those hold
     fewer than ``want`` rows, so that no query comes back short."""
     dim = centroids.shape[1]
-    spark = queries.sparkSession
-    shared = spark.sparkContext.broadcast((centroids, sizes))
-    has_own = "own_id" in queries.columns
+    shared = queries.sparkSession.sparkContext.broadcast((centroids, sizes))
 
     def run(batches):
         centres, counts = shared.value
@@ -241,8 +301,7 @@ def _probe(
             picked = [np.empty(0, np.int32)]
             starts = row_blocks(len(asked), len(centres))
             for lo in starts:
-                some = asked[lo : lo + starts.step]
-                near = _nearness(some, centres, metric)
+                near = nearness(asked[lo : lo + starts.step], centres, metric)
                 order = near.argsort(axis=1, kind="stable").astype(np.int32)
                 enough = (counts[order].cumsum(axis=1) < want).sum(axis=1) + 1
                 take = np.clip(np.maximum(nprobe, enough), 1, len(centres))
@@ -251,14 +310,10 @@ def _probe(
             clusters = pa.ListArray.from_arrays(
                 pa.array(np.cumsum(lengths, dtype=np.int32)), pa.array(np.concatenate(picked))
             )
-            names = ["query_id", "embedding"] + (["own_id"] if has_own else [])
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n) for n in names], clusters], names=[*names, "clusters"]
-            )
+            yield pa.RecordBatch.from_arrays([*batch.columns, clusters], names=[*batch.schema.names, "clusters"])
 
     clusters = T.StructField("clusters", T.ArrayType(T.IntegerType()))
-    schema = T.StructType([*queries.schema.fields, clusters])
-    return queries.mapInArrow(run, schema)
+    return queries.mapInArrow(run, T.StructType([*queries.schema.fields, clusters]))
 
 
 def query_index(
@@ -273,44 +328,104 @@ def query_index(
     self_col: str | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Nearest rows among the probed clusters, as (query_id, rank, index_id, score)."""
+    """Nearest rows among the probed clusters, as (query_id, rank, index_id, score).
+
+    A query set of up to ``broadcast_bytes`` is broadcast to a scan of the probed clusters; a larger one
+    is dealt to them, and meets each cluster in tiles.
+    """
     manifest = read_manifest(spark, index_dir)
     dim, metric = int(manifest["dimensions"]), manifest["space"]
     asked = standard_queries(queries, query_id, embedding_col, self_col)
-    query_type = asked.schema["query_id"].dataType
-    # Bounded when the index is built: at most max_nlist(dim) rows.
-    table = spark.read.parquet(f"{index_dir}/centroids").toArrow().sort_by("cluster_id")
-    centroids = table["centroid"].combine_chunks().flatten().to_numpy().reshape(-1, dim)
-    sizes = table["n_rows"].to_numpy()
-    nprobe = max(1, min(nprobe or int(manifest["nprobe"]), len(centroids)))
-    probes = materialise(_probe(asked, centroids, sizes, metric, nprobe, k + bool(self_col)), "probes")
+    probes = max(1, min(nprobe or int(manifest["nprobe"]), int(manifest["nlist"])))
+    return _query(spark, index_dir, asked, k, metric, dim, probes, self_col and "own_id", broadcast_bytes)
+
+
+def _query(
+    spark: SparkSession,
+    index_dir: str,
+    queries: DataFrame,
+    k: int,
+    metric: str,
+    dim: int,
+    nprobe: int,
+    own: str | None,
+    broadcast_bytes: int,
+) -> DataFrame:
+    asked = standard_queries(queries, "query_id", "embedding", own)
+    schema = result_schema(asked.schema["query_id"].dataType)
     vectors = spark.read.parquet(f"{index_dir}/vectors")
+    centres = spark.read.parquet(f"{index_dir}/centroids")
+    tree = "top" in centres.columns
+    # Bounded when the index is built: as many centres as a broadcast holds.
+    known = spark.read.parquet(f"{index_dir}/upper").toArrow().sort_by("top") if tree else centres.toArrow().sort_by("cluster_id")
+    first, sizes = to_wide(known["centroid"], dim), known["n_rows"].to_numpy()
+    want = k + bool(own)
+    counted = Observation()
+    if tree:
+        probes = probe_leaves(asked, first, sizes, centres, metric, nprobe, want)
+    else:
+        probes = _probe(asked, first, sizes, metric, nprobe, want)
+    probes = probes.observe(
+        counted, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("clusters")), F.lit(0)).alias("probes")
+    )
+    probes = materialise(probes, "probes")
+    rows = counted.get["rows"]
+    if not rows:
+        return best_per_query(spark.createDataFrame([], schema), k, metric)
+    one = query_bytes(dim, k)
+    if rows * one + counted.get["probes"] * 8 <= broadcast_bytes:
+        found = _scan(vectors, probes, dim, k, metric, bool(own), len(first) if not tree else None)
+    else:
+        block, part = max(1, broadcast_bytes // one), max(1, broadcast_bytes // (dim * 8))
+        found = _tiles(vectors, centres, probes, dim, k, metric, block, part, schema)
+    return best_per_query(found, k, metric)
+
+
+def _scan(vectors: DataFrame, probes: DataFrame, dim: int, k: int, metric: str, has_own: bool, nlist: int | None):
+    """Candidates for a query set that is broadcast; only its clusters are read."""
+    rows = probes.toArrow()
+    clusters = rows["clusters"].combine_chunks()
+    owner = np.repeat(np.arange(rows.num_rows), np.diff(clusters.offsets.to_numpy()))
+    probed = clusters.flatten().to_numpy()
+    order = np.argsort(probed, kind="stable")
+    names, starts = np.unique(probed[order], return_index=True)
+    side = QuerySet(
+        ids=rows["query_id"].combine_chunks(),
+        vectors=to_matrix(rows["embedding"], dim),
+        own=rows["own_id"].to_numpy() if has_own else None,
+        clusters=dict(zip(names.tolist(), np.split(owner[order], starts[1:]))),
+    )
+    read = vectors.select("index_id", "embedding", "cluster_id")
+    if len(side.clusters) != nlist:
+        read = read.filter(F.col("cluster_id").isin(names.tolist()))
+    return scan_join(read, side, probes.schema["query_id"].dataType, k, metric)
+
+
+def _tiles(
+    vectors: DataFrame,
+    centres: DataFrame,
+    probes: DataFrame,
+    dim: int,
+    k: int,
+    metric: str,
+    block_rows: int,
+    part_rows: int,
+    schema: T.StructType,
+) -> DataFrame:
+    """Candidates for a query set of any size: every cluster's queries meet its rows in tiles.
 
-    size = probes.agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("clusters")), F.lit(0)).alias("probes")
-    ).head()
-    if not size["rows"]:
-        return best_per_query(spark.createDataFrame([], result_schema(query_type)), k, metric)
-
-    def search(block: DataFrame) -> DataFrame:
-        rows = block.toArrow()
-        if not rows.num_rows:
-            return spark.createDataFrame([], result_schema(query_type))
-        clusters = rows["clusters"].combine_chunks()
-        owner = np.repeat(np.arange(rows.num_rows), np.diff(clusters.offsets.to_numpy()))
-        probed = clusters.flatten().to_numpy()
-        order = np.argsort(probed, kind="stable")
-        names, starts = np.unique(probed[order], return_index=True)
-        side = QuerySet(
-            ids=rows["query_id"].combine_chunks(),
-            vectors=to_matrix(rows["embedding"], dim),
-            own=rows["own_id"].to_numpy() if self_col else None,
-            clusters=dict(zip(names.tolist(), np.split(owner[order], starts[1:]))),
-        )
-        read = vectors
-        if len(side.clusters) < len(centroids):
-            read = vectors.filter(F.col("cluster_id").isin(sorted(side.clusters)))
-        return scan_join(read, side, query_type, k, metric)
-
-    needed = size["rows"] * query_bytes(dim, k) + size["probes"] * 8
-    return in_query_blocks(probes, needed, broadcast_bytes, k, metric, search)
+    Queries of a cluster form blocks, its rows parts, both by hash and of bounded size; clusters that no
+    query probes drop out before the shuffle.
+    """
+    asked = [c for c in probes.columns if c != "clusters"]
+    each = probes.select(*asked, F.explode("clusters").alias("cluster_id"))
+    blocks = each.groupBy("cluster_id").agg(F.ceil(F.count("*") / block_rows).alias("blocks"))
+    parts = F.greatest(F.ceil(F.col("n_rows") / part_rows), F.lit(1)).alias("parts")
+    sizes = materialise(blocks.join(centres.select("cluster_id", parts), "cluster_id"), "tiles")
+    sent = each.join(sizes, "cluster_id").withColumn("b", F.pmod(F.xxhash64("query_id"), F.col("blocks")))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    name = F.xxhash64("cluster_id", "b").alias("block")
+    sent = sent.select(*asked, name, every("parts").alias("part"))
+    held = vectors.join(sizes, "cluster_id").withColumn("part", F.pmod(F.xxhash64("index_id"), F.col("parts")))
+    held = held.withColumn("b", every("blocks")).select("index_id", "embedding", name, "part")
+    return meet_in_tiles(sent, held, dim, k, metric, schema)

@@ -2,23 +2,23 @@
 
 The query matrix is broadcast and the corpus streams past it in Arrow batches, without a shuffle. Each
 task keeps k rows per query, so that the one shuffle, by query, moves (tasks x queries x k) small rows
-however large the corpus is. A query set beyond the measured bound goes in blocks, one after the other.
+however large the corpus is. A query set beyond the measured bound is joined tile by tile instead.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glyphvec.functions.vectors import check_metric
+from glyphvec.operators.tiles import tile_join
 from glyphvec.operators.topk import BestRows, to_matrix
-from glyphvec.session import materialise
+from glyphvec.session import materialise, runs_python
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -92,26 +92,6 @@ def scan_join(corpus: DataFrame, queries: QuerySet, query_type: T.DataType, k: i
     return corpus.mapInArrow(run, result_schema(query_type))
 
 
-def in_query_blocks(
-    asked: DataFrame, size: int, block_bytes: int, k: int, metric: str, search: Callable[[DataFrame], DataFrame | None]
-) -> DataFrame:
-    """Best rows for ``asked``, a written table of ``size`` bytes, in hashed blocks of the given size.
-
-    One block passes through the driver and is broadcast at a time; the vectors are read again for each
-    block and never shuffled. All candidates of a query are in its block, so each block is ranked and
-    written by itself.
-    """
-    blocks = max(1, -(-size // max(1, block_bytes)))
-    if blocks == 1:
-        return best_per_query(search(asked), k, metric)
-    done = None
-    for block in range(blocks):
-        found = search(asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block))
-        ranked = materialise(best_per_query(found, k, metric), "neighbours")
-        done = ranked if done is None else done.unionByName(ranked)
-    return done
-
-
 def standard_queries(
     queries: DataFrame, query_id: str, embedding_col: str, self_col: str | None
 ) -> DataFrame:
@@ -153,19 +133,24 @@ def knn_join(
     if k < 1:
         raise ValueError("k must be at least 1")
     # Written first: queries that come from an encoder are encoded once.
-    asked = materialise(standard_queries(queries, query_id, embedding_col, self_col), "queries")
+    size = Observation()
+    counted = standard_queries(queries, query_id, embedding_col, self_col).observe(
+        size, F.count(F.lit(1)).alias("rows"), F.max(F.size("embedding")).alias("dim")
+    )
+    asked = materialise(counted, "queries")
     rows = corpus.select("index_id", F.col(embedding_col).alias("embedding"))
-    query_type = asked.schema["query_id"].dataType
-    size = asked.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("embedding")).alias("dim")).head()
-    if not size["rows"]:
-        return best_per_query(corpus.sparkSession.createDataFrame([], result_schema(query_type)), k, metric)
-    dim = size["dim"]
-    needed = size["rows"] * query_bytes(dim, k)
-    if needed > broadcast_bytes:
-        # Several passes: vectors that come from an encoder are encoded once.
-        rows = materialise(rows, "vectors")
-
-    def search(block: DataFrame) -> DataFrame:
-        return scan_join(rows, collect_queries(block, dim, bool(self_col)), query_type, k, metric)
-
-    return in_query_blocks(asked, needed, broadcast_bytes, k, metric, search)
+    schema = result_schema(asked.schema["query_id"].dataType)
+    if not size.get["rows"]:
+        return best_per_query(corpus.sparkSession.createDataFrame([], schema), k, metric)
+    dim = size.get["dim"]
+    one = query_bytes(dim, k)
+    if size.get["rows"] * one <= broadcast_bytes:
+        side = collect_queries(asked, dim, bool(self_col))
+        return best_per_query(scan_join(rows, side, schema["query_id"].dataType, k, metric), k, metric)
+    # The vectors are read several times; those that come from an encoder are encoded once.
+    rows = materialise(rows, "vectors") if runs_python(rows) else rows
+    n_rows = rows.count()
+    if not n_rows:
+        return best_per_query(corpus.sparkSession.createDataFrame([], schema), k, metric)
+    block, part = max(1, broadcast_bytes // one), max(1, broadcast_bytes // (dim * 8))
+    return best_per_query(tile_join(asked, rows, n_rows, dim, k, metric, block, part, schema), k, metric)

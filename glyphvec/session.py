@@ -111,6 +111,12 @@ def copy_hidden(spark: SparkSession, folder: str, suffix: str) -> tuple[str, lis
     return target, names
 
 
+def runs_python(df: DataFrame) -> bool:
+    """Whether reading ``df`` again would run Python code again, such as an encoder."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return bool(re.search("InArrow|InPandas|InPython|EvalPython|PythonUDTF|UserDefined", plan))
+
+
 def planned_bytes(df: DataFrame) -> int:
     """The planner's size estimate; for a plain file scan, the size of its files."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

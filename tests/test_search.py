@@ -310,3 +310,53 @@ def test_streamed_best_rows_match_brute_force(monkeypatch, cells):
     assert sorted(zip(out["query_id"], out["index_id"], out["score"])) == sorted(
         (q, i, s) for q, _, i, s in want
     )
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2", "ip"])
+def test_tree_of_centres(spark, clustered, tmp_path, metric):
+    index = str(tmp_path / "tree")
+    manifest = build_index(spark, frame(spark, clustered), index, metric=metric, nlist=30, max_centres=7)
+    assert manifest["count"] == 600 and 15 <= manifest["nlist"] <= 45 and manifest["recall"] >= 0.9
+    assert spark.read.parquet(f"{index}/upper").count() <= 7
+    queries = frame(spark, clustered[:40])
+    exact = brute(clustered[:40], clustered, 5, metric)
+    for size in (1 << 26, 15 * query_bytes(8, 5)):
+        found = got(query_index(spark, index, queries, 5, query_id="index_id", nprobe=100, broadcast_bytes=size))
+        assert found == exact
+    long = query_index(spark, index, frame(spark, clustered[:3]), 599, nprobe=1, query_id="index_id", self_col="index_id")
+    assert got(long) == brute(clustered[:3], clustered, 599, metric, own=True)
+    with pytest.raises(ValueError, match="must not exceed"):
+        build_index(spark, frame(spark, clustered), str(tmp_path / "no"), nlist=30, max_centres=5)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2", "ip"])
+def test_tiles_of_large_sets(spark, clustered, metric, monkeypatch):
+    """Small tiles, a cell with a third of all rows, copies, a zero row: the exact answer, no driver pass."""
+    rows = np.concatenate([clustered, clustered[:50], np.zeros((1, 8), np.float32), clustered[:40] * 1e-4]).astype(np.float32)
+    queries = rows[::9]
+    ids = [int(i) for i in range(0, len(rows), 9)]
+    asked = spark.createDataFrame([(i, q.tolist()) for i, q in zip(ids, queries)], "index_id BIGINT, embedding ARRAY<FLOAT>")
+    plain = got(knn_join(asked, frame(spark, rows), 6, metric, query_id="index_id", self_col="index_id"))
+    from glyphvec.operators import knn
+
+    monkeypatch.setattr(knn, "collect_queries", None)
+    tiled = knn_join(
+        asked, frame(spark, rows), 6, metric, query_id="index_id", self_col="index_id", broadcast_bytes=20 * query_bytes(8, 6)
+    )
+    assert got(tiled) == plain
+
+
+def test_cells_are_left_out(clustered):
+    from glyphvec.operators.tiles import Cells
+
+    for metric in ("cosine", "l2", "ip"):
+        cells = Cells(np.empty((0, 8)), clustered[:300], np.arange(300), metric)
+        cells.pivots = cells.points(clustered[:10])
+        points = cells.points(clustered)
+        gaps = cells.gaps(points)
+        home = gaps.argmin(axis=1)
+        cells.radius = np.array([gaps[home == c, c].max() if (home == c).any() else 0.0 for c in range(10)])
+        _, meets = cells.reached(clustered[:60], np.arange(60), 5)
+        assert meets.mean() < 0.8
+        best = brute(clustered[:60], clustered, 5, metric, own=True)
+        assert all(meets[q, home[i]] for q, _, i, _ in best)
