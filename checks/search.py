@@ -2,28 +2,31 @@
 
 from __future__ import annotations
 
+import io
+import json
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import Catalogue, table
-from checks.texts import sql_clean, sql_line
+from checks.texts import refused, sql_clean, sql_line
 from glyphvec.functions.text import clean_text, single_line
 from glyphvec.functions.vectors import l2_normalize as unit_length
 from glyphvec.functions.vectors import score, zero_vector
-from glyphvec.operators.embed import HashingProvider, embed
+from glyphvec.operators.embed import HashingProvider, RetryingProvider, embed, embed_once
 from glyphvec.operators.ivf import build_index, query_index
 from glyphvec.operators.knn import knn_join, query_bytes
 from glyphvec.operators.lookup import attach_metadata, checked_ids, vector_at, vectors_at
-from glyphvec.operators.ordinals import number_parquet_rows
+from glyphvec.operators.ordinals import file_directory, number_parquet_rows, row_at
 from glyphvec.operators.sampling import report_lines
 from glyphvec.plans.embedding import embed_texts, run_metrics
 from glyphvec.plans.search import sample_index, sample_neighbours, search_index
-from glyphvec.session import widen, work_path
+from glyphvec.session import widen, work_path, write_bytes
 from glyphvec.sinks.tables import write_embeddings, write_partitioned, write_results, write_text_table
-from glyphvec.sources.vectors import parse_vectors, read_index_metadata, read_manifest
+from glyphvec.sources.vectors import parse_vectors, query_vector, read_index_metadata, read_manifest
 
 C = Catalogue()
 QUERIES, SQL = C.queries, C.sql
@@ -242,6 +245,157 @@ def client_embed(spark, sf_dir):
     return exploded(embed(docs, LengthProvider, text_col="text", batch_size=16), "doc_id")
 
 
+class Busy(Exception):
+    """A remote side that has no time."""
+
+
+class FlakyProvider(LengthProvider):
+    """Fails before every call that it answers."""
+
+    failed = True
+
+    def encode(self, texts: list[str]) -> np.ndarray:
+        FlakyProvider.failed = not FlakyProvider.failed
+        if not FlakyProvider.failed:
+            raise Busy("later")
+        return super().encode(texts)
+
+
+class ClosedProvider(LengthProvider):
+    def encode(self, texts: list[str]) -> np.ndarray:
+        raise Busy("the provider is closed")
+
+
+def no_wait(seconds: float) -> None:
+    pass
+
+
+def retrying(provider):
+    return lambda: RetryingProvider(provider(), (Busy,), max_retries=2, sleep=no_wait)
+
+
+@C.add(f"SELECT *, TRUE AS gives_up FROM ({CLIENT_SQL})")
+def retried_calls(spark, sf_dir):
+    """Every call of the provider fails once; one that always fails ends the job."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    closed = embed(docs.limit(1), retrying(ClosedProvider), text_col="text")
+    gives_up = refused(lambda: closed.collect(), "the provider is closed")
+    found = embed(docs, retrying(FlakyProvider), text_col="text", batch_size=16)
+    return exploded(found, "doc_id").withColumn("gives_up", F.lit(gives_up))
+
+
+REPEATED = "concat(lang, ':', CAST(doc_id % 50 AS VARCHAR))"
+
+
+@C.add(CLIENT_SQL.replace("FROM documents", f"FROM (SELECT doc_id, {REPEATED} AS text FROM documents)"))
+def client_embed_once(spark, sf_dir):
+    """Texts that many rows share are encoded once, at most three calls at a time."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.expr(REPEATED.replace("VARCHAR", "STRING")).alias("text"))
+    return exploded(embed_once(docs, LengthProvider, text_col="text", batch_size=16, max_calls=3), "doc_id")
+
+
+@C.add(
+    """SELECT unnest(['an ordinal beyond the table', 'an ordinal in a list', 'the last ordinal']) AS ordinal,
+       count(*) AS n_rows, unnest([TRUE, TRUE, FALSE]) AS refused FROM embeddings"""
+)
+def range_check(spark, sf_dir):
+    rows = vectors(spark, sf_dir)
+    n = rows.count()
+    stray = rows.select("index_id").union(spark.range(n, n + 1).select(F.col("id")))
+    found = {
+        "an ordinal beyond the table": refused(lambda: vector_at(rows, n), f"index_id out of range: {n}"),
+        "an ordinal in a list": refused(lambda: checked_ids(stray, rows), f"index_id out of range: {n}"),
+        "the last ordinal": refused(lambda: vector_at(rows, n - 1), "out of range"),
+    }
+    parts = [
+        rows.agg(F.lit(name).alias("ordinal"), F.count(F.lit(1)).alias("n_rows"), F.lit(flag).alias("refused"))
+        for name, flag in found.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@C.add("SELECT count(*) AS n_written, TRUE AS mismatch_refused, count(*) AS n_indexed, count(*) AS n_described FROM embeddings")
+def row_reconciliation(spark, sf_dir):
+    """Rows are counted where they are written and compared with what was read."""
+    rows = vectors(spark, sf_dir)
+    n = rows.count()
+    written = write_embeddings(rows, work_path(spark, "counted"), dim=DIM, total_rows=n)
+    short = refused(
+        lambda: write_embeddings(rows, work_path(spark, "short"), dim=DIM, total_rows=n + 1),
+        f"row count mismatch: expected {n + 1}, wrote {n}",
+    )
+    index = indexed(spark, sf_dir, "l2")
+    stored = spark.read.parquet(f"{index}/vectors").agg(F.count(F.lit(1)).alias("n_indexed"))
+    described = spark.read.parquet(f"{index}/metadata").agg(F.count(F.lit(1)).alias("n_described"))
+    flags = stored.select("*", F.lit(written).cast("long").alias("n_written"), F.lit(short).alias("mismatch_refused"))
+    return flags.crossJoin(described)
+
+
+@C.add(
+    """SELECT unnest(['a null vector', 'a query of another length', 'a shorter vector', 'no fault']) AS fault,
+       count(*) AS n_rows, unnest([TRUE, TRUE, TRUE, FALSE]) AS refused FROM embeddings"""
+)
+def dimension_check(spark, sf_dir):
+    rows = vectors(spark, sf_dir)
+    last = F.col("index_id") == rows.agg(F.max("index_id")).first()[0]
+
+    def store(vector):
+        return lambda: write_embeddings(rows.withColumn("embedding", vector), work_path(spark, "faulty"), dim=DIM)
+
+    short = F.slice("embedding", 1, DIM - 1)
+    found = {
+        "a shorter vector": refused(store(F.when(last, short).otherwise(F.col("embedding"))), "expected 64, got 63"),
+        "a null vector": refused(store(F.when(~last, F.col("embedding"))), "expected 64, got null"),
+        "a query of another length": refused(
+            lambda: knn_join(rows.withColumn("embedding", short), rows, 1, query_id="index_id").collect(),
+            "embedding dimension mismatch",
+        ),
+        "no fault": refused(store(F.col("embedding")), "mismatch"),
+    }
+    parts = [
+        rows.agg(F.lit(name).alias("fault"), F.count(F.lit(1)).alias("n_rows"), F.lit(flag).alias("refused"))
+        for name, flag in found.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@C.add(
+    """SELECT form, CAST(pos - 1 AS INTEGER) AS pos, round(embedding[pos]::DOUBLE, 6) + 0.0 AS value
+       FROM (SELECT embedding, unnest(range(1, 65)) AS pos FROM embeddings WHERE vec_id = 7),
+            (SELECT unnest(['file.json', 'file.npy', 'literal', 'table', 'table without ids']) AS form)"""
+)
+def query_vector_forms(spark, sf_dir):
+    """One vector of the table, handed over in every form that a query may take."""
+    rows = vectors(spark, sf_dir)
+    values = np.array(vector_at(rows, 7).head()["embedding"], np.float32)
+    literal, raw = json.dumps(values.astype(float).tolist()), io.BytesIO()
+    np.save(raw, values)
+    plain, bare = work_path(spark, "with-ids"), work_path(spark, "without-ids")
+    rows.write.parquet(plain)
+    rows.repartitionByRange(3, "index_id").sortWithinPartitions("index_id").select("embedding").write.parquet(bare)
+    forms = {
+        "literal": {"literal": literal},
+        "file.json": {"file": write_bytes(spark, work_path(spark, "query") + ".json", literal.encode())},
+        "file.npy": {"file": write_bytes(spark, work_path(spark, "query") + ".npy", raw.getvalue())},
+        "table": {"table": plain, "index_id": 7},
+        "table without ids": {"table": bare, "index_id": 7},
+    }
+    parts = [query_vector(spark, **given).select(F.lit(form).alias("form"), "embedding") for form, given in forms.items()]
+    return exploded(reduce(DataFrame.unionByName, parts), "form")
+
+
+@C.add("SELECT vec_id AS index_id, CAST(pos - 1 AS INTEGER) AS pos, round(embedding[pos]::DOUBLE, 6) + 0.0 AS value, 1 AS n_files FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS pos FROM embeddings WHERE vec_id IN (0, 7, (SELECT max(vec_id) FROM embeddings)))")
+def ordinal_lookup(spark, sf_dir):
+    """Rows of a table without ids, by a directory of its files; each lookup reads one file."""
+    path = work_path(spark, "several-files")
+    rows = vectors(spark, sf_dir).repartitionByRange(4, "index_id").sortWithinPartitions("index_id")
+    rows.select("embedding").write.parquet(path)
+    directory = file_directory(spark, path)
+    found = [row_at(spark, path, i, directory) for i in (0, 7, rows.count() - 1)]
+    parts = [exploded(df, "index_id").withColumn("n_files", F.lit(len(df.inputFiles()))) for df in found]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @C.add("SELECT vec_id, CAST(pos - 1 AS INTEGER) AS pos, round(embedding[pos]::DOUBLE, 6) + 0.0 AS value FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS pos FROM embeddings WHERE vec_id = 7)")
 def point_lookup(spark, sf_dir):
     return exploded(vector_at(vectors(spark, sf_dir), 7).withColumnRenamed("index_id", "vec_id"), "vec_id")

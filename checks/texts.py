@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,11 +22,14 @@ from glyphvec.functions.text import (
 )
 from glyphvec.operators.embed import HashingProvider
 from glyphvec.operators.ordinals import assign_index_id
+from glyphvec.plans.embedding import embed_texts
 from glyphvec.plans.prepare import merged_texts
-from glyphvec.session import widen, work_path
-from glyphvec.sinks.tables import text_lines, write_text_table
+from glyphvec.session import materialise, widen, work_path
+from glyphvec.sinks.tables import format_of, text_lines, write_text_table
 from glyphvec.sources.texts import count_records, read_tabular, read_text_folder, read_texts
+from glyphvec.sources.vectors import read_vectors
 from glyphvec.streaming.embedding import embed_stream
+from glyphvec.streaming.ordinals import number_batches, number_stream
 
 C = Catalogue()
 QUERIES, SQL = C.queries, C.sql
@@ -355,9 +360,9 @@ def ordered_tsv(spark, sf_dir):
 
 def one_file_per_document(spark, sf_dir) -> str:
     path = work_path(spark, "text-files")
-    # In one partition, so that the order of the names is the order of the ids.
-    docs = table(spark, sf_dir, "documents").orderBy("doc_id").select("text").coalesce(1)
-    docs.write.option("maxRecordsPerFile", 1).text(path)
+    # Part numbers lead the file names, so the order of the names is the order of the ids.
+    docs = table(spark, sf_dir, "documents").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    docs.select("text").write.option("maxRecordsPerFile", 1).text(path)
     return path
 
 
@@ -391,6 +396,118 @@ def merged_folder(spark, sf_dir):
     return records.select(F.md5("video_title").alias("digest"))
 
 
+def refused(action, message: str) -> bool:
+    """Whether ``action`` fails, and says why."""
+    try:
+        action()
+    except Exception as error:  # noqa: BLE001: any failure counts, if it says the right thing
+        return message in str(error)
+    return False
+
+
+@C.add(
+    """SELECT unnest(['csv', 'embeddings', 'ordered tsv', 'tsv', 'vectors']) AS form, count(*) AS n_rows,
+       unnest(['video_id,video_title', 'video_id,video_title,embedding', 'index_id,video_id,video_title',
+               'video_id,video_title', 'index_id,embedding']) AS names FROM documents WHERE doc_id < 0"""
+)
+def empty_inputs(spark, sf_dir):
+    """Files without a byte, and outputs without a row, have their columns."""
+    none = documents_as_records(spark, sf_dir).filter(F.col("video_id").cast("long") < 0)
+    path = work_path(spark, "empty")
+    write_text_table(none, path)
+    found = {
+        "csv": read_tabular(spark, path, sep=","),
+        "tsv": read_tabular(spark, path, sep="\t", quote=""),
+        "ordered tsv": read_tabular(spark, path, sep="\t", quote="", ordered=True),
+    }
+    for form, fmt in (("embeddings", "parquet"), ("vectors", "vectors")):
+        output = work_path(spark, form)
+        options = {"tabular": True, "sep": "\t", "quote": "", "header": False}
+        embed_texts(spark, path, output, HashingProvider, fmt=fmt, **options)
+        found[form] = spark.read.parquet(output)
+    parts = [
+        df.agg(F.lit(form).alias("form"), F.count(F.lit(1)).alias("n_rows"), F.lit(",".join(df.columns)).alias("names"))
+        for form, df in found.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@C.add(
+    """SELECT unnest(['.parquet', '.vectors', '']) AS suffix, count(*) AS n_rows,
+       unnest(['video_id,video_title,embedding', 'index_id,embedding', 'video_id,video_title,embedding']) AS names,
+       TRUE AS refuses_others FROM documents"""
+)
+def suffix_dispatch(spark, sf_dir):
+    """The suffix of the output decides its form."""
+    path = work_path(spark, "records")
+    write_text_table(documents_as_records(spark, sf_dir), path)
+    options = {"tabular": True, "sep": "\t", "quote": "", "header": False}
+    strict = refused(lambda: format_of("out/table.csv"), "unsupported output suffix")
+    parts = []
+    for suffix in (".parquet", ".vectors", ""):
+        output = work_path(spark, "by-suffix") + suffix
+        embed_texts(spark, path, output, HashingProvider, **options)
+        rows = spark.read.parquet(output)
+        names = F.lit(",".join(rows.columns)).alias("names")
+        count = F.count(F.lit(1)).alias("n_rows")
+        parts.append(rows.agg(F.lit(suffix).alias("suffix"), count, names, F.lit(strict).alias("refuses_others")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@C.add(
+    """SELECT unnest(['a record needs two fields', 'a table needs its text column', 'vectors need their column'])
+       AS rule, count(*) AS n_rows, TRUE AS refused FROM documents"""
+)
+def required_columns(spark, sf_dir):
+    """Inputs that lack a column are refused before any work."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("other"), F.col("lang").alias("name"))
+    headed, single = work_path(spark, "no-text"), work_path(spark, "one-field")
+    docs.write.option("header", True).csv(headed)
+    docs.select(F.col("other").cast("string")).write.text(single)
+    vectors = work_path(spark, "no-vectors")
+    docs.write.parquet(vectors)
+    found = {
+        "a table needs its text column": refused(lambda: read_tabular(spark, headed, sep=","), "missing required column"),
+        "a record needs two fields": refused(
+            lambda: read_tabular(spark, single, sep="\t", header=False, quote=""), "two columns"
+        ),
+        "vectors need their column": refused(lambda: read_vectors(spark, vectors), "missing embedding column"),
+    }
+    parts = [
+        docs.agg(F.lit(rule).alias("rule"), F.count(F.lit(1)).alias("n_rows"), F.lit(flag).alias("refused"))
+        for rule, flag in found.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@C.add(
+    """SELECT count(*) AS n_rows, count(*) AS n_distinct, 0 AS lowest, count(*) - 1 AS highest, TRUE AS in_order,
+       TRUE AS replayed_alike FROM documents"""
+)
+def stream_ordinals(spark, sf_dir):
+    """Ordinals over a stream of several batches; the last batch runs once more and gets the same."""
+    source, output, state = (work_path(spark, label) for label in ("stream-in", "stream-out", "stream-state"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.length("text").alias("n"))
+    docs.repartition(3, "doc_id").write.parquet(source)
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    number_stream(stream, output, state, ["doc_id"], available_now=True).awaitTermination()
+    before = materialise(spark.read.parquet(output), "before")
+    last = before.agg(F.max("batch_id")).first()[0]
+    again = before.filter(F.col("batch_id") == last).select("doc_id", "n")
+    number_batches(output, f"{state}/ordinals", ["doc_id"])(again, last)
+    after = spark.read.parquet(output)
+    moved = after.exceptAll(before.select(*after.columns)).isEmpty() and before.count() == after.count()
+    follows = F.lag("doc_id").over(Window.partitionBy("batch_id").orderBy("index_id")) < F.col("doc_id")
+    return after.withColumn("follows", F.coalesce(follows, F.lit(True))).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("index_id").alias("n_distinct"),
+        F.min("index_id").cast("int").alias("lowest"),
+        F.max("index_id").alias("highest"),
+        F.bool_and("follows").alias("in_order"),
+        F.lit(moved).alias("replayed_alike"),
+    )
+
+
 @C.add(f"SELECT doc_id, {sql_clean('text')} AS video_title, 64 AS dim FROM documents")
 def streamed_embedding(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")

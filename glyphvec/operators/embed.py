@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glyphvec.functions.text import clean_text
+from glyphvec.session import materialise
 
 BATCH_SIZE = 128
 MAX_BACKOFF_SECONDS = 60
@@ -114,6 +115,38 @@ def encode_texts(
     return out
 
 
+def embed_once(
+    df: DataFrame,
+    factory: ProviderFactory,
+    *,
+    text_col: str = "video_title",
+    output_col: str = "embedding",
+    rules: dict | None = None,
+    patterns: str = "intended",
+    batch_size: int = BATCH_SIZE,
+    normalize: bool = True,
+    max_calls: int | None = None,
+) -> DataFrame:
+    """As ``embed``, but equal texts are encoded once: for providers whose calls cost more than a join.
+
+    Distinct texts are encoded and written, in at most ``max_calls`` tasks, which bounds the calls that
+    run at once; rows then join them by their text. Null texts get zero vectors.
+    """
+    if rules is not None:
+        df = df.withColumn(text_col, clean_text(F.col(text_col), rules, patterns))
+    texts = df.select(F.col(text_col).alias("_text")).filter(F.col("_text").isNotNull()).distinct()
+    if max_calls:
+        texts = texts.repartition(max_calls, "_text")
+    vectors = embed(
+        texts, factory, text_col="_text", output_col="_vector", batch_size=batch_size, normalize=normalize
+    )
+    vectors = materialise(vectors, "distinct-texts")
+    zero = F.array_repeat(F.lit(0.0).cast("float"), factory().dim)
+    kept = [F.col(c) for c in df.columns if c != output_col]
+    joined = df.join(vectors, F.col(text_col) == F.col("_text"), "left")
+    return joined.select(*kept, F.coalesce("_vector", zero).alias(output_col))
+
+
 def embed(
     df: DataFrame,
     factory: ProviderFactory,

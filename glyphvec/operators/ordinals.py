@@ -37,6 +37,29 @@ def _join_offsets(rows: DataFrame, offsets: DataFrame, keys: list[str]) -> DataF
     return rows.join(offsets, keys, "left")
 
 
+def file_directory(spark: SparkSession, path: str) -> DataFrame:
+    """(_file, _offset, _rows) of a Parquet table: its files in natural order, the ordinal of the first
+    row of each, and its number of rows. No column is read. Written once, it serves any number of lookups."""
+    rows = spark.read.parquet(path).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
+    )
+    counts = rows.groupBy("_file").agg((F.max("_row") + 1).alias("_rows"))
+    placed = _running_offsets(counts, [natural_key(F.col("_file")), "_file"])
+    return materialise(placed.select("_file", "_offset", "_rows"), "file-offsets")
+
+
+def row_at(spark: SparkSession, path: str, index_id: int, directory: DataFrame | None = None) -> DataFrame:
+    """The row of a Parquet table at an ordinal, by ``file_directory``: only the file that holds it is read."""
+    files = directory if directory is not None else file_directory(spark, path)
+    at = F.lit(index_id) - F.col("_offset")
+    name = F.url_decode(F.replace("_file", F.lit("+"), F.lit("%2B")))
+    found = files.filter((at >= 0) & (at < F.col("_rows"))).select(name, at).head()
+    if found is None:
+        raise ValueError(f"index_id out of range: {index_id}")
+    rows = spark.read.option("basePath", path).parquet(found[0]).drop("index_id")
+    return rows.filter(F.col("_metadata.row_index") == found[1]).select(F.lit(index_id).cast("long").alias("index_id"), "*")
+
+
 def number_parquet_rows(spark: SparkSession, path: str) -> DataFrame:
     """``index_id`` in natural file order, then row order in the file; replaces one that is stored."""
     df = spark.read.parquet(path).drop("index_id")
@@ -44,11 +67,7 @@ def number_parquet_rows(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.row_index").alias("_row"),
     ]
-    counts = df.select(*place).groupBy("_file").agg((F.max("_row") + 1).alias("_rows"))
-    offsets = materialise(
-        _running_offsets(counts, [natural_key(F.col("_file")), "_file"]).select("_file", "_offset"),
-        "file-offsets",
-    )
+    offsets = file_directory(spark, path).select("_file", "_offset")
     placed = _join_offsets(df.select("*", *place), offsets, ["_file"])
     return placed.select((F.col("_offset") + F.col("_row")).alias("index_id"), *df.columns)
 

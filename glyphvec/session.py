@@ -88,6 +88,15 @@ def file_uri(spark: SparkSession, path: str) -> str:
     return re.sub("^file:/+", "file:/", uri)
 
 
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> str:
+    """Write one small file in the file system of ``path``; returns the path."""
+    fs, hpath = _hadoop_path(spark, path)
+    out = fs.create(hpath)
+    out.write(content)
+    out.close()
+    return path
+
+
 def copy_hidden(spark: SparkSession, folder: str, suffix: str) -> tuple[str, list[tuple[str, str, str]]] | None:
     """Copies of the files in ``folder`` that Spark's readers pass over because of their first letter.
 

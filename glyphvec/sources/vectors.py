@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from glyphvec.functions.text import or_empty, strip
 from glyphvec.operators.lookup import vector_at
-from glyphvec.operators.ordinals import number_parquet_rows
+from glyphvec.operators.ordinals import number_parquet_rows, row_at
 
 MANIFEST_SCHEMA = (
     "input STRING, output_dir STRING, embedding_col STRING, space STRING, dimensions INT, count BIGINT, "
@@ -80,7 +80,9 @@ def query_vector(
         return _one_query(spark, json.loads(literal))
     if not table:
         return read_vector_file(spark, file)
-    vectors = read_vectors(spark, table, embedding_col=embedding_col)
+    stored = spark.read.parquet(table)
+    # Without stored ordinals the row is found by its file, and only that file is read.
+    vectors = stored if "index_id" in stored.columns else row_at(spark, table, index_id)
     found = vector_at(vectors, index_id, embedding_col=embedding_col)
     return found.select(F.lit(0).cast("long").alias("query_id"), "embedding")
 
