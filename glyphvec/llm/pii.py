@@ -4,8 +4,9 @@
    that "Mrs Ada Lang" and "Ms Lang" keep the surname in common. A second pass over the text finds where it
    repeats such a name without a title. Small words ("von") stay.
 2. The distinct entities of the corpus get surrogates from a keyed hash: same entity, same surrogate
-   everywhere. Rounds of joins check them: a surrogate that another entity has, or that is itself an
-   entity of the corpus, is drawn again. So distinct entities stay distinct.
+   everywhere. A name is one entity, whatever its titles say; role and gender are attributes on which all
+   its occurrences agree. Rounds of joins check the surrogates: one that another entity has, or that is
+   itself an entity of the corpus, is drawn again. All names share one space, so persons stay distinct.
 3. Spans get their surrogates by a join on the entity and texts by a join on their digest. Only texts
    that may hold an entity take part; all others pass through unshuffled.
 """
@@ -14,13 +15,14 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 import sys
 import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphvec.llm.common import table
@@ -89,14 +91,21 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 ENTITY = re.compile(
     rf"(?P<email>(?:\"(?:[^\"\\\n]|\\.)+\"|(?<!{_LOCAL}){_LOCAL}+)@(?:[\w-]+(?:\.[\w-]+)+|\[[0-9A-Fa-fIPv.:]+\]))"
     rf"|(?P<ip>(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d))"
+    r"|(?P<ip6>(?<![\w:])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{1,4}(?![\w:]))"
     r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
-    r"|(?P<phone>(?<![\w+.])(?:\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,6}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w))"
+    r"|(?P<phone>(?<![\w+.])(?:\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,6}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4}"
+    r"|\(?0\d{1,4}\)?[ /-] ?\d{2,8}(?:[ -]?\d{2,4}){0,4})(?!\w))"
     r"|(?P<number>(?<![\w.])\d(?:[ -]?\d){12,18}(?!\w))"
     rf"|(?P<person>(?<!\w)(?P<titles>(?:(?:{_TITLES})(?:\.?{_GAP}+|\.{_GAP}*|\.-){_DEGREE}*)+)(?P<names>{_NAMES}))"
 )
-#: Texts without this hold no entity.
-MAYBE = rf"@|[0-9][0-9 .()-]{{5,}}[0-9]|[A-Z]{{2}}[0-9]{{2}}|(?:{_TITLES})(?:\.|[ \t\u00a0\u202f])"
+#: Digits of a phone number; numbers that begin with a nought have more than a date.
+PHONE_DIGITS, NATIONAL_DIGITS = range(7, 20), range(9, 14)
+#: Texts without this hold no entity; whatever ``find`` finds has it.
+MAYBE = (
+    rf"@|\p{{Nd}}[\p{{Nd}} .()/-]{{5,}}\p{{Nd}}|[A-Z]{{2}}\p{{Nd}}{{2}}|:[0-9A-Fa-f]{{0,4}}:"
+    rf"|(?:{_TITLES})(?:\.|[ \t\u00a0\u202f])"
+)
 
 SPAN = "struct<start: int, end: int, kind: string, canon: string>"
 
@@ -116,6 +125,21 @@ def _folded(name: str) -> str:
     return unicodedata.normalize("NFC", name).replace("’", "'").replace("ʼ", "'").lower()
 
 
+def _address(shown: str) -> str:
+    """An IPv6 address written in full; empty if it is none, or a mere scope such as ``a::b``."""
+    try:
+        full = ipaddress.IPv6Address(shown).exploded
+    except ValueError:
+        return ""
+    return full if any(c.isdigit() for c in shown) and len(shown) > 5 else ""
+
+
+def _iban_check(canon: str) -> str:
+    """The check digits (ISO 7064, modulo 97) of an account number."""
+    moved = canon[4:] + canon[:2] + "00"
+    return f"{98 - int(''.join(str(int(c, 36)) for c in moved)) % 97:02}"
+
+
 _TITLE = re.compile(rf"(?<!\w)(?:{_TITLES})(?!\w)")
 _PIECE = re.compile(rf"(?P<initials>{_INITIALS}(?={_GAP}*(?:{_LEADING}{_GAP}+)?{_FIRST}|$))|(?P<word>{_WORD})|(?P<small>{_LETTER}+)")
 _MENTION = re.compile(rf"(?<!\w){_WORD}")
@@ -187,7 +211,7 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
         if m.group("person"):
             spans += _named(m)
             continue
-        kind = next(k for k in ("email", "ip", "iban", "ssn", "phone", "number") if m.group(k))
+        kind = next(k for k in ("email", "ip", "ip6", "iban", "ssn", "phone", "number") if m.group(k))
         if kind == "email":
             if shown[0] != '"':
                 start += len(shown) - len(shown.lstrip(".!#$%&'*/=?^`{|}~-"))
@@ -196,8 +220,15 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
             canon = text[start : m.end()].lower()
         elif kind == "ip":
             canon = shown
+        elif kind == "ip6":
+            canon = _address(shown)
+            if not canon:
+                continue
         elif kind == "phone":
             canon = re.sub(r"[^\d+]", "", shown)
+            national = canon[0] == "0" and not re.fullmatch(r"\d{3}[.-]\d{3}[.-]\d{4}", shown)
+            if len(canon.lstrip("+")) not in (NATIONAL_DIGITS if national else PHONE_DIGITS):
+                continue
         else:
             canon = re.sub(r"[^0-9A-Z]", "", shown)
         spans.append((start, m.end(), kind, canon))
@@ -238,8 +269,11 @@ def surrogate(key: bytes, kind: str, canon: str, attempt: int = 0) -> str:
     if kind == "ip":
         a, b, c, d = (next(stream) for _ in range(4))
         return f"{1 + a % 223}.{b}.{c}.{1 + d % 254}"
+    if kind == "ip6":
+        return ipaddress.IPv6Address(bytes([0x20, *(next(stream) for _ in range(15))])).exploded
     if kind == "iban":
-        return canon[:2] + _mapped(canon[2:] + "0" * extra, stream)
+        drawn = canon[:4] + _mapped(canon[4:] + "0" * extra, stream).upper()
+        return canon[:2] + _iban_check(drawn) + drawn[4:] if _iban_check(canon) == canon[2:4] else drawn
     if kind == "phone":
         kept = 3 if canon.startswith("+") else 0
         return canon[:kept] + _mapped(canon[kept:] + "0" * extra, stream)
@@ -270,6 +304,9 @@ def dressed(shown: str, kind: str, canon: str) -> str:
         return canon.upper() if shown.isupper() else canon
     if kind == "ip":
         return canon
+    if kind == "ip6":
+        short = canon if len(shown) == 39 else ipaddress.IPv6Address(canon).compressed
+        return short.upper() if shown.isupper() else short
     return canon.upper() if shown.isupper() and len(shown.rstrip(".")) > 1 else "-".join(p.capitalize() for p in canon.split("-"))
 
 
@@ -288,8 +325,28 @@ def detect(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumn("spans", spans(F.col(f"`{text}`")))
 
 
+def _space() -> Column:
+    """Names share one space, other entities have one for each kind."""
+    return F.when(F.col("kind").rlike("^(given|surname)-"), F.lit("name")).otherwise(F.col("kind")).alias("space")
+
+
+def agreed(found: DataFrame) -> DataFrame:
+    """(space, kind, canon): the distinct entities of ``found(kind, canon)``, with one kind for each.
+
+    A name that is a given name anywhere counts as one, of the gender that its titles tell; where they
+    contradict each other, or tell none, of any. Other names are surnames.
+    """
+    gender = {g: F.max(F.col("kind").endswith(f"-{g}")) for g in ("male", "female")}
+    told = F.when(gender["male"] & ~gender["female"], "male").when(gender["female"] & ~gender["male"], "female").otherwise("any")
+    script = F.min(F.get(F.split("kind", "-"), F.lit(1)))
+    given = F.max(F.col("kind").startswith("given-"))
+    name = F.when(given, F.concat(F.lit("given-"), script, F.lit("-"), told)).otherwise(F.concat(F.lit("surname-"), script))
+    kind = F.when(F.col("space") == "name", name).otherwise(F.min("kind"))
+    return found.withColumn("space", _space()).groupBy("space", "canon").agg(kind.alias("kind"))
+
+
 def assign(entities: DataFrame, key: bytes) -> DataFrame:
-    """(kind, canon, surrogate) for distinct (kind, canon): distinct within a kind, no real entity.
+    """(space, canon, surrogate) for ``entities(space, kind, canon)``: distinct in a space, no real entity.
 
     The smallest entity keeps a surrogate that several draw; the others draw again. Nearly all are
     settled in the first round, names of small lists take some more.
@@ -300,18 +357,18 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
         rows = zip(kinds.to_pylist(), canons.to_pylist(), attempts.to_pylist())
         return pa.array([surrogate(key, *row) for row in rows], pa.string())
 
-    entities = materialise(entities.select("kind", "canon").distinct(), "entities")
-    real = entities.withColumnRenamed("canon", "surrogate")
+    entities = materialise(entities.select("space", "kind", "canon"), "entities")
+    real = entities.select("space", F.col("canon").alias("surrogate"))
     waiting, settled, attempt = entities, None, 0
     while True:
         tried = waiting.withColumn("surrogate", drawn("kind", "canon", F.lit(attempt)))
-        first = tried.groupBy("kind", "surrogate").agg(F.min("canon").alias("canon"))
-        free = first.join(real, ["kind", "surrogate"], "left_anti")
+        first = tried.groupBy("space", "surrogate").agg(F.min("canon").alias("canon"))
+        free = first.join(real, ["space", "surrogate"], "left_anti")
         if settled is not None:
-            free = free.join(settled, ["kind", "surrogate"], "left_anti")
-        won = materialise(free.select("kind", "canon", "surrogate"), "surrogates")
+            free = free.join(settled, ["space", "surrogate"], "left_anti")
+        won = materialise(free.select("space", "canon", "surrogate"), "surrogates")
         settled = won if settled is None else settled.unionByName(won)
-        waiting = materialise(waiting.join(won, ["kind", "canon"], "left_anti"), "waiting")
+        waiting = materialise(waiting.join(won, ["space", "canon"], "left_anti"), "waiting")
         if waiting.isEmpty():
             return settled
         attempt += 1
@@ -345,7 +402,8 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     spans = detect(maybe.select("digest", "body"), "body").filter(F.size("spans") > 0)
     spans = materialise(spans.groupBy("digest").agg(F.first("spans").alias("spans")), "spans")
     flat = spans.select("digest", F.inline("spans"))
-    replaced = flat.join(assign(flat.select("kind", "canon"), key), ["kind", "canon"])
+    named = flat.withColumn("space", _space())
+    replaced = named.join(assign(agreed(flat.select("kind", "canon")), key), ["space", "canon"])
     by_text = replaced.groupBy("digest").agg(
         F.collect_list(F.struct("start", "end", "kind", "surrogate")).alias("found")
     )
