@@ -159,7 +159,7 @@ def fit_texts(texts: list[str | None], labels: list[int], share: float | None =
     rare = Counter(f for s, y in zip(sets, marks) if not y for f in s)
     ranked = _stand_out(often, rare, int(marks.sum()), int(len(marks) - marks.sum()))
     mined = [f for z, f in ranked if z >= STANDS_OUT][:VOTERS]
-    voters = sorted({*mined, *(f for f in SEEDS if f in often)})
+    voters = sorted({*mined, *(f for f in (*SEEDS, *PATTERNS) if f in often)})
     votes = _matrix(sets, voters)
     posterior = fit_label_model(votes, marks).posterior(votes, marks)
     looked_at = sorted({*voters, *[f for z, f in ranked if z >= FEATURE_STANDS_OUT][:FEATURES]})
@@ -169,7 +169,10 @@ def fit_texts(texts: list[str | None], labels: list[int], share: float | None =
         own = float(marks.mean())
         bias += math.log(share / (1 - share)) - math.log(own / (1 - own))
     found = {f: round(float(w), 9) for f, w in zip(looked_at, weights)}
-    return {"weights": {**dict.fromkeys(SEEDS, 4.0), **found}, "bias": round(bias, 9)}
+    # What a sampled seed tells is in the weights, its own or those of a beginning that stands for it.
+    sampled = {f for t, _ in rows for f in features(t)}
+    unseen = {f: 4.0 for f in SEEDS if f not in sampled}
+    return {"weights": {**unseen, **found}, "bias": round(bias, 9)}
 
 
 def _most_general(sets: list[set[str]], names: list[str]) -> list[str]:
