@@ -20,7 +20,7 @@ from re import _parser as parser
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphvec.llm.common import bind, table
+from glyphvec.llm.common import bind, free_name, table
 from glyphvec.session import materialise
 
 
@@ -186,7 +186,9 @@ def candidates(index: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def _matches(text: Column, rule: Rule, order: int) -> Column:
     """The spans of a rule's matches: text between matches gives their places."""
-    pattern = F.lit(rule.pattern)
+    # Runs too short to count are no matches from the start; the others are the same.
+    least = at_least(rule)
+    pattern = F.lit(least)
 
     def placed(parts: Column) -> Column:
         between, whole, held = parts["between"], parts["whole"], parts["held"]
@@ -209,7 +211,7 @@ def _matches(text: Column, rule: Rule, order: int) -> Column:
         return F.filter(F.aggregate(numbers, start, step, lambda acc: acc["spans"]), lambda s: s["size"] >= rule.least)
 
     parts = F.struct(
-        F.split(text, rule.pattern, -1).alias("between"),
+        F.split(text, least, -1).alias("between"),
         F.regexp_extract_all(text, pattern, F.lit(0)).alias("whole"),
         F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("held"),
     )
@@ -227,21 +229,22 @@ def scan(
     demanding = [rule for rule in rules if trigram_query(rule.pattern)]
     trigrams = sorted({t for rule in demanding for clause in trigram_query(rule.pattern) for t in clause})
     found = materialise(candidates(postings(docs, trigrams, text, doc_id), demanding), "candidates")
-    found = found.withColumnsRenamed({"doc_id": "__id", "kinds": "__kinds"})
+    own, kinds = free_name(docs, "candidate"), free_name(docs, "kinds")
+    found = found.withColumnsRenamed({"doc_id": own, "kinds": kinds})
     if found.count() <= BROADCAST_ROWS:
         found = F.broadcast(found)
-    joined = docs.drop("secrets").join(found, F.col(f"`{doc_id}`") == F.col("__id"), "left")
+    joined = docs.drop("secrets").join(found, F.col(f"`{doc_id}`") == F.col(own), "left")
 
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     none = F.array().cast("array<struct<start:bigint,end:bigint,ord:int,kind:string,size:int>>")
     spans = []
     for order, rule in enumerate(rules):
         if rule in demanding:
-            concerned = F.array_contains("__kinds", rule.kind) | F.col(f"`{doc_id}`").isNull()
+            concerned = F.array_contains(kinds, rule.kind) | F.col(f"`{doc_id}`").isNull()
         else:
             concerned = F.rlike(body, F.lit(at_least(rule)))
         spans.append(F.when(concerned, _matches(body, rule, order)).otherwise(none))
-    return joined.withColumn("secrets", F.array_sort(F.concat(*spans))).drop("__id", "__kinds")
+    return joined.withColumn("secrets", F.array_sort(F.concat(*spans))).drop(own, kinds)
 
 
 def at_least(rule: Rule) -> str:
