@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphvec.llm.common import id_remainder, portions, slices, table
+from glyphvec.llm.common import free_name, id_remainder, portions, slices, table
 
 UNKNOWN = "und"
 SIZES = (1, 2, 3)
@@ -198,8 +198,9 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
             scores = pa.array(np.concatenate([np.zeros(0), *(own for _, own in found)]), pa.float64())
             yield pa.StructArray.from_arrays([names, scores], names=["lang_pred", "score"])
 
-    found = docs.withColumn("__found", predict(F.col(text)))
-    return found.withColumns({"lang_pred": F.col("__found.lang_pred"), "score": F.col("__found.score")}).drop("__found")
+    name = free_name(docs, "found")
+    found = docs.withColumn(name, predict(F.col(f"`{text}`")))
+    return found.withColumns({"lang_pred": F.col(name)["lang_pred"], "score": F.col(name)["score"]}).drop(name)
 
 
 def held_out(docs: DataFrame) -> DataFrame:

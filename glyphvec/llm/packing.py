@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphvec.llm.common import table
+from glyphvec.llm.common import free_name, table
 from glyphvec.session import materialise
 
 CAPACITY = 2048
@@ -110,7 +110,7 @@ def pieces(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id
                 found = tokenizer.ids(body or "")
                 for k, (start, end) in enumerate(cut(len(found))):
                     part = found[start:end]
-                    values = (name, k, start, end - start, zlib.crc32(part.astype("<u4").tobytes()), part)
+                    values = (name, k, start, end - start, zlib.crc32(part.astype("<u4").tobytes()), part if ids else None)
                     for column, value in zip(rows, values):
                         column.append(value)
             kinds = (batch.schema.field(0).type, pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
@@ -229,7 +229,7 @@ def pack_sizes(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
     return LocalSearch(sizes, best_fit(sizes, capacity), capacity).run()
 
 
-def _pack_group(rows: pa.Table) -> pa.Table:
+def _pack_group(rows: pa.Table, name: str = "group") -> pa.Table:
     sizes = rows["length"].to_pylist()
     sequence, offset = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
     for k, items in enumerate(pack_sizes(sizes)):
@@ -237,8 +237,8 @@ def _pack_group(rows: pa.Table) -> pa.Table:
         for i in sorted(items):
             sequence[i], offset[i] = k, at
             at += sizes[i]
-    group = rows["group"].to_numpy()
-    out = rows.drop_columns(["group"])
+    group = rows[name].to_numpy()
+    out = rows.drop_columns([name])
     out = out.append_column("sequence_id", pa.array(group * GROUP * 4 + sequence))
     return out.append_column("offset", pa.array(offset))
 
@@ -250,9 +250,10 @@ def pack(found: DataFrame) -> DataFrame:
     """
     found = materialise(found.drop("sequence_id", "offset"), "pieces")
     groups = max(1, -(-found.count() // GROUP))
-    dealt = found.withColumn("group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
+    name = free_name(found, "group")
+    dealt = found.withColumn(name, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema)
-    return dealt.groupBy("group").applyInArrow(_pack_group, f"{schema}, sequence_id bigint, offset bigint")
+    return dealt.groupBy(name).applyInArrow(lambda rows: _pack_group(rows, name), f"{schema}, sequence_id bigint, offset bigint")
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
