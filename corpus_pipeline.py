@@ -10,14 +10,14 @@ from glyphvec.session import materialise, ship_package
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a recognisable language; the columns stay.
+    """Drops documents without a recognisable language; columns and their values stay.
 
     The model learns from all rows that have a language. ``und`` and posteriors below one half go.
     """
     ship_package(spark)
-    names = docs.columns
-    found = langid.identify(docs, langid.fit(docs))
-    return found.filter((found["lang_pred"] != langid.UNKNOWN) & (found["score"] >= 0.5)).select(*names)
+    rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("body"))
+    found = langid.identify(rows, langid.fit(docs), "body")
+    return found.filter((found["lang_pred"] != langid.UNKNOWN) & (found["score"] >= 0.5)).select("row.*")
 
 
 def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,12 +32,14 @@ def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data in the texts; ``n_chars`` follows."""
+    """Replaces personal data in the texts; ``n_chars`` follows, all other values stay."""
     ship_package(spark)
-    replaced = pii.pseudonymise(docs, pii.SAMPLE_KEY)
+    rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("body"))
+    found = pii.pseudonymise(rows, pii.SAMPLE_KEY, "body")
+    new = {"text": F.col("body")}
     if "n_chars" in docs.columns:
-        replaced = replaced.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return replaced.select(*docs.columns)
+        new["n_chars"] = F.length("body").cast(docs.schema["n_chars"].dataType)
+    return found.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
