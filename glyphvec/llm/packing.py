@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphvec.llm.common import free_name, table
+from glyphvec.llm.common import free_name, portions, table
 from glyphvec.session import materialise
 
 CAPACITY = 2048
@@ -104,7 +104,7 @@ def pieces(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(path)
-        for batch in batches:
+        for batch in (some for whole in batches for some in portions(whole)):
             rows: tuple[list, ...] = ([], [], [], [], [], [])
             for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = tokenizer.ids(body or "")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphvec.llm.common import table
+from glyphvec.llm.common import portions, table
 from glyphvec.session import materialise
 
 #: Titles by the gender they tell; the last ones tell none.
@@ -47,15 +47,18 @@ SURNAMES = {
     "greek": "Αλεξίου Βλάχος Γεωργίου Δήμου Ζαφείρης Ιωάννου Κανάκης Λάμπρου Μανώλης Νικολάου Παππάς Ρούσσος".split(),
 }
 
-_CATEGORIES = [unicodedata.category(chr(c)) for c in range(sys.maxunicode + 1)]
-
 
 def _class(*categories: str) -> str:
     """The characters of some Unicode categories, as ranges for a pattern's brackets."""
-    found = [c for c, category in enumerate(_CATEGORIES) if category in categories and chr(c) not in "ªº"]
-    starts = [c for c, before in zip(found, [-2, *found]) if c != before + 1]
-    ends = [c for c, after in zip(found, [*found[1:], -2]) if c != after - 1]
-    return "".join(f"{chr(a)}-{chr(b)}" if a < b else chr(a) for a, b in zip(starts, ends))
+    ranges, start = [], None
+    for c in range(sys.maxunicode + 2):
+        inside = c <= sys.maxunicode and unicodedata.category(chr(c)) in categories and chr(c) not in "ªº"
+        if inside and start is None:
+            start = c
+        elif not inside and start is not None:
+            ranges.append(f"{chr(start)}-{chr(c - 1)}" if start < c - 1 else chr(start))
+            start = None
+    return "".join(ranges)
 
 
 #: Letters that may begin a name: capitals, and letters of scripts without them.
@@ -320,7 +323,11 @@ def detect(docs: DataFrame, text: str = "text") -> DataFrame:
         )
         names = ("start", "end", "kind", "canon")
         for texts in batches:
-            yield pa.array([[dict(zip(names, s)) for s in find(t)] for t in texts.to_pylist()], kind)
+            found = [
+                pa.array([[dict(zip(names, s)) for s in find(t)] for t in some.to_pylist()], kind)
+                for some in portions(texts)
+            ]
+            yield pa.concat_arrays(found) if found else pa.array([], kind)
 
     return docs.withColumn("spans", spans(F.col(f"`{text}`")))
 
@@ -383,14 +390,17 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
 
     @F.arrow_udf("string")
     def rewritten(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        out = []
-        for body, found in zip(texts.to_pylist(), spans.to_pylist()):
-            parts, at = [], 0
-            for s in sorted(found or [], key=lambda s: s["start"]):
-                parts += [body[at : s["start"]], dressed(body[s["start"] : s["end"]], s["kind"], s["surrogate"])]
-                at = s["end"]
-            out.append("".join([*parts, body[at:]]))
-        return pa.array(out, pa.string())
+        done = []
+        for some, own in zip(portions(texts), portions(spans)):
+            out = []
+            for body, found in zip(some.to_pylist(), own.to_pylist()):
+                parts, at = [], 0
+                for s in sorted(found or [], key=lambda s: s["start"]):
+                    parts += [body[at : s["start"]], dressed(body[s["start"] : s["end"]], s["kind"], s["surrogate"])]
+                    at = s["end"]
+                out.append("".join([*parts, body[at:]]))
+            done.append(pa.array(out, pa.string()))
+        return pa.concat_arrays(done) if done else pa.array([], pa.string())
 
     names = [c for c in docs.columns if c != "n_entities"]
     rows = docs.select(
