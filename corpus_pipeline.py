@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphvec.llm import jaccard, langid, packing, pii, quality
+from glyphvec.llm.common import free_name
 from glyphvec.session import materialise, ship_package
 
 
+def _set_aside(docs: DataFrame, *names: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with its columns of these names under free ones, and the columns as they were."""
+    moved = {c: free_name(docs, f"own_{c}") for c in docs.columns if c.lower() in names}
+    return docs.withColumnsRenamed(moved), [F.col(f"`{moved.get(c, c)}`").alias(c) for c in docs.columns]
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a recognisable language; columns and their values stay.
 
     The model learns from all rows that have a language. ``und`` and posteriors below one half go.
     """
     ship_package(spark)
-    rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("body"))
-    found = langid.identify(rows, langid.fit(docs), "body")
-    return found.filter((found["lang_pred"] != langid.UNKNOWN) & (found["score"] >= 0.5)).select("row.*")
+    rows, own = _set_aside(docs, "lang_pred", "score")
+    found = langid.identify(rows, langid.fit(docs))
+    return found.filter((found["lang_pred"] != langid.UNKNOWN) & (found["score"] >= 0.5)).select(*own)
 
 
 def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,12 +41,11 @@ def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data in the texts; ``n_chars`` follows, all other values stay."""
     ship_package(spark)
-    rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("body"))
-    found = pii.pseudonymise(rows, pii.SAMPLE_KEY, "body")
-    new = {"text": F.col("body")}
+    rows, own = _set_aside(docs, "n_entities")
+    found = pii.pseudonymise(rows, pii.SAMPLE_KEY)
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.length("body").cast(docs.schema["n_chars"].dataType)
-    return found.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
+        found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return found.select(*own)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
