@@ -11,6 +11,7 @@ Everything is DataFrame expressions.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import product
@@ -186,8 +187,8 @@ def candidates(index: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def _matches(text: Column, rule: Rule, order: int) -> Column:
     """The spans of a rule's matches: text between matches gives their places."""
-    # Runs too short to count are no matches from the start; the others are the same.
-    least = at_least(rule)
+    # Of one repeated class, runs too short to count are no matches from the start; the others are the same.
+    least = rule.pattern.removesuffix("+") + f"{{{rule.least},}}" if re.fullmatch(r"\[[^]]+\]\+", rule.pattern) else rule.pattern
     pattern = F.lit(least)
 
     def placed(parts: Column) -> Column:

@@ -133,7 +133,7 @@ def test_top_k_batches_one_at_a_time(spark, monkeypatch):
 
 
 def test_secret_spans_of_many_matches(spark):
-    text = " ".join(["abc", "deadbeef", "0123456789abcdef01234567", "token=abcdefgh"] * 400)
+    text = " ".join(["abc", "deadbeef", "0123456789abcdef01234567", "a" * 61, "token=abcdefgh"] * 400)
     df = spark.createDataFrame([(1, text, "x")], "doc_id BIGINT, text STRING, kinds STRING")
     row = secretscan.scan(df, secretscan.BASE).first()
     own = [(s.kind, s.start, s.end) for s in row.secrets]
