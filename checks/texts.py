@@ -192,6 +192,15 @@ def nfkc_compatibility(spark, sf_dir):
     return docs.select("doc_id", nfkc(F.concat("lang", "text", F.lit("ﬁ①"))).alias("normal"))
 
 
+@C.add("SELECT doc_id, text || 'fi' || chr(233) || 'kg' || chr(44032) AS normal FROM documents")
+def nfkc_forms(spark, sf_dir):
+    # All of a text in full-width forms, then what becomes two letters, and what composes to one.
+    printable = [chr(i) for i in range(0x21, 0x7F)]
+    wide = F.translate("text", "".join(printable), "".join(chr(ord(c) + 0xFEE0) for c in printable))
+    forms = F.concat(wide, F.lit("ﬁe\u0301㎏\u1100\u1161"))
+    return table(spark, sf_dir, "documents").select("doc_id", nfkc(forms).alias("normal"))
+
+
 BLANKED = "CASE WHEN doc_id % 3 = 0 THEN '  ' || chr(12288) WHEN doc_id % 3 = 1 THEN NULL ELSE text END"
 
 

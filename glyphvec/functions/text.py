@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Mapping
 from typing import Any
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Whitespace is the Unicode property and the four ASCII separators. As characters:
 WHITESPACE_CHARS = (
@@ -76,15 +73,14 @@ NFKC_STABLE = (
 NFKC_UNSTABLE = rf"[[^\x00-\x7F]&&[^{NFKC_STABLE}]]"
 
 
-@F.pandas_udf(T.StringType())
-def _nfkc_batch(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
-
-
 def nfkc(text: Column) -> Column:
-    """Unicode NFKC. Spark has no built-in, so Python sees a text only when it may change; a row
-    that is stable by the character test crosses to Python as a null and comes back from the scan."""
-    return F.coalesce(_nfkc_batch(F.when(text.rlike(NFKC_UNSTABLE), text)), text)
+    """Unicode NFKC, in the JVM: Spark ships the ICU library for its collations, and ``reflect`` calls it.
+
+    Only texts that the character test finds unstable are normalised. The tables are those of ICU's
+    Unicode version; characters that it assigns and an older Python does not are the only difference.
+    """
+    folded = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(True))
+    return F.when(text.rlike(NFKC_UNSTABLE), folded).otherwise(text)
 
 
 def strip(text: Column) -> Column:

@@ -4,6 +4,7 @@ import unicodedata
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from glyphvec.functions import text as X
 from glyphvec.functions.slugs import dataset_slug, model_slug, model_slug_from_path, slug
@@ -84,12 +85,24 @@ def test_nfkc_on_every_character_and_on_pairs(values):
     assert values(pairs, X.nfkc) == [unicodedata.normalize("NFKC", p) for p in pairs]
 
 
+def test_nfkc_on_all_planes_without_python(spark, values):
+    points = [chr(i) for i in range(0x10000, 0x30000)]
+    points = [p for p in points if unicodedata.category(p) != "Cn"]
+    assert values(points, X.nfkc) == [unicodedata.normalize("NFKC", p) for p in points]
+    marks = [chr(i) for i in range(0x300, 0x370)] + ["゙", "゚", "\u0327", "\u1161", "\u11a8"]
+    rows = [f"{a}{m}{n}" for a in "eoカ가ᄀﬁ①½㌀" for m in marks for n in marks[::9]]
+    assert values(rows, X.nfkc) == [unicodedata.normalize("NFKC", r) for r in rows]
+    assert values([None, "", "ﬁ"], X.nfkc) == [None, "", "fi"]
+    plan = spark.range(1).select(X.clean_text(F.col("id").cast("string")))._jdf.queryExecution().toString()
+    assert "Python" not in plan
+
+
 @settings(
     max_examples=5,
     deadline=None,
     suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
 )
-@given(st.lists(st.text(max_size=30), min_size=50, max_size=100))
+@given(st.lists(st.text(st.characters(exclude_categories=("Cs", "Cn")), max_size=30), min_size=50, max_size=100))
 def test_cleaning_twice_changes_nothing(values, texts):
     plain = only(collapse_whitespace=True, strip=True, normalize_unicode_nfkc=True)
     once = values(texts, lambda c: X.clean_text(c, plain))
