@@ -12,17 +12,21 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from glyphvec.llm.common import table
+from glyphvec.session import materialise
 
 ADD, REMOVE = "add", "remove"
-#: Host labels and path segments up to which the SQL makes keys; the tables' URLs have fewer.
-LABELS, SEGMENTS = 8, 4
-#: Hot keys of captures are dealt over so many parts; their intervals are repeated as often.
-PARTS = 16
+#: Captures of one key that meet its intervals in one task; a key with more is dealt to several parts.
+PART_ROWS = 200_000
+#: Keys of more parts than one, at most; beyond that the parts grow.
+HOT_KEYS = 100_000
+
+#: A host follows the scheme and a user; an IPv6 address stands in brackets.
+HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:@\[\]]+)"
 
 
 def host_of(url: Column) -> Column:
     """Host in lower case, without user, port and final dot; null if there is none."""
-    host = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)", 1)
+    host = F.regexp_extract(url, HOST, 1)
     return F.nullif(F.lower(F.regexp_replace(host, r"\.+$", "")), F.lit(""))
 
 
@@ -32,14 +36,20 @@ def path_of(url: Column) -> Column:
     return F.when(path == "", F.lit("/")).otherwise(path)
 
 
+def segments_of(url: Column) -> Column:
+    """The segments of the path; empty ones do not count."""
+    return F.filter(F.split(path_of(url), "/"), lambda s: s != "")
+
+
 def keys_of(url: Column) -> Column:
     """What an entry may name to concern ``url``: its host and all parent domains of two labels or more, and
-    the host with the first segments of its path, down to the last. No keys for null and malformed urls."""
+    the host with the first segments of its path, down to the last. An address in brackets has no parents.
+    No keys for null and malformed urls."""
     host = host_of(url)
-    labels = F.split(host, r"\.")
+    labels = F.when(host.startswith("["), F.array(host)).otherwise(F.split(host, r"\."))
     counts = F.filter(F.sequence(F.lit(1), F.size(labels)), lambda n: (n >= 2) | (F.size(labels) == 1))
     domains = F.transform(counts, lambda n: F.array_join(F.slice(labels, -n, n), "."))
-    segments = F.filter(F.split(path_of(url), "/"), lambda s: s != "")
+    segments = segments_of(url)
     depths = F.sequence(F.lit(1), F.greatest(F.size(segments), F.lit(1)))
     depths = F.filter(depths, lambda n: n <= F.size(segments))
     prefixes = F.transform(depths, lambda n: F.concat(host, F.lit("/"), F.array_join(F.slice(segments, F.lit(1), n), "/")))
@@ -47,14 +57,27 @@ def keys_of(url: Column) -> Column:
     return F.when(host.isNull(), none).otherwise(F.array_distinct(F.concat(domains, prefixes)))
 
 
+def listed_key(entry: Column) -> Column:
+    """The key that a list entry names, spelled as ``keys_of`` does; null if it names no host.
+
+    Lists also write hosts in capitals, with a leading or final dot, and with scheme, port, empty
+    segments or a final slash; query and fragment do not count.
+    """
+    bare = F.regexp_replace(F.trim(entry), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//|^\.+", "")
+    url = F.concat(F.lit("any://"), F.regexp_replace(bare, r"^\.+", ""))
+    host = host_of(url)
+    return F.when(host.isNotNull(), F.array_join(F.concat(F.array(host), segments_of(url)), "/"))
+
+
 def intervals(entries: DataFrame) -> DataFrame:
     """(list, key, active_from, active_to): when each key was on each list; the end is exclusive or null.
 
-    ``entries``: list, key, action (add or remove), at. Nulls in any of them and other actions do not
-    count. Of entries of one list and key at one time a removal wins. Entries that repeat the state
+    ``entries``: list, key, action (add or remove), at. Keys are taken as ``listed_key`` spells them. Nulls
+    in any of them, keys without a host and other actions do not count. Of entries of one list and key at one time a removal wins. Entries that repeat the state
     before them change nothing.
     """
-    valid = entries.filter(
+    named = entries.withColumn("key", listed_key(F.col("key")))
+    valid = named.filter(
         F.col("list").isNotNull() & F.col("key").isNotNull() & F.col("at").isNotNull() & F.col("action").isin(ADD, REMOVE)
     )
     states = valid.groupBy("list", "key", "at").agg(F.min(F.col("action") == ADD).alias("on"))
@@ -67,20 +90,37 @@ def intervals(entries: DataFrame) -> DataFrame:
     )
 
 
-def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
+def hot_keys(captures: DataFrame, valid: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
+    """(key, parts): listed keys of more than ``part_rows`` captures; at most HOT_KEYS rows.
+
+    Counts are added up on the map side, so no hot key passes a task whole.
+    """
+    keys = captures.filter("fetched_at IS NOT NULL").select(F.explode(keys_of(F.col("url"))).alias("key"))
+    counts = keys.groupBy("key").agg(F.count("*").alias("n")).join(valid.select("key").distinct(), "key", "left_semi")
+    counts = materialise(counts, "key-counts")
+    total = counts.agg(F.sum("n")).head()[0] or 0
+    most = max(part_rows, -(-total // HOT_KEYS))
+    return counts.filter(F.col("n") > most).select("key", F.ceil(F.col("n") / most).cast("int").alias("parts"))
+
+
+def judge(captures: DataFrame, entries: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     """``captures`` with ``blocked``, ``lists`` and ``n_active``; columns of these names are replaced.
 
     ``captures`` has page_id, url and fetched_at. ``lists`` are the lists, in order, with an entry for
     one of the url's keys active at that time, ``n_active`` the number of such entries. Captures with a
     null or malformed url or no time are not blocked. Rows with the same url and time share a verdict;
-    repeated rows and null ids stay.
+    repeated rows and null ids stay. The captures of a hot key are dealt to parts, and only the
+    intervals of such keys are repeated, once for each part.
     """
     captures = captures.drop("blocked", "lists", "n_active")
-    valid = intervals(entries)
+    valid = materialise(intervals(entries), "intervals")
+    hot = F.broadcast(hot_keys(captures, valid, part_rows))
     wanted = captures.select("url", "fetched_at").filter("url IS NOT NULL AND fetched_at IS NOT NULL").distinct()
-    asked = wanted.withColumn("key", F.explode(keys_of(F.col("url"))))
-    asked = asked.withColumn("part", F.pmod(F.xxhash64("url", "fetched_at"), F.lit(PARTS)))
-    spread = valid.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)).cast("array<bigint>")))
+    asked = wanted.withColumn("key", F.explode(keys_of(F.col("url")))).join(hot, "key", "left")
+    parts = F.coalesce("parts", F.lit(1))
+    asked = asked.withColumn("part", F.pmod(F.xxhash64("url", "fetched_at"), parts).cast("int")).drop("parts")
+    spread = valid.join(hot, "key", "left")
+    spread = spread.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
     met = asked.join(spread, ["key", "part"]).filter(
         (F.col("active_from") <= F.col("fetched_at"))
         & (F.col("active_to").isNull() | (F.col("fetched_at") < F.col("active_to")))
@@ -108,13 +148,15 @@ def _digit(text: Column, place: int) -> Column:
 
 
 def entries_of(pages: DataFrame) -> DataFrame:
-    """A dated list history over the hosts and first path segments of ``pages``.
+    """A dated list history over the hosts, first path segments and some whole paths of ``pages``.
 
     The digest of a key decides whether, when and onto which list it comes, and when it goes again.
     """
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     section = F.concat(host, F.lit("/"), F.split(path, "/")[1])
-    keys = pages.select(F.explode(F.array(host, F.when(F.split(path, "/")[1] != "", section))).alias("key"))
+    whole = F.concat(host, F.lit("/"), F.array_join(segments_of(F.col("url")), "/"))
+    deep = F.when((F.size(segments_of(F.col("url"))) > 1) & (_digit(whole, 20) < 4), whole)
+    keys = pages.select(F.explode(F.array(host, F.when(F.split(path, "/")[1] != "", section), deep)).alias("key"))
     keys = keys.filter(F.col("key").isNotNull()).distinct()
     key = F.col("key")
     first = _digit(key, 1) * 20
@@ -142,7 +184,7 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    host = r"nullif(lower(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '\.+$', '')), '')"
+    host = rf"nullif(lower(regexp_replace(regexp_extract(url, '{HOST}', 1), '\.+$', '')), '')"
     path = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
 
     def digit(place: int) -> str:
@@ -165,7 +207,9 @@ WITH p AS (
 ),
 k AS (
   SELECT DISTINCT key FROM (
-    SELECT host AS key FROM p UNION ALL SELECT host || '/' || parts[2] FROM p WHERE parts[2] <> '')
+    SELECT host AS key FROM p UNION ALL SELECT host || '/' || parts[2] FROM p WHERE parts[2] <> ''
+    UNION ALL SELECT key FROM (SELECT host || '/' || array_to_string(segs, '/') AS key FROM p WHERE len(segs) > 1)
+    WHERE {digit(20)} < 4)
   WHERE key IS NOT NULL
 ),
 e AS ({made}),
@@ -178,15 +222,16 @@ i AS (
   WHERE present
 ),
 x AS (
-  SELECT page_id, url, fetched_at, string_split(host, '.') AS labels, host, segs FROM p WHERE host IS NOT NULL
+  SELECT DISTINCT url, fetched_at, string_split(host, '.') AS labels, host, segs FROM p WHERE host IS NOT NULL
 ),
 a AS (
   SELECT DISTINCT url, fetched_at, key FROM (
-    SELECT url, fetched_at, array_to_string(labels[len(labels) - n + 1:], '.') AS key
-    FROM x, range(2, {LABELS + 1}) t(n) WHERE n <= len(labels)
+    SELECT url, fetched_at, unnest(list_transform(range(2, len(labels) + 1),
+             lambda n: array_to_string(labels[len(labels) - n + 1:], '.'))) AS key
+    FROM x WHERE host[1] <> '['
     UNION ALL SELECT url, fetched_at, host FROM x
-    UNION ALL SELECT url, fetched_at, host || '/' || array_to_string(segs[1:n], '/')
-    FROM x, range(1, {SEGMENTS + 1}) t(n) WHERE n <= len(segs))
+    UNION ALL SELECT url, fetched_at, unnest(list_transform(range(1, len(segs) + 1),
+             lambda n: host || '/' || array_to_string(segs[1:n], '/'))) FROM x)
 ),
 m AS (
   SELECT url, fetched_at, string_agg(DISTINCT list, ',' ORDER BY list) AS lists, count(*) AS n_active

@@ -155,6 +155,35 @@ def test_deep_urls(spark):
         assert found[1]["blocked"] and found[1]["n_active"] == 1 and not found[2]["blocked"], key
 
 
+def test_spellings_of_entries(spark):
+    urls = ["http://Example.com:8080/x", "http://[2001:db8::1]/x", "http://www.example.com/Ads/b?c"]
+    captures = spark.createDataFrame([(i, u, 10) for i, u in enumerate(urls)], "page_id INT, url STRING, fetched_at INT")
+    for key, blocked in (
+        ("Example.COM.", {0, 2}), (".example.com", {0, 2}), ("https://example.com/x/", {0}), ("//www.example.com", {2}),
+        ("www.example.com//Ads/", {2}), ("www.example.com/ads", set()), ("[2001:DB8::1]", {1}), ("[2001:db8::1]:80/x#y", {1}),
+        (" example.com/x?q=1", {0}), ("", set()), ("/x", set()), ("db8::1]", set()),
+    ):
+        entries = spark.createDataFrame([("l", key, "add", 5)], "list STRING, key STRING, action STRING, at INT")
+        found = _by_page(urlfilter.judge(captures, entries))
+        assert {i for i, row in found.items() if row["blocked"]} == blocked, key
+
+
+def test_hot_hosts_in_parts(spark):
+    rows = [(i, f"http://hot.example/{i % 7}/{i}", i % 30) for i in range(300)] + [(i, f"http://h{i}.example/", 5) for i in range(300, 330)]
+    captures = spark.createDataFrame(rows, "page_id INT, url STRING, fetched_at INT")
+    entries = spark.createDataFrame(
+        [("l", "hot.example", "add", 5), ("l", "hot.example", "remove", 9), ("m", "hot.example/3", "add", 7), ("m", "h301.example", "add", 1)],
+        "list STRING, key STRING, action STRING, at INT",
+    )
+    valid = urlfilter.intervals(entries)
+    hot = {r["key"]: r["parts"] for r in urlfilter.hot_keys(captures, valid, 20).collect()}
+    assert hot == {"hot.example": 15, "hot.example/3": 3}
+    whole = sorted(map(tuple, urlfilter.judge(captures, entries).collect()))
+    assert sorted(map(tuple, urlfilter.judge(captures, entries, 20).collect())) == whole
+    expected = {i: ["l"] * (5 <= t < 9) + ["m"] * (i % 7 == 3 and t >= 7) for i, _, t in rows[:300]}
+    assert {r[0]: r[4] for r in whole if r[0] < 300} == expected
+
+
 def _by_page(df):
     return {r["page_id"]: r for r in df.collect()}
 
