@@ -59,6 +59,9 @@ MORE = (
 MANY = 64
 #: Candidate rows up to which their table is broadcast: some 16 MB.
 BROADCAST_ROWS = 200_000
+#: Matches of a text that are placed together.
+RUN = 256
+SPANS = "array<struct<start:bigint,end:bigint,ord:int,kind:string,size:int>>"
 
 Clause = frozenset[str]
 
@@ -193,24 +196,50 @@ def _matches(text: Column, rule: Rule, order: int) -> Column:
 
     def placed(parts: Column) -> Column:
         between, whole, held = parts["between"], parts["whole"], parts["held"]
-        empty = F.array().cast("array<struct<start:bigint,end:bigint,ord:int,kind:string,size:int>>")
-        start = F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("spans"))
+        sizes = F.transform(
+            whole,
+            lambda w, i: F.struct(
+                F.length(F.get(between, i)).cast("bigint").alias("gap"),
+                F.length(w).cast("bigint").alias("width"),
+                F.length(F.get(held, i)).alias("size"),
+            ),
+        )
+        return F.when(F.size(whole) > 0, bind(sizes, _spans)).otherwise(none)
+
+    def _spans(sizes: Column) -> Column:
+        # Appending to an array copies it, so spans grow within a run of matches only.
+        runs = F.transform(F.sequence(F.lit(0), (F.size(sizes) - 1).cast("int"), F.lit(RUN)), lambda i: F.slice(sizes, i + 1, RUN))
+
+        def of_runs(runs: Column) -> Column:
+            zero = F.lit(0).cast("bigint")
+            lengths = F.transform(runs, lambda r: F.aggregate(r, zero, lambda n, s: n + s["gap"] + s["width"]))
+            begin = F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("starts"))
+            starts = F.aggregate(
+                lengths,
+                begin,
+                lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["starts"], F.array(acc["at"])).alias("starts")),
+                lambda acc: acc["starts"],
+            )
+            return F.flatten(F.zip_with(runs, starts, of_run))
 
-        def step(acc: Column, i: Column) -> Column:
-            begin = acc["at"] + F.length(F.get(between, i))
-            end = begin + F.length(F.get(whole, i))
+        return F.filter(bind(runs, of_runs), lambda s: s["size"] >= rule.least)
+
+    def of_run(run: Column, begin: Column) -> Column:
+        def step(acc: Column, s: Column) -> Column:
+            start = acc["at"] + s["gap"]
+            end = start + s["width"]
             span = F.struct(
-                begin.alias("start"),
+                start.alias("start"),
                 end.alias("end"),
                 F.lit(order).alias("ord"),
                 F.lit(rule.kind).alias("kind"),
-                F.length(F.get(held, i)).alias("size"),
+                s["size"].alias("size"),
             )
             return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
-        numbers = F.transform(whole, lambda _, i: i)
-        return F.filter(F.aggregate(numbers, start, step, lambda acc: acc["spans"]), lambda s: s["size"] >= rule.least)
+        return F.aggregate(run, F.struct(begin.alias("at"), none.alias("spans")), step, lambda acc: acc["spans"])
 
+    none = F.array().cast(SPANS)
     parts = F.struct(
         F.split(text, least, -1).alias("between"),
         F.regexp_extract_all(text, pattern, F.lit(0)).alias("whole"),
@@ -237,7 +266,7 @@ def scan(
     joined = docs.drop("secrets").join(found, F.col(f"`{doc_id}`") == F.col(own), "left")
 
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    none = F.array().cast("array<struct<start:bigint,end:bigint,ord:int,kind:string,size:int>>")
+    none = F.array().cast(SPANS)
     spans = []
     for order, rule in enumerate(rules):
         if rule in demanding:
