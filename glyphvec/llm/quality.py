@@ -250,7 +250,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: The rules again, for DuckDB; without what lets texts in other languages alone, of which the tables have none.
+#: The rules again, for DuckDB.
 _RULES_SQL = (
     ("100 * n_symbols > 10 * n_words", "100 * n_symbols <= n_words"),
     ("100 * n_bare > 10 * n_words", None),
@@ -259,7 +259,11 @@ _RULES_SQL = (
     ("100 * n_dup_lines > 30 * n_lines", None),
     ("100 * n_shouts > 20 * n_words", None),
     ("100 * n_capitals > 30 * word_chars", None),
-    ("100 * n_function_words < 2 * n_words", "100 * n_function_words > 8 * n_words"),
+    (
+        "100 * n_function_words < 2 * n_words AND 100 * n_foreign <= word_chars"
+        f" AND (100 * n_known >= n_words OR n_words < {MIN_WORDS})",
+        "100 * n_function_words > 8 * n_words",
+    ),
     ("word_chars < 2 * n_words OR word_chars > 15 * n_words", None),
 )
 
@@ -314,6 +318,7 @@ q AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM c, range(3) AS x(k)
 a AS (
   SELECT r, count(*) AS n_words, sum(length(w)) AS word_chars, count(DISTINCT w) AS n_distinct,
          count(*) FILTER (lower(w) IN ({listed})) AS n_function_words,
+         count(*) FILTER (lower(regexp_replace(w, '[^\\p{{L}}]+', '', 'g')) IN ({listed})) AS n_known,
          count(*) FILTER (NOT regexp_matches(w, '[\\p{{L}}\\p{{N}}]')) AS n_bare
   FROM w GROUP BY r
 ),
@@ -324,7 +329,8 @@ l AS (
 s AS (
   SELECT doc_id, coalesce(n_words, 0) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars,
          coalesce(n_distinct, 0) AS n_distinct, coalesce(n_function_words, 0) AS n_function_words,
-         coalesce(n_bare, 0) AS n_bare, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         coalesce(n_bare, 0) AS n_bare, coalesce(n_known, 0) AS n_known,
+         length(regexp_replace(body, '[^\\p{{L}}]+|[{LETTERS}]+', '', 'g')) AS n_foreign, coalesce(n_repeat_words, 0) AS n_repeat_words,
          coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines,
          {chars(SYMBOLS)} AS n_symbols, {chars("!?")} AS n_shouts, {chars("A-Z")} AS n_capitals
   FROM d LEFT JOIN a USING (r) LEFT JOIN q USING (r) LEFT JOIN l USING (r)

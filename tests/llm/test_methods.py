@@ -271,6 +271,33 @@ def test_secret_spans(spark):
         assert found == sorted(expected)
 
 
+def test_many_secrets_in_a_text(spark):
+    lines = [f"é token = {'ab' * (i % 9)}c{i}; {'0123456789abcdef' * (i % 3)}" for i in range(20000)]
+    texts = ["\n".join(lines[:n]) for n in (255, 256, 257, 513, 20000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    for row in secretscan.scan(df, secretscan.BASE).collect():
+        matches = [(m, order, rule) for order, rule in enumerate(secretscan.BASE) for m in re.finditer(rule.pattern, row.text, re.ASCII)]
+        expected = sorted((m.start(), order, rule.kind, m.end()) for m, order, rule in matches if len(m.group(rule.group)) >= rule.least)
+        assert [(s.start, s.ord, s.kind, s.end) for s in row.secrets] == expected
+
+
+@needs_data
+def test_quality_sql_of_other_languages(spark, tmp_path):
+    from compare import connect, difference
+
+    own = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").limit(300).collect()]
+    russian = "Это обычный текст на другом языке и в нём нет слов из списка " * 6
+    greek = "Αυτό είναι ένα κείμενο σε άλλη γλώσσα χωρίς τις γνωστές λέξεις " * 6
+    listless = "lorem ipsum dolor sit amet consectetur adipiscing elit sed eiusmod " * 6
+    broken = "«the» zebra quartz jungle vortex fjords glyphs " * 9
+    texts = own + [russian, greek, listless, broken, "", None, "#$% the of", "и " * 60, "«the» " * 60]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    duck = connect(SF)
+    duck.execute(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert difference(quality.op5_quality_rules(spark, str(tmp_path)), duck, quality.SQL["op5_quality_rules"]) is None
+
+
 @needs_data
 @pytest.mark.parametrize(
     ("query", "sql"),
