@@ -34,7 +34,7 @@ from glyphvec.operators.knn import (
 )
 from glyphvec.operators.tiles import meet_in_tiles
 from glyphvec.operators.topk import row_blocks, to_matrix
-from glyphvec.session import materialise
+from glyphvec.session import materialise, passing_tables
 from glyphvec.sinks.tables import OUTPUT_ROOT, index_path, write_manifest
 from glyphvec.sources.vectors import read_manifest, read_vectors, vector_dim
 
@@ -132,6 +132,7 @@ def _write_tree(
     tops.coalesce(1).write.mode(mode).parquet(f"{index_dir}/upper")
 
 
+@passing_tables()
 def build_index(
     spark: SparkSession,
     source: str | DataFrame,

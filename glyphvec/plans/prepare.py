@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from glyphvec.functions.order import numeric_first_key
 from glyphvec.functions.text import file_stem, single_line
 from glyphvec.operators.categories import distinct_combos, named_paths, path_stats, with_combo
-from glyphvec.session import materialise
+from glyphvec.session import materialise, passing_tables
 from glyphvec.sinks.tables import write_combos, write_text_table
 from glyphvec.sources.categories import read_categories
 from glyphvec.sources.texts import ID, TEXT, file_text, text_files
@@ -41,6 +41,7 @@ def merge_texts(
     write_text_table(merged_texts(spark, folder, limit=limit), output, mode=mode)
 
 
+@passing_tables()
 def write_category_paths(
     spark: SparkSession,
     source: str,

@@ -7,11 +7,17 @@ import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import wraps
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[tuple[str, str]] = set()
+#: Tables that ``materialise`` wrote since the innermost ``passing_tables`` began.
+_passing: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("passing", default=None)
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -65,10 +71,52 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     that Spark itself decides whether it is small enough to broadcast.
     """
     path = work_path(df.sparkSession, label)
+    if (passing := _passing.get()) is not None:
+        passing.append((df.sparkSession, path))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def passing_tables() -> Iterator[None]:
+    """Tables that ``materialise`` writes inside go at the end, whether the job succeeded or not.
+
+    No frame that reads them may leave the block; what the job returns is written first, see ``settled``.
+    """
+    passing: list[tuple[SparkSession, str]] = []
+    token = _passing.set(passing)
+    try:
+        yield
+    finally:
+        _passing.reset(token)
+        for spark, path in passing:
+            fs, hpath = _hadoop_path(spark, path)
+            fs.delete(hpath, True)
+
+
+def settled(label: str) -> Callable:
+    """For a job that returns a frame: its result becomes a table, then the tables on its way go.
+
+    The result itself belongs to the job around it, which may let it go in turn.
+    """
+
+    def wrap(job: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @wraps(job)
+        def run(*args, **kwargs) -> DataFrame:
+            around = _passing.get()
+            with passing_tables():
+                found = job(*args, **kwargs)
+                token = _passing.set(around)
+                try:
+                    return materialise(found, label)
+                finally:
+                    _passing.reset(token)
+
+        return run
+
+    return wrap
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
