@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from glyphvec.llm import jaccard, langid, packing, pii, quality
 from glyphvec.llm.common import free_name
-from glyphvec.session import materialise, ship_package
+from glyphvec.session import settled, ship_package
 
 
 def _set_aside(docs: DataFrame, *names: str) -> tuple[DataFrame, list[Column]]:
@@ -69,8 +69,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages over ``documents``; each result is written and read again.
+
+    A stage's own tables go when its result is written, that result when the next one is.
+    """
+
+    def up_to(stages: list) -> DataFrame:
+        if not stages:
+            return spark.read.parquet(f"{sf_dir}/documents.parquet")
+        name, stage = stages[-1]
+        return settled(name)(lambda: stage(spark, up_to(stages[:-1]), sf_dir))()
+
+    return up_to(STAGES)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glyphvec.session import materialise
+from glyphvec.session import materialise, settled
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -27,12 +27,13 @@ def _stars(edges: DataFrame) -> DataFrame:
     return least.select("u", F.col("m").alias("v")).unionByName(moved).distinct()
 
 
+@settled("components")
 def components(edges: DataFrame) -> DataFrame:
     """(u, v): each linked node other than the smallest of its component, and that smallest node.
 
     ``edges`` has longs ``u`` and ``v``, in any direction, repeated or not; nulls and loops do not
     count. Edges never leave the executors: a round is three shuffles of edges, written to the shared
-    folder, and rounds end when every node hangs on a root.
+    folder, and rounds end when every node hangs on a root. Only the last round's table stays.
     """
     edges = edges.filter(F.col("u") != F.col("v")).select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from glyphvec.llm.common import NOT_SPACE, bind, slices, table, words
 from glyphvec.llm.components import components
-from glyphvec.session import materialise
+from glyphvec.session import materialise, settled
 
 WIDTH = 5
 #: Links have a similarity of at least UPPER / LOWER.
@@ -160,6 +160,7 @@ def _verify(rows: pa.Table) -> pa.Table:
     )
 
 
+@settled("tasks-in-bins")
 def _tasks(reps: DataFrame) -> DataFrame:
     """(rep, task, side, bin): which classes are compared with which.
 
@@ -206,6 +207,26 @@ def _tasks(reps: DataFrame) -> DataFrame:
     return tasks.join(sizes.select("task", shared.alias("bin")), "task").select("rep", "task", "side", "bin")
 
 
+@settled("links")
+def _links(base: DataFrame, signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """(rep, links, root) of each class in a task that has links there, found on whole n-gram sets."""
+    reps = signed.join(classes.withColumnRenamed("rep", "doc_id"), ["digest", "doc_id"]).select(
+        F.col("doc_id").alias("rep"), "n_ngrams", "bands"
+    )
+    tasks = _tasks(materialise(reps.dropDuplicates(["rep", "bands"]), "representatives"))
+    texts = base.filter(F.col("text").isNotNull()).withColumnRenamed("doc_id", "rep")
+    wanted = tasks.select("rep").distinct()
+    if wanted.count() <= BROADCAST_IDS:
+        # Texts of classes without a candidate stay where they are; beyond the bound the join moves them.
+        texts = texts.join(F.broadcast(wanted), "rep", "left_semi")
+    full = texts.join(tasks, "rep").withColumn("ngrams", bind(normalised(F.col("text")), lambda w: ngrams(w)))
+    return (
+        full.select("bin", "task", "side", "rep", "ngrams")
+        .groupBy("bin")
+        .applyInArrow(_verify, "rep bigint, links array<bigint>, root bigint")
+    )
+
+
 def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, copy_id, class_id, n_links, links): one row for each row of ``docs``.
 
@@ -235,24 +256,7 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     with_words = signed.filter(F.col("digest").isNotNull())
     classes = with_words.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     classes = materialise(classes, "classes")
-    reps = signed.join(classes.withColumnRenamed("rep", "doc_id"), ["digest", "doc_id"]).select(
-        F.col("doc_id").alias("rep"), "n_ngrams", "bands"
-    )
-    reps = materialise(reps.dropDuplicates(["rep", "bands"]), "representatives")
-
-    tasks = materialise(_tasks(reps), "tasks-in-bins")
-    texts = base.filter(F.col("text").isNotNull()).withColumnRenamed("doc_id", "rep")
-    wanted = tasks.select("rep").distinct()
-    if wanted.count() <= BROADCAST_IDS:
-        # Texts of classes without a candidate stay where they are; beyond the bound the join moves them.
-        texts = texts.join(F.broadcast(wanted), "rep", "left_semi")
-    full = texts.join(tasks, "rep").withColumn("ngrams", bind(normalised(F.col("text")), lambda w: ngrams(w)))
-    found = (
-        full.select("bin", "task", "side", "rep", "ngrams")
-        .groupBy("bin")
-        .applyInArrow(_verify, "rep bigint, links array<bigint>, root bigint")
-    )
-    found = materialise(found, "links")
+    found = _links(base, signed, classes)
     links = found.groupBy("rep").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("links")))).alias("links"))
     roots = components(found.select(F.col("rep").alias("u"), F.col("root").alias("v")))
 

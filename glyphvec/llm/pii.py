@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphvec.llm.common import portions, table
-from glyphvec.session import materialise
+from glyphvec.session import materialise, settled
 
 #: Titles by the gender they tell; the last ones tell none.
 MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "господин", "Κύριος")
@@ -352,6 +352,7 @@ def agreed(found: DataFrame) -> DataFrame:
     return found.withColumn("space", _space()).groupBy("space", "canon").agg(kind.alias("kind"))
 
 
+@settled("assigned")
 def assign(entities: DataFrame, key: bytes) -> DataFrame:
     """(space, canon, surrogate) for ``entities(space, kind, canon)``: distinct in a space, no real entity.
 

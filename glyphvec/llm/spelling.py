@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphvec.llm.common import table
-from glyphvec.session import materialise
+from glyphvec.session import materialise, settled
 
 #: The letters of a run, as code points in a pattern.
 LETTERS = r"[A-Za-zÀ-ÿ]"
@@ -191,6 +191,7 @@ def _compare(rows: pa.Table) -> pa.Table:
     return best.rows()
 
 
+@settled("near-words")
 def near_words(words: DataFrame) -> DataFrame:
     """(word, n_near, form_n, form): for each word of ``words(word, n)`` with near words, how many there
     are and which of them is most frequent, ties to the smallest in code-point order.
@@ -225,6 +226,7 @@ def near_words(words: DataFrame) -> DataFrame:
     return merged.select("word", "n_near", (-F.col("best.less")).alias("form_n"), F.col("best.form").alias("form"))
 
 
+@settled("ends")
 def _roots(links: DataFrame) -> DataFrame:
     """(word, root): for each row of ``links(word, form)`` the end of its chain of forms.
 
@@ -247,7 +249,7 @@ def variants(words: DataFrame) -> DataFrame:
     rows the result is empty.
     """
     words = materialise(words, "vocabulary")
-    near = materialise(near_words(words), "near-words").withColumnRenamed("word", "near_word")
+    near = near_words(words).withColumnRenamed("word", "near_word")
     found = words.join(near, words["word"] == near["near_word"], "left")
     usual = F.col("form_n") >= FACTOR * F.col("n")
     found = found.select(
