@@ -24,7 +24,7 @@ from glyphvec.operators.embed import HashingProvider
 from glyphvec.operators.ordinals import assign_index_id
 from glyphvec.plans.embedding import embed_texts
 from glyphvec.plans.prepare import merged_texts
-from glyphvec.session import materialise, widen, work_path
+from glyphvec.session import is_directory, materialise, widen, work_path
 from glyphvec.sinks.tables import format_of, text_lines, write_text_table
 from glyphvec.sources.texts import count_records, read_tabular, read_text_folder, read_texts
 from glyphvec.sources.vectors import read_vectors
@@ -520,12 +520,12 @@ def stream_ordinals(spark, sf_dir):
 @C.add(f"SELECT doc_id, {sql_clean('text')} AS video_title, 64 AS dim FROM documents")
 def streamed_embedding(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    stream = (
-        spark.readStream.schema(T.StructType(docs.schema.fields))
-        .option("pathGlobFilter", "documents.parquet")
-        .parquet(sf_dir)
-        .select("doc_id", F.col("text").alias("video_title"))
-    )
+    path = f"{sf_dir}/documents.parquet"
+    files = spark.readStream.schema(T.StructType(docs.schema.fields))
+    # A stream reads folders: a table of one file is picked from the folder around it.
+    if not is_directory(spark, path):
+        files, path = files.option("pathGlobFilter", "documents.parquet"), sf_dir
+    stream = files.parquet(path).select("doc_id", F.col("text").alias("video_title"))
     output = work_path(spark, "stream")
     embed_stream(
         stream, HashingProvider, output, f"{output}-state", rules={}, available_now=True
