@@ -367,11 +367,21 @@ def ordered_tsv(spark, sf_dir):
     return read_tabular(spark, path, sep="\t", quote="", ordered=True)
 
 
+# Tasks move their files into place themselves. On local disks without Hadoop's native code every new file
+# starts a chmod: its checksum file and the checking file system would add three to the file's own.
+MANY_FILES = {
+    "mapreduce.fileoutputcommitter.algorithm.version": "2",
+    "fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
+    "fs.file.impl.disable.cache": "true",
+}
+
+
 def one_file_per_document(spark, sf_dir) -> str:
     path = work_path(spark, "text-files")
     # Part numbers lead the file names, so the order of the names is the order of the ids.
-    docs = table(spark, sf_dir, "documents").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    docs.select("text").write.option("maxRecordsPerFile", 1).text(path)
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    docs = table(spark, sf_dir, "documents").repartitionByRange(tasks, "doc_id").sortWithinPartitions("doc_id")
+    docs.select("text").write.option("maxRecordsPerFile", 1).options(**MANY_FILES).text(path)
     return path
 
 

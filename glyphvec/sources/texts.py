@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from glyphvec.functions.order import natural_key
 from glyphvec.functions.text import file_name, file_stem, or_empty
 from glyphvec.operators.ordinals import assign_index_id, number_split_rows
-from glyphvec.session import copy_hidden, file_uri, is_directory
+from glyphvec.session import copy_hidden, count_files, file_uri, is_directory, listed_files, planned_bytes
 
 ID = "video_id"
 TEXT = "video_title"
 TSV_SUFFIXES = (".tsv", ".txt")
 TEXT_FILE_GLOB = "*.[tT][xX][tT]"
+#: Spark puts few small files into a split, a task takes several splits up to as many files or bytes.
+FILES_PER_TASK, BYTES_PER_TASK = 1000, 64 * 1024 * 1024
 
 
 def _is_tsv(path: str) -> bool:
@@ -120,8 +122,10 @@ def text_files(spark: SparkSession, path: str) -> DataFrame:
     without ``content`` no file is opened at all.
     """
     scan = _scan_folder(spark, path)
+    n_files, cores = count_files(scan), spark.sparkContext.defaultParallelism
+    tasks = max(4 * cores, n_files // FILES_PER_TASK, planned_bytes(scan) // BYTES_PER_TASK)
     uri, here = _directly_in(spark, path, F.col("_metadata.file_path"))
-    files = scan.filter(here).select(uri.alias("file_uri"), "path", "content")
+    files = scan.filter(here).select(uri.alias("file_uri"), "path", "content").coalesce(tasks)
     hidden = copy_hidden(spark, path, ".txt")
     if hidden:
         copies, names = hidden
@@ -132,9 +136,9 @@ def text_files(spark: SparkSession, path: str) -> DataFrame:
         files = files.unionByName(kept.select("file_uri", "path", content))
     # Spark scans leave out files without a byte. Where the listing has more files than the scan,
     # they are taken from the listing, which the driver holds for the scan anyway.
-    if len(scan.inputFiles()) == scan.select("path").count():
+    if n_files == scan.select("path").coalesce(tasks).count():
         return files
-    listed = spark.createDataFrame([(name,) for name in scan.inputFiles()], "value STRING")
+    listed = listed_files(scan)
     uri, here = _directly_in(spark, path, F.col("value"))
     names = listed.filter(here).select(
         uri.alias("file_uri"),

@@ -1,6 +1,7 @@
 """Tables and texts in folders of many files."""
 
 from checks import texts
+from glyphvec.sources.texts import read_text_folder
 
 
 def test_streamed_table_of_several_files(spark, tmp_path):
@@ -9,3 +10,24 @@ def test_streamed_table_of_several_files(spark, tmp_path):
     docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
     found = texts.streamed_embedding(spark, str(tmp_path)).collect()
     assert sorted(tuple(r) for r in found) == [(i, f"text {i}", 64) for i in range(30)]
+
+
+def test_large_folder(spark, tmp_path):
+    """Names do not come to Python one by one, and tasks take many small files each."""
+    for i in range(300):
+        (tmp_path / f"{i}.txt").write_text(f"text {i}" if i % 100 else "")
+    for name in ("_a.txt", ".b.TXT", "_c.csv"):
+        (tmp_path / name).write_text("hidden")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    calls, send = [], type(spark.sparkContext._gateway._gateway_client).send_command
+    client = spark.sparkContext._gateway._gateway_client
+    client.send_command = lambda command, *a, **b: calls.append(1) or send(client, command, *a, **b)
+    try:
+        df = read_text_folder(spark, str(tmp_path))
+        assert df.rdd.getNumPartitions() < 300
+        assert len(calls) < 1500
+    finally:
+        del client.send_command
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    rows = {r["video_id"]: r["video_title"] for r in df.collect()}
+    assert rows == {str(i): f"text {i}" if i % 100 else "" for i in range(300)} | {"_a": "hidden", ".b": "hidden"}
