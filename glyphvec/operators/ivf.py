@@ -26,6 +26,7 @@ from glyphvec.operators.knn import (
     BROADCAST_BYTES,
     QuerySet,
     best_per_query,
+    collect_queries,
     knn_join,
     query_bytes,
     result_schema,
@@ -41,6 +42,8 @@ from glyphvec.sources.vectors import read_manifest, read_vectors, vector_dim
 MAX_CLUSTERS = 16_384
 CENTROID_BYTES = 64 * 1024 * 1024
 RECALL_TARGET = 0.95
+#: Tiles for each core at least, and slices of clusters in a part.
+TILES_PER_CORE, SLICES_PER_PART = 2, 4
 CALIBRATION_QUERIES, CALIBRATION_K = 200, 10
 
 
@@ -362,12 +365,16 @@ def _query(
     first, sizes = to_wide(known["centroid"], dim), known["n_rows"].to_numpy()
     want = k + bool(own)
     counted = Observation()
-    if tree:
-        probes = probe_leaves(asked, first, sizes, centres, metric, nprobe, want)
+    # Whoever asks for every cluster needs no list of them.
+    all_of_them = nprobe >= (centres.count() if tree else len(first))
+    if all_of_them:
+        probes, listed = asked, F.lit(0)
+    elif tree:
+        probes, listed = probe_leaves(asked, first, sizes, centres, metric, nprobe, want), F.size("clusters")
     else:
-        probes = _probe(asked, first, sizes, metric, nprobe, want)
+        probes, listed = _probe(asked, first, sizes, metric, nprobe, want), F.size("clusters")
     probes = probes.observe(
-        counted, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("clusters")), F.lit(0)).alias("probes")
+        counted, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(listed), F.lit(0)).alias("probes")
     )
     probes = materialise(probes, "probes")
     rows = counted.get["rows"]
@@ -375,10 +382,14 @@ def _query(
         return best_per_query(spark.createDataFrame([], schema), k, metric)
     one = query_bytes(dim, k)
     if rows * one + counted.get["probes"] * 8 <= broadcast_bytes:
-        found = _scan(vectors, probes, dim, k, metric, bool(own), len(first) if not tree else None)
+        if all_of_them:
+            side = collect_queries(probes, dim, bool(own))
+            found = scan_join(vectors.select("index_id", "embedding"), side, schema["query_id"].dataType, k, metric)
+        else:
+            found = _scan(vectors, probes, dim, k, metric, bool(own), len(first) if not tree else None)
     else:
         block, part = max(1, broadcast_bytes // one), max(1, broadcast_bytes // (dim * 8))
-        found = _tiles(vectors, centres, probes, dim, k, metric, block, part, schema)
+        found = _tiles(vectors, centres, probes, rows, dim, k, metric, block, part, schema)
     return best_per_query(found, k, metric)
 
 
@@ -402,10 +413,62 @@ def _scan(vectors: DataFrame, probes: DataFrame, dim: int, k: int, metric: str,
     return scan_join(read, side, probes.schema["query_id"].dataType, k, metric)
 
 
+def _grid(queries: int, rows: int, dim: int, k: int, most_queries: int, most_rows: int, tasks: int) -> tuple[int, int]:
+    """Blocks of queries and parts of rows, both bounded, that make ``tasks`` tiles with the least to move.
+
+    Each part gets the queries and returns k rows for each; each block gets the rows.
+    """
+    blocks, parts = -(-queries // most_queries), -(-rows // most_rows)
+    row = dim * 4 + 16
+
+    def moved(n: int) -> int:
+        return n * queries * (row + k * 28) + max(blocks, -(-tasks // n)) * rows * row
+
+    parts = min(range(parts, max(parts, tasks) + 1), key=moved)
+    return max(blocks, -(-tasks // parts)), parts
+
+
+def _deal(probes: DataFrame, parts: int, slices: dict[int, int]) -> DataFrame:
+    """``probes`` once for each part that holds some of its ``clusters``, with those; no shuffle.
+
+    A cluster begins in the part of its number; one of several slices goes on in the parts behind it.
+    """
+    wide = np.array(sorted(slices), np.int64)
+    counts = np.minimum(np.array([slices[c] for c in wide.tolist()], np.int64), parts)
+    asked = [f for f in probes.schema.fields if f.name != "clusters"]
+    names = [f.name for f in asked] + ["part", "clusters"]
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column("clusters")
+            lengths = np.diff(lists.offsets.to_numpy())
+            starts = row_blocks(len(lengths), lengths.max(initial=1))
+            for lo in starts:
+                some = batch.slice(lo, starts.step)
+                size, clusters = lengths[lo : lo + starts.step], some.column("clusters").flatten().to_numpy()
+                owner, times = np.repeat(np.arange(len(size)), size), np.ones(len(clusters), np.int64)
+                if len(wide):
+                    at = np.minimum(np.searchsorted(wide, clusters), len(wide) - 1)
+                    times = np.where(wide[at] == clusters, counts[at], 1)
+                step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                clusters = np.repeat(clusters, times)
+                place = np.repeat(owner, times) * parts + (clusters + step) % parts
+                order = place.argsort(kind="stable")
+                met, first = np.unique(place[order], return_index=True)
+                offsets = pa.array(np.append(first, len(order)).astype(np.int32))
+                held = pa.ListArray.from_arrays(offsets, pa.array(clusters[order].astype(np.int32)))
+                columns = [some.column(f.name).take(pa.array(met // parts)) for f in asked]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array((met % parts).astype(np.int32)), held], names=names)
+
+    kinds = [T.StructField("part", T.IntegerType()), T.StructField("clusters", T.ArrayType(T.IntegerType()))]
+    return probes.mapInArrow(run, T.StructType([*asked, *kinds]))
+
+
 def _tiles(
     vectors: DataFrame,
     centres: DataFrame,
     probes: DataFrame,
+    n_queries: int,
     dim: int,
     k: int,
     metric: str,
@@ -413,20 +476,27 @@ def _tiles(
     part_rows: int,
     schema: T.StructType,
 ) -> DataFrame:
-    """Candidates for a query set of any size: every cluster's queries meet its rows in tiles.
+    """Candidates for a query set of any size: blocks of queries meet parts of the rows in tiles.
 
-    Queries of a cluster form blocks, its rows parts, both by hash and of bounded size; clusters that no
-    query probes drop out before the shuffle.
+    Queries form blocks by hash, clusters form parts by their number; what holds much of a part is cut
+    into slices. A query goes once to each part that holds some of its clusters and gets k rows from it,
+    however many clusters those are. Without ``clusters`` it asks for all of them.
     """
-    asked = [c for c in probes.columns if c != "clusters"]
-    each = probes.select(*asked, F.explode("clusters").alias("cluster_id"))
-    blocks = each.groupBy("cluster_id").agg(F.ceil(F.count("*") / block_rows).alias("blocks"))
-    parts = F.greatest(F.ceil(F.col("n_rows") / part_rows), F.lit(1)).alias("parts")
-    sizes = materialise(blocks.join(centres.select("cluster_id", parts), "cluster_id"), "tiles")
-    sent = each.join(sizes, "cluster_id").withColumn("b", F.pmod(F.xxhash64("query_id"), F.col("blocks")))
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
-    name = F.xxhash64("cluster_id", "b").alias("block")
-    sent = sent.select(*asked, name, every("parts").alias("part"))
-    held = vectors.join(sizes, "cluster_id").withColumn("part", F.pmod(F.xxhash64("index_id"), F.col("parts")))
-    held = held.withColumn("b", every("blocks")).select("index_id", "embedding", name, "part")
-    return meet_in_tiles(sent, held, dim, k, metric, schema)
+    spark = probes.sparkSession
+    n_rows = centres.agg(F.sum("n_rows")).first()[0] or 0
+    tasks = TILES_PER_CORE * spark.sparkContext.defaultParallelism
+    blocks, parts = _grid(n_queries, n_rows, dim, k, block_rows, part_rows, tasks)
+    # No more than a few for each part.
+    slice_rows = max(1, n_rows // (SLICES_PER_PART * parts))
+    large = centres.filter(F.col("n_rows") > slice_rows).select("cluster_id", F.ceil(F.col("n_rows") / slice_rows))
+    slices = {r[0]: r[1] for r in large.collect()}
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block")
+    chosen = "clusters" in probes.columns
+    sent = _deal(probes, parts, slices).select("*", block) if chosen else probes.select("*", block, every(parts).alias("part"))
+    known = F.broadcast(spark.createDataFrame(list(slices.items()), "cluster_id INT, slices BIGINT"))
+    shift = F.pmod(F.xxhash64("index_id"), F.coalesce("slices", F.lit(1)))
+    part = F.pmod(F.col("cluster_id") + shift, F.lit(parts)).cast("int").alias("part")
+    held = vectors.join(known, "cluster_id", "left").select("index_id", "embedding", "cluster_id", part)
+    held = held.select("*", every(blocks).alias("block"))
+    return meet_in_tiles(sent, held if chosen else held.drop("cluster_id"), dim, k, metric, schema)

@@ -168,31 +168,51 @@ def make_cells(rows: DataFrame, n_rows: int, dim: int, metric: str, part_rows: i
 
 
 def meet_in_tiles(queries: DataFrame, vectors: DataFrame, dim: int, k: int, metric: str, schema: T.StructType) -> DataFrame:
-    """Candidates of ``queries(block, part, query_id, embedding[, own_id])`` among the
-    ``vectors(block, part, index_id, embedding)`` of the same block and part.
+    """Candidates of ``queries(block, part, query_id, embedding[, own_id][, clusters])`` among the
+    ``vectors(block, part, index_id, embedding[, cluster_id])`` of the same block and part, or only those of
+    the query's clusters.
 
     Both sides of a tile go to one task, so callers bound them.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     result = to_arrow_schema(schema)
-    has_own = "own_id" in queries.columns
+    has_own, has_clusters = "own_id" in queries.columns, "clusters" in queries.columns
 
     def search(asked: pa.Table, rows: pa.Table) -> pa.Table:
         if not asked.num_rows or not rows.num_rows:
             return result.empty_table()
         own = asked["own_id"].to_numpy() if has_own else None
         best = BestRows(to_matrix(asked["embedding"], dim), own, k, metric)
-        best.add(to_matrix(rows["embedding"], dim), rows["index_id"].to_numpy())
+        matrix, ids = to_matrix(rows["embedding"], dim), rows["index_id"].to_numpy()
+        if has_clusters:
+            for some, askers in _meetings(asked["clusters"].combine_chunks(), rows["cluster_id"].to_numpy()):
+                best.add(matrix[some], ids[some], askers)
+        else:
+            best.add(matrix, ids)
         return pa.Table.from_batches([best.to_arrow(asked["query_id"].combine_chunks(), result)])
 
     # Names of their own: both sides may stem from one table.
     renamed = [F.col("block").alias("of_block"), F.col("part").alias("of_part")]
-    sides = vectors.select(*renamed, *[F.col(c).alias(c) for c in ("index_id", "embedding")])
+    kept = ("index_id", "embedding", "cluster_id") if has_clusters else ("index_id", "embedding")
+    sides = vectors.select(*renamed, *[F.col(c).alias(c) for c in kept])
     rows = sides.groupBy("of_block", "of_part")
     return queries.groupBy("block", "part").cogroup(rows).applyInArrow(search, schema)
 
 
+def _meetings(lists: pa.ListArray, cluster: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of the rows of each cluster, and of the queries that name it."""
+    probed = lists.flatten().to_numpy()
+    owner = np.repeat(np.arange(len(lists), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
+    order = probed.argsort(kind="stable")
+    probed, owner = probed[order], owner[order]
+    order = cluster.argsort(kind="stable")
+    names, starts = np.unique(cluster[order], return_index=True)
+    for name, some in zip(names, np.split(order, starts[1:])):
+        first, last = np.searchsorted(probed, [name, name + 1])
+        yield some, owner[first:last]
+
+
 def tile_join(
     asked: DataFrame,
     rows: DataFrame,
