@@ -190,9 +190,9 @@ class Codec:
         known = self.cache
         new = list({p for parts in split for p in parts if p not in known})
         if self.cached > REMEMBERED_BYTES:
-            self.cache = known = {}
-            self.cached = 0
-            new = list({p for parts in split for p in parts})
+            # What these texts use stays: frequent parts are not encoded again.
+            self.cache = known = {p: known[p] for parts in split for p in parts if p in known}
+            self.cached = sum(ENTRY_BYTES + 4 * len(p) for p in known)
         encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
         known.update({p: struct.pack(f"<{len(e)}i", *e.ids) for p, e in zip(new, encoded)})
         del encoded

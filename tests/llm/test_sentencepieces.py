@@ -153,3 +153,19 @@ def test_verified(spark):
     assert sentencepieces.verified(df.limit(0), BPE).count() == 0
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
+
+
+def test_frequent_parts_are_encoded_once(monkeypatch):
+    monkeypatch.setattr(sentencepieces, "REMEMBERED_BYTES", 10_000)
+    own, encoded = sentencepieces.Codec(BPE, verify=False), []
+    encode = own.tokenizer.encode_batch_fast
+
+    class Counting:
+        def encode_batch_fast(self, parts, **options):
+            encoded.extend(parts)
+            return encode(parts, **options)
+
+    own.tokenizer = Counting()
+    for i in range(40):
+        own.encode([f"often seen words {i} and {' '.join(f'w{i}x{j}' for j in range(20))}"])
+    assert encoded.count(f"{MARK}often") == 1 and len(own.cache) < 100
