@@ -2,8 +2,9 @@
 
 The model file is parsed here and rebuilt: normaliser, word marker, pieces with their scores, byte
 fallback. No piece of such a vocabulary holds a marker behind another character, so a text falls apart
-before its markers; tasks encode each distinct part once per cache, all new parts of a batch together on
-several threads. To verify parity ``sentencepiece`` encodes whole raw texts, its own normaliser included.
+before its markers. Arrow finds the distinct parts of a portion of texts; a task encodes each once per cache,
+all new ones together, and one gather puts the ids of the texts together. To verify parity ``sentencepiece``
+encodes whole raw texts, its own normaliser included.
 
 Unigram and BPE models are rebuilt. Models with what the rebuild lacks are refused: user-defined pieces,
 markers as suffixes, spaces left as they are.
@@ -15,23 +16,24 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glyphvec.llm.common import free_name, portions, table
+from glyphvec.llm.common import free_name, portions, slices, table
 
 MARK = "▁"
-THREADS = 2
-#: Texts encoded at a time.
-PORTION = 256
+#: Bytes of texts encoded at a time (a longer text stands alone), and texts decoded at a time.
+PORTION_BYTES, PORTION = 2 << 20, 256
 #: Bytes of parts that a worker remembers, what an entry takes besides its part, and the longest part worth it.
-REMEMBERED_BYTES, ENTRY_BYTES, LONGEST = 40 << 20, 240, 64
+REMEMBERED_BYTES, ENTRY_BYTES, LONGEST = 64 << 20, 240, 64
 
 #: Kinds of pieces and of models in the file format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -115,9 +117,8 @@ class ModelFile:
 class Codec:
     """Encoder and decoder rebuilt from a model file."""
 
-    def __init__(self, path: str, threads: int = THREADS, verify: bool = True) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "true"
-        os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
+    def __init__(self, path: str, verify: bool = True) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, decoders, normalizers
 
         with open(path, "rb") as file:
@@ -128,18 +129,20 @@ class Codec:
         self.tokenizer.decoder = decoders.Sequence(
             [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(), *strip]
         )
-        inner = any(MARK in p.lstrip(MARK) for p, k in zip(self.file.pieces, self.file.kinds) if k == NORMAL)
-        self.parts = None if inner else re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+        #: Whether a piece holds a marker behind another character; texts stay whole then.
+        self.inner = any(MARK in p.lstrip(MARK) for p, k in zip(self.file.pieces, self.file.kinds) if k == NORMAL)
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.cached = 0
-        self.control = {i for i, k in enumerate(self.file.kinds) if k == CONTROL}
-        self.bytes = [self._bytes(p, k) for p, k in zip(self.file.pieces, self.file.kinds)]
+        self.control = [i for i, k in enumerate(self.file.kinds) if k == CONTROL]
+        self.bytes = pa.array(
+            [self._bytes(p, k) for p, k in zip(self.file.pieces, self.file.kinds)], pa.large_binary()
+        )
         self.reference = None
         if verify:
             import sentencepiece
 
             self.reference = sentencepiece.SentencePieceProcessor(model_file=path)
-            self.threads = threads
 
     def _bytes(self, piece: str, kind: int) -> bytes:
         if kind == CONTROL:
@@ -184,46 +187,84 @@ class Codec:
             return ""
         return (MARK if self.file.dummy_prefix else "") + text.replace(" ", MARK)
 
+    def _parts(self, marked: list[str]) -> tuple[pa.LargeStringArray, np.ndarray]:
+        """The parts of all texts in a row, and the first part of each text (and the number of parts)."""
+        encoded = [m.encode() for m in marked]
+        data = b"".join(encoded)
+        bounds = np.cumsum([0, *map(len, encoded)])
+        starts = np.zeros(len(data) + 1, bool)
+        if not self.inner:
+            held, mark = np.frombuffer(data, np.uint8), MARK.encode()
+            marks = np.flatnonzero(held == mark[0])
+            for i in range(1, len(mark)):  # the other bytes of a character follow its first
+                marks = marks[held[marks + i] == mark[i]]
+            starts[marks[np.diff(marks, prepend=-len(mark) - 1) != len(mark)]] = True
+        starts[bounds] = True
+        offsets = np.flatnonzero(starts)
+        parts = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(data))
+        return parts, np.searchsorted(offsets, bounds)
+
+    def _known(self, parts: list[str]) -> list[bytes]:
+        """The ids of distinct parts; what is not remembered is encoded."""
+        found = list(map(self.cache.get, parts))
+        lacking = [i for i, f in enumerate(found) if f is None]
+        kept = [i for i in lacking if parts[i] in self.older]
+        for i in kept:
+            found[i] = self.older[parts[i]]
+        new = [i for i in lacking if found[i] is None]
+        encoded = self.tokenizer.encode_batch_fast([parts[i] for i in new], add_special_tokens=False)
+        for i, e in zip(new, encoded):
+            found[i] = array("i", e.ids).tobytes()
+        if self.cached > REMEMBERED_BYTES // 2:
+            # What is asked for again before the next time stays.
+            self.older, self.cache, self.cached = self.cache, {}, 0
+        for i in lacking:
+            if len(parts[i]) <= LONGEST:
+                self.cache[parts[i]] = found[i]
+                self.cached += ENTRY_BYTES + 4 * len(parts[i])
+        return found
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bool]]:
         """Ids of all texts in a row, how many each text has, and whether ``sentencepiece`` gives the same."""
-        split = [self.parts.findall(m) if self.parts else [m] * bool(m) for m in map(self._marked, texts)]
-        known = self.cache
-        new = list({p for parts in split for p in parts if p not in known})
-        if self.cached > REMEMBERED_BYTES:
-            # What these texts use stays: frequent parts are not encoded again.
-            self.cache = known = {p: known[p] for parts in split for p in parts if p in known}
-            self.cached = sum(ENTRY_BYTES + 4 * len(p) for p in known)
-        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        known.update({p: struct.pack(f"<{len(e)}i", *e.ids) for p, e in zip(new, encoded)})
-        del encoded
-        joined = [b"".join([known[p] for p in parts]) for parts in split]
-        for p in new:
-            if len(p) > LONGEST:
-                del known[p]
-            else:
-                self.cached += ENTRY_BYTES + 4 * len(p)
-        counts = np.array([len(j) // 4 for j in joined], np.int64)
+        parts, firsts = self._parts(list(map(self._marked, texts)))
+        coded = parts.dictionary_encode()
+        which = coded.indices.to_numpy()
+        known = self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.array([len(k) // 4 for k in known], np.int64)
+        flat = _lists(np.frombuffer(b"".join(known), "<i4"), sizes).take(coded.indices).flatten().to_numpy()
+        ends = np.concatenate([[0], np.cumsum(sizes[which])])[firsts]
         agree = [True] * len(texts)
         if self.reference is not None:
-            expected = self.reference.encode(texts, num_threads=self.threads)
-            agree = [j == np.array(e, "<i4").tobytes() for j, e in zip(joined, expected)]
-        return np.frombuffer(b"".join(joined), "<i4"), counts, agree
+            expected = self.reference.encode(texts, num_threads=1)
+            agree = [array("i", e).tobytes() == flat[a:b].tobytes() for e, a, b in zip(expected, ends, ends[1:])]
+        return flat, np.diff(ends), agree
 
     def decode(self, ids: list[list[int]]) -> list[str]:
-        """Texts of lists of ids; control pieces are left out, ids outside the vocabulary are refused.
+        """Texts of lists of ids; control pieces are left out, ids outside the vocabulary are refused."""
+        flat = np.array([i for own in ids for i in own], np.int64)
+        return self.decode_flat(flat, np.array([len(own) for own in ids], np.int64))
+
+    def decode_flat(self, flat: np.ndarray, counts: np.ndarray) -> list[str]:
+        """Texts of ids in a row, of which each text has so many; see ``decode``.
 
         The bytes of the pieces, put together, are the text. Where they are no UTF-8, the decoder of
         ``tokenizers`` says what stands for the bytes that are left over.
         """
+        if len(flat) and (flat.min() < 0 or flat.max() >= len(self.bytes)):
+            raise ValueError("an id is not in the vocabulary")
+        found = self.bytes.take(pa.array(flat))
+        _, offsets, data = found.buffers()
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        places = np.frombuffer(offsets, np.int64)[ends].tolist() if len(flat) else [0] * len(ends)
+        data = memoryview(data or b"")
         texts = []
-        for own in ids:
-            if own and (min(own) < 0 or max(own) >= len(self.bytes)):
-                raise ValueError("an id is not in the vocabulary")
+        for i, (start, end) in enumerate(zip(places, places[1:])):
             try:
-                text = b"".join([self.bytes[i] for i in own]).decode()
+                text = str(data[start:end], "utf-8")
                 texts.append(text[1:] if self.file.dummy_prefix and text[:1] == " " else text)
             except UnicodeDecodeError:
-                kept = [i for i in own if i not in self.control]
+                own = flat[ends[i] : ends[i + 1]]
+                kept = own[~np.isin(own, self.control)].tolist()
                 texts.append(self.tokenizer.decode(kept, skip_special_tokens=False))
         return texts
 
@@ -241,6 +282,12 @@ def _lists(flat: np.ndarray, counts: np.ndarray, mask: pa.Array | None = None) -
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()), mask=mask)
 
 
+def _portions(rows, texts: pa.Array) -> Iterator:
+    """Consecutive parts of an Arrow array or batch; ``texts`` of its rows are bounded in bytes."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    return (rows.slice(start, end - start) for start, end in slices(sizes, PORTION_BYTES))
+
+
 def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``docs`` with ``ids`` (array<int>) and ``parity``; old columns of these names are replaced.
 
@@ -254,7 +301,7 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         own = codec(path)
         for batch in batches:
             values, counts, parity = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], []
-            for some in portions(batch, PORTION):
+            for some in _portions(batch, batch):
                 flat, n, same = own.encode([t or "" for t in some.to_pylist()])
                 values.append(flat)
                 counts.append(n)
@@ -295,13 +342,13 @@ def verified(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for batch in batches:
-            for some in portions(batch, PORTION):
+            for some in _portions(batch, batch.column("text")):
                 texts = some.column("text").to_pylist()
                 flat, counts, parity = own.encode([t or "" for t in texts])
                 ends = np.cumsum(counts)
                 lists = [flat[b - n : b] for b, n in zip(ends, counts)]
                 sums = [None if t is None else zlib.crc32(i.tobytes()) for t, i in zip(texts, lists)]
-                back = own.decode([i.tolist() for i in lists])
+                back = own.decode_flat(flat, counts)
                 columns = [
                     some.column("doc_id"), pa.array(counts), pa.array(sums, pa.int64()), pa.array(parity, pa.bool_()),
                     pa.array([t is None or t == b for t, b in zip(texts, back)], pa.bool_()),

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from glyphvec.llm import sentencepieces
@@ -169,3 +170,53 @@ def test_frequent_parts_are_encoded_once(monkeypatch):
     for i in range(40):
         own.encode([f"often seen words {i} and {' '.join(f'w{i}x{j}' for j in range(20))}"])
     assert encoded.count(f"{MARK}often") == 1 and len(own.cache) < 100
+
+
+def test_repeated_parts_are_looked_up_once():
+    """Work beside the tokenizer grows with the distinct parts of a portion, not with all of its words."""
+
+    class Counting(dict):
+        lookups = 0
+
+        def get(self, part, other=None):
+            self.lookups += 1
+            return super().get(part, other)
+
+        def __contains__(self, part):
+            self.lookups += 1
+            return super().__contains__(part)
+
+        def __getitem__(self, part):
+            self.lookups += 1
+            return super().__getitem__(part)
+
+    own, texts = sentencepieces.Codec(BPE), ["often seen words " * 1000, "", "words  often seen", "seen▁often "]
+    own.cache = Counting()
+    flat, counts, agree = own.encode(texts)
+    expected = sentencepiece.SentencePieceProcessor(model_file=BPE).encode(texts)
+    assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == expected and all(agree)
+    assert own.cache.lookups <= 20
+
+
+def test_parts_that_pause_are_remembered(monkeypatch):
+    monkeypatch.setattr(sentencepieces, "REMEMBERED_BYTES", 20_000)
+    own, encoded = sentencepieces.Codec(BPE, verify=False), []
+    encode = own.tokenizer.encode_batch_fast
+
+    class Counting:
+        def encode_batch_fast(self, parts, **options):
+            encoded.extend(parts)
+            return encode(parts, **options)
+
+    own.tokenizer = Counting()
+    for i in range(60):
+        word = "often" if i % 2 else "seldom"
+        own.encode([f"{word} {' '.join(f'w{i}x{j}' for j in range(20 + i % 3))}"])
+    assert encoded.count(f"{MARK}often") == encoded.count(f"{MARK}seldom") == 1
+    assert len(own.cache) + len(own.older) < 200
+
+
+def test_portions_are_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(sentencepieces, "PORTION_BYTES", 10)
+    texts = pa.array(["é" * 3, "abcd", None, "x" * 30, "", "y"])
+    assert [p.to_pylist() for p in sentencepieces._portions(texts, texts)] == [["ééé", "abcd", None], ["x" * 30], ["", "y"]]
