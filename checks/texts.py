@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from functools import reduce
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,9 +28,9 @@ from glyphvec.operators.embed import HashingProvider
 from glyphvec.operators.ordinals import assign_index_id
 from glyphvec.plans.embedding import embed_texts
 from glyphvec.plans.prepare import merged_texts
-from glyphvec.session import is_directory, materialise, widen, work_path
+from glyphvec.session import is_directory, make_folder, materialise, mounted_path, planned_bytes, widen, work_path
 from glyphvec.sinks.tables import format_of, text_lines, write_text_table
-from glyphvec.sources.texts import count_records, read_tabular, read_text_folder, read_texts
+from glyphvec.sources.texts import BYTES_PER_TASK, count_records, read_tabular, read_text_folder, read_texts
 from glyphvec.sources.vectors import read_vectors
 from glyphvec.streaming.embedding import embed_stream
 from glyphvec.streaming.ordinals import number_batches, number_stream
@@ -367,21 +371,47 @@ def ordered_tsv(spark, sf_dir):
     return read_tabular(spark, path, sep="\t", quote="", ordered=True)
 
 
-# Tasks move their files into place themselves. On local disks without Hadoop's native code every new file
-# starts a chmod: its checksum file and the checking file system would add three to the file's own.
-MANY_FILES = {
-    "mapreduce.fileoutputcommitter.algorithm.version": "2",
-    "fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
-    "fs.file.impl.disable.cache": "true",
-}
+def _one_file_per_row(folder: str, job: str):
+    """Writes a file for each (doc_id, text): the text and a line end, as Spark's writer does."""
+
+    def write(batches):
+        tail, n = f"{job}-{TaskContext.get().partitionId():05d}", 0
+        # Files come into place whole; a task that runs again writes the same ones. Many tasks that create
+        # files in one folder wait for each other far longer than for moves.
+        own = f"{folder}/_temporary/{uuid.uuid4().hex}"
+        os.makedirs(own)
+        for batch in batches:
+            for number, text in zip(*((v.as_py() for v in c) for c in batch.columns)):
+                # From 1 on in the order of the ids, rows without an id first.
+                head = 0 if number is None else number + 2**63 + 1
+                name = f"part-{head:020d}-{tail}-c{n:03d}.txt"
+                with open(f"{own}/{name}", "wb") as out:
+                    out.write((text or b"") + b"\n")
+                os.replace(f"{own}/{name}", f"{folder}/{name}")
+                n += 1
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["files"])
+        os.rmdir(own)
+
+    return write
 
 
 def one_file_per_document(spark, sf_dir) -> str:
     path = work_path(spark, "text-files")
-    # Part numbers lead the file names, so the order of the names is the order of the ids.
-    tasks = 4 * spark.sparkContext.defaultParallelism
-    docs = table(spark, sf_dir, "documents").repartitionByRange(tasks, "doc_id").sortWithinPartitions("doc_id")
-    docs.select("text").write.option("maxRecordsPerFile", 1).options(**MANY_FILES).text(path)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = mounted_path(spark, path)
+    if folder is None:
+        # Part numbers lead the file names, so the order of the names is the order of the ids.
+        tasks = max(4 * spark.sparkContext.defaultParallelism, planned_bytes(docs) // BYTES_PER_TASK)
+        texts = docs.repartitionByRange(tasks, "doc_id").sortWithinPartitions("doc_id").select("text")
+        # Tasks move their files into place themselves.
+        version = "mapreduce.fileoutputcommitter.algorithm.version"
+        texts.write.option("maxRecordsPerFile", 1).option(version, "2").text(path)
+        return path
+    # Hadoop's local file system starts a chmod process for every file, unless it has its native code. Here ids
+    # lead the names, so no text is shuffled; the sort gives a task that runs again the same order.
+    make_folder(spark, path)
+    rows = widen(docs).sortWithinPartitions("doc_id", "text").select("doc_id", F.col("text").cast("binary"))
+    rows.mapInArrow(_one_file_per_row(folder, str(uuid.uuid4())), "files BIGINT").write.format("noop").mode("overwrite").save()
     return path
 
 

@@ -104,10 +104,14 @@ def number_split_rows(scan: DataFrame, columns: Sequence[Column]) -> DataFrame:
     return _join_offsets(placed, offsets, unit).select(index_id.alias("index_id"), *names)
 
 
-def assign_index_id(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
-    """``index_id`` by any total order. Equal keys all land in one range, so make the key unique."""
+def assign_index_id(df: DataFrame, order_by: Sequence[str | Column], partitions: int | None = None) -> DataFrame:
+    """``index_id`` by any total order. Equal keys all land in one range, so make the key unique.
+
+    The driver gets up to 300 keys for each of ``partitions``, by default ``spark.sql.shuffle.partitions``.
+    """
+    ranges = (partitions, *order_by) if partitions else order_by
     placed = (
-        df.repartitionByRange(*order_by)
+        df.repartitionByRange(*ranges)
         .sortWithinPartitions(*order_by)
         .select(
             "*",
@@ -118,7 +122,7 @@ def assign_index_id(df: DataFrame, order_by: Sequence[str | Column]) -> DataFram
     table = materialise(placed, "ranges")
     counts = table.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     offsets = _running_offsets(counts, ["_part"]).select("_part", "_offset")
-    # One row per range partition, of which there are as many as spark.sql.shuffle.partitions.
+    # One row per range partition.
     return table.join(F.broadcast(offsets), "_part").select(
         (F.col("_offset") + F.col("_pos")).alias("index_id"), *df.columns
     )
