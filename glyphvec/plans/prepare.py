@@ -11,7 +11,7 @@ from glyphvec.operators.categories import distinct_combos, named_paths, path_sta
 from glyphvec.session import materialise, passing_tables
 from glyphvec.sinks.tables import write_combos, write_text_table
 from glyphvec.sources.categories import read_categories
-from glyphvec.sources.texts import ID, TEXT, file_text, text_files
+from glyphvec.sources.texts import ID, TEXT, file_text, text_names, with_content
 
 
 def merged_texts(spark: SparkSession, folder: str, *, limit: int = 0) -> DataFrame:
@@ -19,17 +19,18 @@ def merged_texts(spark: SparkSession, folder: str, *, limit: int = 0) -> DataFra
 
     A ``limit`` picks its files by name alone, before any content is read.
     """
-    # From the URI, which the scan knows before it opens a file.
+    # From the URI, which is known before a file is opened.
     stem = file_stem(F.url_decode(F.replace(F.col("file_uri"), F.lit("+"), F.lit("%2B"))))
-    place = F.struct(numeric_first_key(stem).alias("key"), stem.alias("stem"), F.col("file_uri").alias("uri"))
-    files = text_files(spark, folder)
+    order = numeric_first_key(stem).alias("key"), stem.alias("stem"), F.col("file_uri").alias("uri")
+    place = F.struct(*order)
+    files = text_names(spark, folder)
     if limit > 0:
         last = files.select(place.alias("place")).orderBy("place").offset(limit - 1).head(1)
         if last:
             key, name, uri = last[0]["place"]
             literal = F.struct(*(F.lit(key[c]).alias(c) for c in ("is_text", "size", "text")))
             files = files.filter(place <= F.struct(literal.alias("key"), F.lit(name).alias("stem"), F.lit(uri).alias("uri")))
-    return files.orderBy(place).select(
+    return with_content(files, *order).select(
         stem.alias(ID), single_line(file_text(F.col("content"))).alias(TEXT)
     )
 

@@ -246,11 +246,6 @@ def with_content(names: DataFrame, *order: Column) -> DataFrame:
     return dealt.mapInArrow(read, schema)
 
 
-def text_files(spark: SparkSession, path: str) -> DataFrame:
-    """(file_uri, path, content) of each text file directly in the folder; sub-folders are not entered."""
-    return with_content(text_names(spark, path))
-
-
 def file_text(content: Column) -> Column:
     """Bytes as UTF-8 text, bad bytes replaced, line ends as newlines."""
     return F.regexp_replace(F.make_valid_utf8(content.cast("string")), "\r\n?", "\n")

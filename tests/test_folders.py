@@ -57,6 +57,13 @@ def test_names_are_ranked_before_files_are_read(spark, tmp_path):
     assert rows == [(i, str(i), f"text {i}") for i in range(60)]
 
 
+def test_names_are_sorted_before_files_are_read(spark, tmp_path):
+    df = merged_texts(spark, small_folder(tmp_path))
+    assert "Sort" not in above_reading(df) and len(df.inputFiles()) < 60
+    assert [tuple(r) for r in df.collect()] == [(str(i), f"text {i}") for i in range(60)]
+    assert [r[0] for r in merged_texts(spark, str(tmp_path), limit=7).collect()] == [str(i) for i in range(7)]
+
+
 def test_batches_are_cut_by_bytes(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("glyphvec.sources.texts.BYTES_PER_TASK", 1 << 40)
     monkeypatch.setattr("glyphvec.sources.texts.NAMES_PER_BATCH", 7)
