@@ -64,6 +64,12 @@ def test_names_are_sorted_before_files_are_read(spark, tmp_path):
     assert [r[0] for r in merged_texts(spark, str(tmp_path), limit=7).collect()] == [str(i) for i in range(7)]
 
 
+def test_driver_does_not_hold_the_names(spark, tmp_path):
+    df = read_text_folder(spark, small_folder(tmp_path))
+    assert len(df.inputFiles()) < 60
+    assert sorted(tuple(r) for r in df.collect()) == sorted((str(i), f"text {i}") for i in range(60))
+
+
 def test_batches_are_cut_by_bytes(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("glyphvec.sources.texts.BYTES_PER_TASK", 1 << 40)
     monkeypatch.setattr("glyphvec.sources.texts.NAMES_PER_BATCH", 7)
